@@ -213,9 +213,9 @@ def tables(d: type[Spark] | type[Duck]) -> dict[str, tuple[str, str, dict[str, s
             "offline_payment_id": f"{o} + 1",
             "payment_id": f"CASE WHEN {o} % 16 = 0 THEN {o} + 1 END", "onboarding_id": o,
             "contact_id": c, "external_customer_id": f"{c} + 500000", "lead_id": o,
-            "amount": _big("o_totalprice"), "sub_product_id": plan, "payment_method": _int("111"),
+            "amount": _big("floor(o_totalprice)"), "sub_product_id": plan, "payment_method": _int("111"),
             "payment_utr_number": f"'utr' || {txt(o)}",
-            "payment_date": d.days(made, f"{o} % 25"), "net_amount": _big("o_totalprice"),
+            "payment_date": d.days(made, f"{o} % 25"), "net_amount": _big("floor(o_totalprice)"),
             "status": f"CASE WHEN {o} % 16 = 0 THEN 'Approved' ELSE 'Pending' END",
             "company_id": _int("1"), "instalment_id": d.arr(_big(o)),
             "meta_info": "'{}'", "discount_amount": _big("0"),
@@ -295,10 +295,11 @@ def tables(d: type[Spark] | type[Duck]) -> dict[str, tuple[str, str, dict[str, s
             "completed_on": f"CASE WHEN {o} % 4 = 0 THEN {d.days(made, '9')} END",
             "feedback_for_date": made, "created_at": made, "updated_at": made, **who}),
         "contact_mapping": ("orders", "", {
-            "mapping_id": o, "contact_id": c, "lead_id": o, "rm_id": owner,
+            "mapping_id": o, "contact_id": c, "rm_id": owner,
+            "lead_id": f"CASE WHEN {o} % 3 = 2 THEN {o} - 1 ELSE {o} END",
             "type": f"CASE WHEN {o} % 5 = 4 THEN 'Customer Service' ELSE 'Sales' END",
-            "is_transferred": f"{o} % 12 = 0", "from_date": f"CAST({made} AS DATE)",
-            "end_date": f"CASE WHEN {o} % 12 = 0 THEN {d.days(made, '50')} END",
+            "is_transferred": f"{o} % 12 IN (1, 2)", "from_date": f"CAST({made} AS DATE)",
+            "end_date": f"CASE WHEN {o} % 12 IN (1, 2) THEN {d.days(made, '50')} END",
             "company_id": _int("1"), "created_at": made, "updated_at": d.days(made, "50"),
             **who}),
         "contact_mapping_log": ("orders", "", {
@@ -306,7 +307,7 @@ def tables(d: type[Spark] | type[Duck]) -> dict[str, tuple[str, str, dict[str, s
             "end_date": f"CASE WHEN {o} % 2 = 0 THEN {d.days(made, '5')} END",
             "is_transferred": f"{o} % 2 = 0", "updated_at": made, "updated_by": _big("1"),
             "log_timestamp": made}),
-        "contact_transfer_backup": ("orders", f"{o} % 36 = 0", {
+        "contact_transfer_backup": ("orders", f"{o} % 36 = 1", {
             "lead_id": o, "rm_id": f"{owner} + 1", "old_rm_id": owner, "status_id": status,
             "substatus_id": substatus, "mapping_id": o, "created_at": made,
             "session_id": _big(f"1 + {o} % 5")}),
