@@ -60,8 +60,11 @@ def query(name: str, sql: str | None = None, crm: tuple[str, ...] = ()):
         if sql is not None:
             text = sql.strip()
             if crm:
-                rest = text[4:].lstrip() if text[:5].upper() == "WITH " else None
-                head = "WITH " + oracle_tables(crm)
+                words = text.split(None, 2)
+                recursive = words[1].upper() == "RECURSIVE"
+                starts = words[0].upper() == "WITH"
+                rest = (words[2] if recursive else text[5:]) if starts else None
+                head = ("WITH RECURSIVE " if recursive else "WITH ") + oracle_tables(crm)
                 text = f"{head},\n{rest}" if rest is not None else f"{head}\n{text}"
             ORACLES[name] = text
         return plan

@@ -17,6 +17,7 @@ from tallyroute.operators.pick import latest_by, nth_by
 from tallyroute.operators.running import HOT_ROWS, INDEX_WIDTH
 from tallyroute.operators.validate import Check, all_failures
 from tallyroute.plans.payments import Crm
+from tallyroute.session import cut_lineage
 
 SYSTEM_USERS = (1,)
 
@@ -29,6 +30,11 @@ class TransferBatch:
     transfer: Transfer | None
 
 
+def _decided(rows: DataFrame, run: Run) -> DataFrame:
+    """Store the decision once before several tables change by it; a dry run stays lazy."""
+    return cut_lineage(rows) if run.mode == EXECUTE else rows
+
+
 def _apply(crm: Crm, moves: DataFrame, run: Run, **options) -> Transfer | None:
     if run.mode != EXECUTE:
         return None
@@ -109,7 +115,7 @@ def transfer_by_list(
 
     If a file moves one lead twice, its last row counts and earlier rows say so.
     """
-    rows = resolve_list(crm, requests, run, location)
+    rows = _decided(resolve_list(crm, requests, run, location), run)
     good = rows.where(F.size("errors") == 0)
     final = last_request(good, ["lead_id"], "row_id")
     kept = final.select("row_id", F.lit(True).alias("__kept"))
@@ -182,14 +188,14 @@ def transfer_by_quota(
 
     The audit has one line per moved lead and one per row that moved none.
     """
-    rows = resolve_quota(crm, requests, nth)
+    rows = _decided(resolve_quota(crm, requests, nth), run)
     valid = rows.where(F.size("errors") == 0)
     pool = transferable(crm["lead"], run, below_status=5, stale_days=None, products=(1, 2)).select(
         F.col("rm_id").alias("old_rm_id"), "lead_id", "contact_id", "status_id", "substatus_id")
     taken, ranges = allocate.quota_allocate(
         valid, pool, "old_rm_id", "quota", "row_id", "lead_id", hot_rows=hot_rows, width=width)
     names = rows.select("row_id", "full_name", "transfer_to_email", "new_rm_id")
-    moved = taken.join(names, "row_id")
+    moved = _decided(taken.join(names, "row_id"), run)
     transfer = _apply(crm, moved.select("lead_id", "new_rm_id"), run, match="contact_id",
                       reuse_open=True)
     outcome = "success" if transfer is not None else "validated"
@@ -236,6 +242,7 @@ def transfer_by_hierarchy(
         F.coalesce("responsible", F.lit(centre_head)).alias("new_rm_id"),
         (F.col("responsible") == F.col("rm_id")).alias("__stays"),
     )
+    judged = _decided(judged, run)
     stays = F.coalesce("__stays", F.lit(False))
     moves = judged.where(~stays).select("lead_id", "new_rm_id")
     transfer = _apply(crm, moves, run, follow_up=crm["follow_up"], touch_lead=True)
@@ -283,7 +290,8 @@ def transfer_by_round_robin(
     pool = transferable(
         crm["lead"], run, owners=old_owners, substatus=catalog.TRANSFERABLE,
     ).select("lead_id", F.col("rm_id").alias("old_rm_id"))
-    moves = allocate.round_robin(pool, "lead_id", new_owners, "new_rm_id", limit, width)
+    moves = _decided(
+        allocate.round_robin(pool, "lead_id", new_owners, "new_rm_id", limit, width), run)
     transfer = _apply(crm, moves.select("lead_id", "new_rm_id"), run,
                       follow_up=crm["follow_up"])
     outcome = "success" if transfer is not None else "validated"

@@ -40,16 +40,14 @@ def tuple_values(columns: list[str]) -> Column:
     return F.from_csv(inner, schema, options)
 
 
-def clean_text(column: str) -> Column:
-    """Empty text counts as missing."""
-    return F.nullif(F.trim(F.col(column)), F.lit(""))
-
-
 def parse_dump(lines: DataFrame, columns: list[str], line: str = "value") -> DataFrame:
+    """Text columns of every tuple; empty text and NULL in any case count as missing."""
     parsed = tuple_lines(lines, line).select(tuple_values(columns).alias("__row"))
-    return parsed.select(
-        *[F.nullif(F.trim(F.col(f"__row.{name}")), F.lit("")).alias(name) for name in columns]
-    )
+    out = []
+    for name in columns:
+        text = F.trim(F.col(f"__row.{name}"))
+        out.append(F.when((text != "") & (F.upper(text) != "NULL"), text).alias(name))
+    return parsed.select(*out)
 
 
 def read_dump(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:

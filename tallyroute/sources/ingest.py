@@ -10,16 +10,17 @@ from pyspark.sql import functions as F
 from tallyroute.operators.pick import nth_by
 
 
-def split_import(
+def import_counts(
     incoming: DataFrame,
     target: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column],
     bad: Column | None = None,
 ) -> DataFrame:
-    """Every incoming row with its ``outcome``: inserted, skipped or failed.
+    """How many rows an import inserts, skips and fails.
 
-    The first row of a key wins inside the file; a row without its key, or with ``bad``, fails.
+    The first row of a key wins inside the file, repeats and known keys are skipped; a row
+    without its key, or with ``bad``, fails and stops no other row.
     """
     faulty = F.lit(False) if bad is None else F.coalesce(bad, F.lit(False))
     for key in keys:
