@@ -377,10 +377,17 @@ class CrmTables(dict):
     def __init__(self, spark: SparkSession, folder: str) -> None:
         super().__init__()
         self.spark, self.folder = spark, folder
+        self._bases: dict[str, DataFrame] = {}
+
+    def base(self, name: str) -> DataFrame:
+        """Base table, opened once, so that its footer is read once per query."""
+        if name not in self._bases:
+            self._bases[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._bases[name]
 
     def __missing__(self, name: str) -> DataFrame:
         base, condition, columns = _SPARK[name]
-        df = self.spark.read.parquet(f"{self.folder}/{base}.parquet")
+        df = self.base(base)
         if condition:
             df = df.where(condition)
         self[name] = df.selectExpr(*[f"{text} AS `{column}`" for column, text in columns.items()])

@@ -24,7 +24,7 @@ class Source:
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.crm.base(name)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}

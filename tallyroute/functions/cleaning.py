@@ -12,18 +12,19 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Day-first spellings first, ISO last.  Fixed values.
-DATE_FORMATS = ("d/M/yyyy", "d-M-yyyy", "yyyy-M-d")
-
-
-def _col(value: str | Column) -> Column:
-    return F.col(value) if isinstance(value, str) else value
+#: Day-first and ISO spellings of a date.  Fixed values.
+DAY_FIRST_SHAPE = r"^\d{1,2}[/-]\d{1,2}[/-]\d{4}$"
+YEAR_FIRST_SHAPE = r"^\d{4}[/-]\d{1,2}[/-]\d{1,2}$"
 
 
 #: Byte-order mark as read in UTF-8 and as mis-read in Latin-1.  Fixed values.
 BYTE_ORDER_MARKS = ("\ufeff", "\u00ef\u00bb\u00bf")
 
 
+def _col(value: str | Column) -> Column:
+    return F.col(value) if isinstance(value, str) else value
+
+
 # --- headers ------------------------------------------------------------------------------
 
 
@@ -116,9 +117,25 @@ def positive_int(value: str | Column) -> Column:
     return F.when(parsed > 0, parsed)
 
 
-def day_first_date(value: str | Column, formats: Iterable[str] = DATE_FORMATS) -> Column:
+def day_first_date(value: str | Column) -> Column:
+    """Date written day first or year first; an impossible day is NULL.
+
+    Plain arithmetic instead of a formatter: a parser that fails per bad row throws per bad row.
+    """
     text = F.trim(_col(value))
-    return F.coalesce(*[F.try_to_date(text, fmt) for fmt in formats])
+    parts = F.split(text, "[/-]")
+    day_first = text.rlike(DAY_FIRST_SHAPE)
+
+    def part(first: int, other: int) -> Column:
+        place = F.when(day_first, F.lit(first)).otherwise(F.lit(other))
+        return F.try_element_at(parts, place).try_cast("int")
+
+    day, month, year = part(1, 3), part(2, 2), part(3, 1)
+    start = F.when(
+        (day_first | text.rlike(YEAR_FIRST_SHAPE)) & month.between(1, 12) & (year >= 1),
+        F.make_date(year, month, F.lit(1)),
+    )
+    return F.when(day.between(1, F.dayofmonth(F.last_day(start))), F.date_add(start, day - 1))
 
 
 def yes_no(value: str | Column) -> Column:

@@ -44,16 +44,20 @@ def items(value: str | Column, path: str, schema: str) -> Column:
 
 
 def occupation(value: str | Column) -> Column:
-    """First answer among the five shapes identity providers send."""
+    """First answer among the five shapes identity providers send.
+
+    The first character decides which parser may try: a JSON parser that fails throws per row.
+    """
     text = _col(value)
-    nested = field(text, "$.actions")
-    nested = field(field(nested, "$[1].details"), "$.pan")
+    first = F.substring(F.ltrim(text), 1, 1)
+    body = F.when(first == "{", text)
+    details = field(field(field(body, "$.actions"), "$[1].details"), "$.pan")
     return F.coalesce(
-        field(text, "$.occupation"),
-        field(text, "$.signing_parties[0].pki_signature_details.occupation"),
-        field(nested, "$.occupation"),
+        field(body, "$.occupation"),
+        field(body, "$.signing_parties[0].pki_signature_details.occupation"),
+        field(details, "$.occupation"),
         xml_tag(text, "occupation"),
-        field(unquoted(text), "$.pan_details.occupation"),
+        field(unquoted(F.when(first == '"', text)), "$.pan_details.occupation"),
     )
 
 

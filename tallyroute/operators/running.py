@@ -1,7 +1,8 @@
 """Row numbers, previous values and running sums per key, safe for a hot key.
 
-A plain window puts each key into one task.  Here the rows of a key that is larger than
-``hot_rows`` are cut into chunks along the order; each chunk is one window group, and a small
+A plain window puts each key into one task.  Here keys are counted first (one narrow pass with
+map-side counts).  If none is larger than ``hot_rows`` a plain window does.  Otherwise the rows
+of a hot key are cut into chunks along the order; each chunk is one window group, and a small
 summary per chunk carries the count, the sums and the last row over to the next chunk.
 All cuts depend on values only, so a retried task sees the same groups.
 """
@@ -86,22 +87,33 @@ def running_by(
         .where(F.col("__rows") > hot_rows)
         .select(*names, F.lit(True).alias("__hot"))
     )
+
+    def window_columns(groups: Sequence[str]) -> dict[str, Column]:
+        window = Window.partitionBy(*groups).orderBy(
+            *[F.col(name).asc_nulls_last() for name in order]
+        )
+        before = window.rowsBetween(Window.unboundedPreceding, -1)
+        added = {"__number": F.row_number().over(window).cast("bigint")}
+        added |= {f"__p_{new}": F.lag(old).over(window) for new, old in previous.items()}
+        added |= {
+            f"__s_{new}": F.coalesce(F.sum(old).over(before), F.lit(0))
+            for new, old in sums.items()
+        }
+        return added
+
+    if hot.isEmpty():
+        plain = df.withColumns(window_columns(list(keys)))
+        found = [F.col("__number").alias(number)] if number else []
+        found += [F.col(f"__p_{new}").alias(new) for new in previous]
+        found += [F.col(f"__s_{new}").alias(new) for new in sums]
+        return plain.select(*df.columns, *found)
+
     rows = (
         with_keys(df)
         .join(F.broadcast(hot), names, "left")
         .withColumn("__cut", F.when(F.col("__hot"), chunk.cast("bigint")).otherwise(F.lit(0)))
     )
-
-    window = Window.partitionBy(*names, "__cut").orderBy(
-        *[F.col(name).asc_nulls_last() for name in order]
-    )
-    before = window.rowsBetween(Window.unboundedPreceding, -1)
-    added = {"__number": F.row_number().over(window).cast("bigint")}
-    added |= {f"__p_{new}": F.lag(old).over(window) for new, old in previous.items()}
-    added |= {
-        f"__s_{new}": F.coalesce(F.sum(old).over(before), F.lit(0)) for new, old in sums.items()
-    }
-    numbered = rows.withColumns(added)
+    numbered = rows.withColumns(window_columns([*names, "__cut"]))
 
     totals = [F.count(F.lit(1)).alias("__rows")]
     totals += [F.sum(old).alias(f"__t_{new}") for new, old in sums.items()]

@@ -12,18 +12,33 @@ from tallyroute.plans.payments import Crm, named
 
 
 def watch_seconds(group: str, condition: str, stem: str) -> Column:
-    """Seconds of one content group: watched time if abandoned, full length if completed."""
-    plain = group in catalog.PLAIN_SECONDS_GROUPS
+    """Seconds of one content group: watched time if abandoned, full length if completed.
+
+    Reads the second columns made once per event by :func:`parsed_events`.
+    """
+    kind = "any" if group in catalog.PLAIN_SECONDS_GROUPS else "clock"
     scope = F.expr(condition)
-    watched = durations.clock_seconds("User_Watched_Time", plain)
-    length = durations.clock_seconds("Actual_Content_Video_Length", plain)
     return (
-        F.when(scope & (F.col("Event_Name") == f"{stem} Abandoned"), watched)
-        .when(scope & (F.col("Event_Name") == f"{stem} Completed"), length)
+        F.when(scope & (F.col("Event_Name") == f"{stem} Abandoned"), F.col(f"watched_{kind}"))
+        .when(scope & (F.col("Event_Name") == f"{stem} Completed"), F.col(f"length_{kind}"))
         .otherwise(F.lit(0).cast("bigint"))
     )
 
 
+def parsed_events(activity: DataFrame) -> DataFrame:
+    """Payload members as columns, each duration turned into seconds once."""
+    parsed = activity.select(
+        "contact_id", "activity_id",
+        payload.fields("meta_info", catalog.PAYLOAD_FIELDS, "$.payload").alias("p"),
+    ).select("contact_id", "activity_id", "p.*")
+    return parsed.withColumns({
+        f"{name}_{kind}": durations.clock_seconds(column, plain_numbers=kind == "any")
+        for name, column in (("watched", "User_Watched_Time"),
+                             ("length", "Actual_Content_Video_Length"))
+        for kind in ("clock", "any")
+    })
+
+
 def event_conditions() -> dict[str, str]:
     event, course = "trim(Event_Name)", "trim(Course_Name)"
     found = {"logins": "Event_Name = 'Login'"}
@@ -42,12 +57,7 @@ def contact_engagement(crm: Crm, as_of) -> DataFrame:
 
     The payload is parsed once per event; all measures come from one aggregate.
     """
-    parsed = (
-        crm["activity"].where(dates.yesterday("created_at", as_of))
-        .select("contact_id", "activity_id",
-                payload.fields("meta_info", catalog.PAYLOAD_FIELDS, "$.payload").alias("p"))
-        .select("contact_id", "activity_id", "p.*")
-    )
+    parsed = parsed_events(crm["activity"].where(dates.yesterday("created_at", as_of)))
     seconds = [F.sum(watch_seconds(*group)).alias(group[0]) for group in catalog.WATCH_GROUPS]
 
     def bought(kind: str, column: str) -> Column:

@@ -133,20 +133,16 @@ def lead_types(crm: Crm) -> DataFrame:
             measures.ever(catalog.in_list("substatus_id", catalog.NEW_SUBSTATUS)).alias("is_new"),
         )
     )
-    return crm["lead"].select("lead_id", "utm_source", "lead_source_id", "created_at").join(
-        history, "lead_id"
-    ).withColumn(
-        "lead_type",
+    return history.select(
+        "lead_id",
         F.when(F.col("is_repeat") == 1, "repeat_lead").when(F.col("is_new") == 1, "New_lead")
-        .otherwise("NA"),
+        .otherwise("NA").alias("lead_type"),
     )
 
 
 def birth_details(crm: Crm, as_of) -> DataFrame:
     """Date of birth and completed years per contract, earliest detail row first."""
-    known = crm["onboarding_detail"].where(F.col("date_of_birth").isNotNull()).join(
-        crm["payment"].select("onboarding_id").distinct(), "onboarding_id", "left_semi"
-    )
+    known = crm["onboarding_detail"].where(F.col("date_of_birth").isNotNull())
     return earliest_by(known, ["onboarding_id"], "onboarding_detail_id").select(
         "onboarding_id", F.to_date("date_of_birth").alias("date_of_birth"),
         dates.completed_years(
@@ -166,7 +162,6 @@ def occupations(crm: Crm) -> DataFrame:
     answers = (
         crm["onboarding_api_response"]
         .where(F.col("response").ilike("%occupation%"))
-        .join(crm["payment"].select("onboarding_id").distinct(), "onboarding_id", "left_semi")
         .select("onboarding_id", "response_id", payload.occupation("response").alias("occupation"))
         .where(F.col("occupation").isNotNull())
     )
@@ -215,15 +210,19 @@ def payments_detail(
         (managers(crm), "manager_id"),
     )
     manager_known = F.when(F.col("manager_name").isNotNull(), F.col("manager_id"))
+    typed = F.col("lead_type").isNotNull()
     lead_info = lookup.star(
-        lead_types(crm),
+        crm["lead"].select("lead_id", F.col("rm_id").alias("owner_id"), "utm_source",
+                           "lead_source_id", "created_at"),
+        (lead_types(crm), "lead_id"),
         (named(crm["mst_lead_source"], "lead_source_id", "lead_source_id", source_name="name"),
          "lead_source_id"),
+        (owner, "owner_id"),
     ).select(
-        "lead_id", "lead_type",
-        F.coalesce("source_name", "utm_source").alias("lead_source"),
-        F.date_diff(F.lit(dates.midnight(as_of)).cast("date"), F.to_date("created_at"))
-        .alias("lead_age"),
+        "lead_id", "lead_type", "owner_id", "rm_name", "rm_center", "manager_id", "manager_name",
+        F.when(typed, F.coalesce("source_name", "utm_source")).alias("lead_source"),
+        F.when(typed, F.date_diff(F.lit(dates.midnight(as_of)).cast("date"),
+                                  F.to_date("created_at"))).alias("lead_age"),
     )
     plans = lookup.star(
         crm["mst_subproduct"].select("sub_product_id", "product_id",
@@ -233,14 +232,12 @@ def payments_detail(
     rows = (
         typed_payments(crm)
         .join(amount, ["payment_id", "sub_product_id"])
-        .join(crm["lead"].select("lead_id", F.col("rm_id").alias("owner_id")), "lead_id", "left")
-        .join(owner, "owner_id", "left")
+        .join(lead_info, "lead_id", "left")
         .where(F.col("rm_name").isNull() | (F.col("owner_id") != excluded_owner))
         .join(scenarios.select("payment_id", "payment_status", "scenario"), "payment_id", "left")
         .join(contract, "onboarding_id", "left")
         .join(birth_details(crm, as_of), "onboarding_id", "left")
         .join(occupations(crm), "onboarding_id", "left")
-        .join(lead_info, "lead_id", "left")
         .join(named(crm["contact"], "contact_id", "contact_id", lead_name="full_name",
                     lead_email="email_address"), "contact_id", "left")
         .join(primary_addresses(crm), "contact_id", "left")

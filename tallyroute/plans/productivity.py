@@ -451,27 +451,36 @@ def loss_reasons(crm: Crm) -> DataFrame:
 # --- the whole report ---------------------------------------------------------------------
 
 
-def enrich(crm: Crm, base: DataFrame, directory: DataFrame) -> DataFrame:
-    """Fill owner, centre and contact of the stacked branches from the directory and leads."""
+def enrich(crm: Crm, rows: DataFrame, directory: DataFrame) -> DataFrame:
+    """Fill owner, centre, contact and name of one branch from the directory and the leads.
+
+    Branches are enriched while they are narrow, before they are stacked: a branch that is
+    already laid out by lead joins its contact without another exchange.
+    """
+    filled: dict[str, tuple[str, ...]] = {}
     known = directory.select(
         F.col("rm_id").alias("counsellor_id"), F.col("rm_name").alias("known_counsellor"),
         F.col("rm_center").alias("known_location"), F.col("owner_product").alias("user_product"),
         F.col("manager_name").alias("known_captain"))
-    contacts = crm["lead"].select("lead_id", F.col("contact_id").alias("lead_contact_id")).join(
-        named(crm["contact"], "contact_id", "lead_contact_id", contact_name="full_name"),
-        "lead_contact_id", "left")
-    rows = base.join(known, "counsellor_id", "left").join(contacts, "lead_id", "left")
-    filled = {
-        "captain_counsellor": F.coalesce("captain_counsellor", "known_captain"),
-        "counsellor": F.coalesce("counsellor", "known_counsellor"),
-        "location": F.coalesce("location", "known_location"),
-        "contact_id": F.coalesce("contact_id", "lead_contact_id"),
-        "lead_name": F.coalesce("lead_name", "contact_name"),
-        "login_time": dates.parse_stamp("login_time"),
-        "logout_time": dates.parse_stamp("logout_time"),
+    rows = rows.join(known, "counsellor_id", "left")
+    filled |= {"captain_counsellor": ("known_captain",), "counsellor": ("known_counsellor",),
+               "location": ("known_location",)}
+    if "lead_id" in rows.columns:
+        contacts = crm["lead"].select(
+            "lead_id", F.col("contact_id").alias("lead_contact_id")).join(
+            named(crm["contact"], "contact_id", "lead_contact_id", contact_name="full_name"),
+            "lead_contact_id", "left")
+        rows = rows.join(contacts, "lead_id", "left")
+        filled |= {"contact_id": ("lead_contact_id",), "lead_name": ("contact_name",)}
+    own = set(rows.columns)
+    values = {
+        name: F.coalesce(*([F.col(name)] if name in own else []), *map(F.col, extra))
+        for name, extra in filled.items()
     }
-    return rows.withColumns(filled).drop(
-        "known_captain", "known_counsellor", "known_location", "lead_contact_id", "contact_name")
+    values |= {name: dates.parse_stamp(name) for name in ("login_time", "logout_time")
+               if name in own}
+    spare = [name for extra in filled.values() for name in extra]
+    return rows.withColumns(values).drop(*spare)
 
 
 def productivity_report(
@@ -494,4 +503,5 @@ def productivity_report(
         "LQR": lead_quality(crm, taken_with_owner_only=not february),
         "Reasons": loss_reasons(crm),
     }
-    return enrich(crm, unions.tagged(branches), directory)
+    return unions.tagged(
+        {name: enrich(crm, rows, directory) for name, rows in branches.items()})

@@ -51,11 +51,24 @@ def bag(columns: list[str], rows) -> Counter:
     return Counter(tuple(canonical(row[i]) for i in order) for row in rows)
 
 
+#: nodes no registered plan should contain
+UNWANTED = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
+            "MapInPandas", "FlatMapGroupsInPandas", "PythonRDD")
+
+
+def plan_flags(df) -> list[str]:
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return [node for node in UNWANTED if node in text]
+
+
 def compare(spark, con, folder: str, name: str, plan, sql: str | None) -> tuple[str, float, int]:
     started = time.time()
     df = plan(spark, folder)
     rows = [tuple(row) for row in df.collect()]
     took = time.time() - started
+    flags = plan_flags(df)
+    if flags:
+        return f"PLAN {flags}", took, len(rows)
     if sql is None:
         return "rows only", took, len(rows)
     result = con.execute(sql)
