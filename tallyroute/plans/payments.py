@@ -501,12 +501,13 @@ def payments_report(
     pickups_since,
     user_ids: Sequence[int] | None = None,
     names: Mapping[str, str] = catalog.FAMILY_NAMES,
+    excluded_owner: int = 1518,
 ) -> DataFrame:
     """All seven branches, each marked in ``flag``; scenarios are planned once and shared."""
     scenarios = payment_scenarios(crm, names)
     return unions.tagged(
         {
-            "Payment": payments_detail(crm, as_of, scenarios),
+            "Payment": payments_detail(crm, as_of, scenarios, excluded_owner),
             "Payment (none)": owners_without_payment(crm, as_of, user_ids),
             "Counsellor Details": owner_directory(crm, as_of, user_ids, names),
             "Lead Taken": lead_pickups(crm, pickups_since, user_ids, names),
