@@ -83,6 +83,18 @@ def last_member_join(
     return fact.withColumn(dim_key, idlists.last_item(ids)).join(dim, dim_key, how)
 
 
+def many_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join to a side with many rows per key, one of which may be hot.
+
+    At run time Spark can split a hot key on the many side only in an inner join, so matches
+    come from an inner join and rows without a partner from an anti join on distinct keys.
+    """
+    keys = list(keys)
+    matched = left.join(right, keys)
+    alone = without(left, right, keys)
+    return matched.unionByName(alone, allowMissingColumns=True)
+
+
 def same_day_join(
     left: DataFrame,
     right: DataFrame,
@@ -92,11 +104,11 @@ def same_day_join(
     how: str = "left",
 ) -> DataFrame:
     """Equality join on the keys and on the calendar day instead of a range condition."""
-    return (
-        left.withColumn("__day", F.to_date(left_ts))
-        .join(right.withColumn("__day", F.to_date(right_ts)), [*keys, "__day"], how)
-        .drop("__day")
-    )
+    on = [*keys, "__day"]
+    left = left.withColumn("__day", F.to_date(left_ts))
+    right = right.withColumn("__day", F.to_date(right_ts))
+    joined = many_left_join(left, right, on) if how == "left" else left.join(right, on, how)
+    return joined.drop("__day")
 
 
 def unpivot_join(

@@ -439,11 +439,11 @@ def lead_activity_payment(
     lead = crm["lead"].where("is_active").select(
         "lead_id", "contact_id", F.col("rm_id").alias("owner_id"), "product_id", "created_at"
     )
+    named_leads = lead.join(
+        named(crm["contact"], "contact_id", "contact_id", lead_name="full_name",
+              lead_email="email_address"), "contact_id")
     rows = (
-        lead.join(
-            named(crm["contact"], "contact_id", "contact_id", lead_name="full_name",
-                  lead_email="email_address"), "contact_id")
-        .join(counted, ["lead_id", "owner_id"], "left")
+        lookup.many_left_join(named_leads, counted, ["lead_id", "owner_id"])
         .join(lead_plans, "lead_id", "left")
         .join(paid, "lead_id", "left")
         .join(people(crm, "owner_id", "rm"), "owner_id", "left")

@@ -403,9 +403,9 @@ def lead_quality(crm: Crm, taken_with_owner_only: bool = True) -> DataFrame:
         new_leads,
         (named(crm["contact"], "contact_id", "contact_id", lead_name="full_name",
                lead_mobile="mobile_number", lead_email="email_address"), "contact_id"),
-        (taken, "lead_id"), (log, "lead_id"),
+        (taken, "lead_id"),
     )
-    return rows.select(
+    return lookup.many_left_join(rows, log, ["lead_id"]).select(
         "lead_id", F.col("lead_created_date").alias("report_date"),
         F.col("lead_created_date").alias("refresh_date"), "new_lead_count_date",
         F.col("counsellor_name").alias("counsellor"),
