@@ -11,7 +11,7 @@ from entry_queries.registry import Source, clock, day, ids, query, ts
 from tallyroute.functions import (
     catalog, cleaning, dates, durations, idlists, payload, rules,
 )
-from tallyroute.operators import audit, lookup, measures
+from tallyroute.operators import audit, measures
 from tallyroute.operators.validate import (
     Check, all_failures, first_failure, last_failure, remark_text,
 )

@@ -12,9 +12,9 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Day-first and ISO spellings of a date.  Fixed values.
-DAY_FIRST_SHAPE = r"^\d{1,2}[/-]\d{1,2}[/-]\d{4}$"
-YEAR_FIRST_SHAPE = r"^\d{4}[/-]\d{1,2}[/-]\d{1,2}$"
+#: Day-first and year-first spellings of a date.  Fixed values.
+DAY_FIRST_SHAPE = r"^(\d{1,2})[/-](\d{1,2})[/-](\d{4})$"
+YEAR_FIRST_SHAPE = r"^(\d{4})[/-](\d{1,2})[/-](\d{1,2})$"
 
 
 #: Byte-order mark as read in UTF-8 and as mis-read in Latin-1.  Fixed values.
@@ -120,22 +120,16 @@ def positive_int(value: str | Column) -> Column:
 def day_first_date(value: str | Column) -> Column:
     """Date written day first or year first; an impossible day is NULL.
 
-    Plain arithmetic instead of a formatter: a parser that fails per bad row throws per bad row.
+    Rewritten to ISO and cast: the cast reads digits itself, while a format parser throws for
+    every row written in another spelling.
     """
     text = F.trim(_col(value))
-    parts = F.split(text, "[/-]")
-    day_first = text.rlike(DAY_FIRST_SHAPE)
-
-    def part(first: int, other: int) -> Column:
-        place = F.when(day_first, F.lit(first)).otherwise(F.lit(other))
-        return F.try_element_at(parts, place).try_cast("int")
-
-    day, month, year = part(1, 3), part(2, 2), part(3, 1)
-    start = F.when(
-        (day_first | text.rlike(YEAR_FIRST_SHAPE)) & month.between(1, 12) & (year >= 1),
-        F.make_date(year, month, F.lit(1)),
+    return (
+        F.when(text.rlike(DAY_FIRST_SHAPE),
+               F.regexp_replace(text, DAY_FIRST_SHAPE, "$3-$2-$1").try_cast("date"))
+        .when(text.rlike(YEAR_FIRST_SHAPE),
+              F.regexp_replace(text, YEAR_FIRST_SHAPE, "$1-$2-$3").try_cast("date"))
     )
-    return F.when(day.between(1, F.dayofmonth(F.last_day(start))), F.date_add(start, day - 1))
 
 
 def yes_no(value: str | Column) -> Column:

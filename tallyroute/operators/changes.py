@@ -527,7 +527,9 @@ def create_leads(
     """One lead, follow-up and sales mapping per valid request row.
 
     An active lead of the same contact that still waits in the same source and status is
-    deactivated, also when an earlier row of the same file created it.  ``requests``: unique ``row_id`` with ``contact_id``, ``rm_id``,
+    deactivated, also when an earlier row of the same file created it.
+
+    ``requests``: unique ``row_id`` with ``contact_id``, ``rm_id``,
     ``lead_number``, ``product_id``, ``sub_product_id``.  ``ids`` gives the new ids per row.
     """
     stamps = [column.alias(name) for name, column in run.stamps().items()]

@@ -14,6 +14,7 @@ from tallyroute.operators.changes import Run, with_new_ids
 from tallyroute.operators.pick import nth_by, oldest
 from tallyroute.operators.validate import PENDING, Check, last_failure, stage
 from tallyroute.plans.payments import Crm
+from tallyroute.session import cut_lineage
 
 #: snake-cased headers of the two file forms.  Fixed values.
 COMMON_HEADERS = (
@@ -123,13 +124,13 @@ def offline_payment_batch(
         .join(due_instalments(crm, unpaid_only=True), ["lead_id", "due_date"], "left")
     )
     picked = nth_by(rows, ["row_id"], oldest("instalment_id", "lead_id"))
-    audit = last_failure(
+    audit = cut_lineage(last_failure(
         picked,
         [Check("PAYMENT MODE NOT MAPPED", F.col("payment_method").isNull()),
          Check("CONTACT NOT FOUND", F.col("contact_id").isNull()),
          Check("VALID PMP LEAD NOT FOUND", F.col("lead_id").isNull()),
          Check("INSTALLMENT NOT FOUND FOR DUE DATE", F.col("instalment_id").isNull())],
-    )
+    ))
     valid = audit.where(F.col("process_status") == PENDING).withColumns(
         {"instalment_ids": F.array("instalment_id"), "sub_product_id": F.lit(SINGLE_PLAN)})
     return PaymentBatch(_payment_rows(valid, crm, run, approved_by, "row_id"), audit)
@@ -157,7 +158,7 @@ def winback_batch(
     first match, earlier due-date columns first, then file order.  The audit has one row per
     request with the stage it reached.
     """
-    matches = tranche_matches(crm, requests)
+    matches = cut_lineage(tranche_matches(crm, requests))
     place = {name: n for n, name in enumerate(TRANCHE_DATES)}
     found = matches.where(F.col("instalment_id").isNotNull()).withColumn(
         "place", cleaning.mapped("due_column", place))

@@ -7,10 +7,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyroute.functions import catalog, cleaning, dates, payload
+from tallyroute.functions import catalog, dates, payload
 from tallyroute.operators import lookup, measures, unions
 from tallyroute.operators.pick import any_by, earliest_by, latest_by
 from tallyroute.operators.running import HOT_ROWS, running_by
+from tallyroute.session import cut_lineage
 
 Crm = Mapping[str, DataFrame]
 
@@ -503,8 +504,8 @@ def payments_report(
     names: Mapping[str, str] = catalog.FAMILY_NAMES,
     excluded_owner: int = 1518,
 ) -> DataFrame:
-    """All seven branches, each marked in ``flag``; scenarios are planned once and shared."""
-    scenarios = payment_scenarios(crm, names)
+    """All seven branches, each marked in ``flag``; scenarios are computed once and stored."""
+    scenarios = cut_lineage(payment_scenarios(crm, names))
     return unions.tagged(
         {
             "Payment": payments_detail(crm, as_of, scenarios, excluded_owner),

@@ -13,6 +13,7 @@ from tallyroute.operators.changes import EXECUTE, Run, with_new_ids, write_back
 from tallyroute.operators.pick import any_by, latest_by
 from tallyroute.operators.validate import PENDING, Check, last_failure
 from tallyroute.plans.payments import Crm
+from tallyroute.session import cut_lineage
 
 #: file header after snake-casing -> column.  Fixed values.
 HEADERS = {
@@ -147,8 +148,11 @@ def per_contact(rows: DataFrame) -> DataFrame:
 
 
 def refund_batch(crm: Crm, requests: DataFrame, run: Run) -> RefundBatch:
-    """``requests``: output of :func:`clean_requests`.  Every request row appears in the audit."""
-    rows = resolve(crm, requests)
+    """``requests``: output of :func:`clean_requests`.  Every request row appears in the audit.
+
+    The judged rows are stored once; sums, concerns, refunds and audit all read them.
+    """
+    rows = cut_lineage(resolve(crm, requests))
     grouped = per_contact(rows.where(F.col("process_status") == PENDING)).join(
         contract_payments(crm), "onboarding_id")
 
@@ -176,7 +180,8 @@ def refund_batch(crm: Crm, requests: DataFrame, run: Run) -> RefundBatch:
         payload.object_of(status=F.lit("Process By Tech Team")).alias("tech_response"),
     )
     if run.mode != EXECUTE:
-        return RefundBatch(refunds.limit(0), rows.withColumn("refund_id", F.lit(None).cast("bigint")))
+        unpaid = rows.withColumn("refund_id", F.lit(None).cast("bigint"))
+        return RefundBatch(refunds.limit(0), unpaid)
     results = refunds.select(
         "contact_id", F.lit("SUCCESS").alias("process_status"), F.lit("").alias("remarks"),
         "refund_id",
