@@ -25,7 +25,10 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    from entry_queries.registry import QUERIES
+
+    own = {name for name, plan in QUERIES.items() if plan.__module__.startswith("entry_queries")}
+    assert own and own <= set(entry.oracle_sql())
 
 
 @needs_data
