@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyroute.llm import substring_dedup
+from tallyroute.llm import bpe, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,6 +26,13 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
+@query("op1_byte_bpe")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.round_trip(table(spark, folder, "documents"),
+                          public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                          public_tokenizers.PATTERN)
+
+
 @query("op10_substring_dedup")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.digest(
