@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyroute.llm import bpe, substring_dedup
+from tallyroute.llm import bpe, decontaminate, simhash_dedup, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,6 +33,17 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
                           public_tokenizers.PATTERN)
 
 
+@query("op4_decontaminate")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.digest(decontaminate.contamination(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark"), slack=2))
+
+
+@query("op9_simhash_dedup")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash_dedup.digest(simhash_dedup.near_duplicates(table(spark, folder, "documents")))
+
+
 @query("op10_substring_dedup")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.digest(
