@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyroute.llm import (
-    block_search, bpe, chat_format, decontaminate, simhash_dedup, substring_dedup, url_filter,
+    block_search, bpe, chat_format, decontaminate, line_dedup, simhash_dedup,
+    substring_dedup, url_filter,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,10 +45,10 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op3_block_search", """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS e
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
   SELECT q.vec_id AS query_id, c.vec_id,
     CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
@@ -117,6 +118,11 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(table(spark, folder, "pages"), URL_RULES)
 
 
+@query("op7_line_dedup")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.digest(line_dedup.dedup_lines(table(spark, folder, "documents")))
+
+
 @query("op9_simhash_dedup")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_dedup.digest(simhash_dedup.near_duplicates(table(spark, folder, "documents")))
