@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyroute.llm import (
     block_search, bpe, chat_format, decontaminate, line_dedup, simhash_dedup,
-    substring_dedup, url_filter,
+    substring_dedup, toxicity, url_filter,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,6 +123,21 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.digest(line_dedup.dedup_lines(table(spark, folder, "documents")))
 
 
+def fold() -> Column:
+    """Fold of a row, by its ``doc_id``; labels of fold 1 are never learnt from."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
+
+
+@query("op8_toxicity")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    net = toxicity.learn(docs, table(spark, folder, "labels"), fold() != 1)
+    return toxicity.score(docs.select("doc_id", "lang", "text"), net).select(
+        "doc_id", F.coalesce(fold() == 1, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        (F.col("score") >= toxicity.threshold(net, F.col("lang"))).alias("rejected"))
+
+
 @query("op9_simhash_dedup")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_dedup.digest(simhash_dedup.near_duplicates(table(spark, folder, "documents")))
