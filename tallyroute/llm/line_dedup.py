@@ -13,8 +13,9 @@ earliest holder is kept (and, for deletions, the earliest holder of either kind)
 combines map-side; so no pairs are made and a key may have any number of lines.
 
 *Which lines are varied.*  Near lines agree in the first or the last half of their words.
-Every line gives the hashes of its halves, and only lines that share one with a different line are
-varied.  Nothing is lost by that.  The earliest near line found is verified: removing the word at the
+Every line gives the hashes of its halves, once by its own length and once as the longer of two
+lines.  Only lines that share one with a different line are varied, and only at the places and in the
+role that the shared half leaves open.  Nothing is lost by that.  The earliest near line found is verified: removing the word at the
 named place must leave exactly the same words on both sides.
 
 Hashes of variants combine by exclusive or, so that a line of ``n`` words costs ``n`` steps.
@@ -66,19 +67,25 @@ def line_table(docs: DataFrame, id_column: str, text: str) -> DataFrame:
 
 
 def _candidates(lines: DataFrame) -> DataFrame:
-    """Lines that share a half with a different line."""
+    """Lines that share a half with a different line; ``agree`` has a bit for each such half:
+    first and last half by the own length, first and last half as the longer line."""
     halves = lines.where("halves IS NOT NULL").select(
-        *LINE, F.explode("halves").alias("half"))
+        *LINE, F.posexplode("halves").alias("which", "half"))
     shared = stored(
         halves.groupBy("half").agg(F.min("hash").alias("one"), F.max("hash").alias("other"))
         .where("one <> other").select("half"), "shared-halves")
-    return halves.join(shared, "half").select(*LINE).distinct()
+    return halves.join(shared, "half").groupBy(*LINE).agg(
+        F.bit_or(F.expr("shiftleft(1, which)")).alias("agree"))
+
+
+def _agrees(bit: int) -> Column:
+    return F.col("agree").bitwiseAND(F.lit(bit)) != 0
 
 
 def _word_hashes(varied: DataFrame) -> DataFrame:
     """One row per word of the varied lines: the line's hash without that word, once with the
     words after it left in place (``replaced``) and once moved up (``deleted``)."""
-    words = varied.select(*LINE, "place", F.posexplode("words").alias("i", "word"))
+    words = varied.select(*LINE, "agree", F.posexplode("words").alias("i", "word"))
     words = words.withColumns({"here": F.xxhash64("i", "word"),
                                "moved": F.xxhash64(F.col("i") - 1, F.col("word"))})
     before = Window.partitionBy(*LINE).orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
@@ -88,37 +95,50 @@ def _word_hashes(varied: DataFrame) -> DataFrame:
         words.withColumns({
             "all": F.bit_xor("here").over(whole), "all_moved": F.bit_xor("moved").over(whole),
             "shifted": F.coalesce(F.bit_xor(shift).over(before), F.lit(0).cast("long"))})
-        .select(*LINE, "place", "i", "all",
+        .select(*LINE, "agree", "i", "all",
                 F.col("all").bitwiseXOR(F.col("here")).alias("replaced"),
                 F.col("all_moved").bitwiseXOR(F.col("shifted")).bitwiseXOR(F.col("moved"))
                 .alias("deleted")))
 
 
+def _keys(varied: DataFrame) -> DataFrame:
+    """Hashed variants of the varied lines: without the word at ``i`` in place (kind 0), with a
+    word deleted (kind 1), and the whole line (kind 2, ``i`` is -1)."""
+    i, n = F.col("i"), F.col("n")
+    own, longer = F.floor(n / 2), F.floor((n - 1) / 2)
+    replaced = (_agrees(1) & (i >= own)) | (_agrees(2) & (i < own))
+    deleted = (_agrees(4) & (i >= longer)) | (_agrees(8) & (i <= longer))
+    whole = (i == 0) & (_agrees(1) | _agrees(2))
+
+    def key(wanted: Column, kind: int, value: Column, place: Column) -> Column:
+        return F.when(wanted, F.struct(value.alias("key"), F.lit(kind).alias("kind"),
+                                       place.cast("int").alias("i")))
+
+    each = F.array_compact(F.array(
+        key(replaced, 0, F.xxhash64(F.lit("r"), "i", "n", "replaced"), i),
+        key(deleted, 1, F.xxhash64(F.lit("d"), n - 1, F.col("deleted")), i),
+        key(whole, 2, F.xxhash64(F.lit("d"), n, F.col("all")), F.lit(-1))))
+    return _word_hashes(varied).select(*LINE, F.explode(each).alias("one")).select("one.*", *LINE)
+
+
 def _near(varied: DataFrame) -> DataFrame:
     """Per varied line: the earliest near line found, and the places of the word that differs
     (-1 where the line has no such word)."""
-    variants = _word_hashes(varied)
-    replaced = variants.select(
-        *LINE, "place", F.xxhash64(F.lit("r"), "i", "n", "replaced").alias("key"),
-        F.lit(0).alias("kind"), F.col("i").alias("i"))
-    deleted = variants.select(
-        *LINE, "place", F.xxhash64(F.lit("d"), F.col("n") - 1, F.col("deleted")).alias("key"),
-        F.lit(1).alias("kind"), "i")
-    kept = variants.where("i = 0").select(
-        *LINE, "place", F.xxhash64(F.lit("d"), F.col("n"), F.col("all")).alias("key"),
-        F.lit(2).alias("kind"), F.lit(-1).alias("i"))
-    keys = stored(replaced.union(deleted).union(kept), "line-variants")
+    keys = stored(_keys(varied), "line-variants")
+    common = stored(
+        keys.groupBy("key").agg(F.min("hash").alias("one"), F.max("hash").alias("other"))
+        .where("one <> other").select("key"), "common-variants")
+    shared = stored(
+        keys.join(common, "key").join(varied.select(*LINE, "place"), list(LINE)), "shared-variants")
     entry = F.struct("place", *LINE, "i")
     earliest = stored(
-        keys.groupBy("key").agg(
-            F.count(F.lit(1)).alias("holders"),
+        shared.groupBy("key").agg(
             F.min(F.when(F.col("kind") == 0, entry)).alias("replaced"),
             F.min(F.when(F.col("kind") == 1, entry)).alias("deleted"),
-            F.min(F.when(F.col("kind") == 2, entry)).alias("whole"))
-        .where("holders > 1").drop("holders"), "earliest-variants")
+            F.min(F.when(F.col("kind") == 2, entry)).alias("whole")), "earliest-variants")
     other = (F.when(F.col("kind") == 0, F.col("replaced"))
              .when(F.col("kind") == 1, F.col("whole")).otherwise(F.col("deleted")))
-    met = keys.join(earliest, "key").withColumn("other", other).where("other.place < place")
+    met = shared.join(earliest, "key").withColumn("other", other).where("other.place < place")
     return met.groupBy(*LINE, "place").agg(
         F.min(F.struct("other", "i")).alias("found")).select(
         *LINE, "place", F.col("found.i").alias("i"), F.col("found.other").alias("other"))
@@ -150,11 +170,11 @@ def removed_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text"
     first = stored(
         lines.groupBy(*LINE).agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("copies")),
         "distinct-lines")
-    asked = first.join(_candidates(lines), list(LINE), "left_semi").select(
-        *LINE, F.col("first.doc_id").alias("doc_id"), F.col("first.version").alias("version"),
+    asked = first.join(_candidates(lines), list(LINE)).select(
+        *LINE, "agree", F.col("first.doc_id").alias("doc_id"), F.col("first.version").alias("version"),
         F.col("first.line").alias("line"))
     by_text = asked.groupBy("doc_id", "version").agg(
-        F.collect_list(F.struct("line", *LINE)).alias("asked"))
+        F.collect_list(F.struct("line", "agree", *LINE)).alias("asked"))
     bodies = F.split("text", "\n", -1)
     varied = stored(
         _named(docs, id_column, text).dropDuplicates(["doc_id", "version"])
@@ -162,7 +182,7 @@ def removed_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text"
         .select("doc_id", "version", F.explode(F.transform(
             "asked", lambda a: F.struct(a.alias("at"), F.split(bodies[a["line"]], " ", -1)
                                         .alias("words")))).alias("one"))
-        .select(*[F.col(f"one.at.{name}").alias(name) for name in LINE],
+        .select(*[F.col(f"one.at.{name}").alias(name) for name in (*LINE, "agree")],
                 F.struct("doc_id", "version", "one.at.line").alias("place"), "one.words"),
         "varied-lines")
     later = _verified(_near(varied), varied)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyroute.llm import (
-    block_search, bpe, chat_format, decontaminate, line_dedup, simhash_dedup,
+    block_search, bpe, chat_format, decontaminate, line_dedup, pii, simhash_dedup,
     substring_dedup, toxicity, url_filter,
 )
 
@@ -43,6 +43,11 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "documents"), table(spark, folder, "benchmark"), slack=2))
 
 
+@query("op2_pii")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.digest(pii.find(table(spark, folder, "documents")))
+
+
 @query("op3_block_search", """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
