@@ -31,7 +31,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = line_dedup.dedup_lines(docs).select(*docs.columns)
+    kept = line_dedup.dedup_lines(docs, added=("__read", "__gone")).select(*docs.columns)
     if "n_chars" not in docs.columns:
         return kept
     return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))

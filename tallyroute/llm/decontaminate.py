@@ -125,10 +125,12 @@ class Postings:
         self.keys = np.cumsum(np.frombuffer(gaps, "<u4"), dtype=np.int64)
         self.n = len(self.keys)
         self.text = np.repeat(np.arange(len(sizes)), sizes)
+        self.base = np.concatenate([[0], np.cumsum(sizes)])
 
     def matches(self, asked: TestSet, slack: int) -> tuple[np.ndarray, ...]:
-        """Window, first word, and whether the match is exact, of all matches in this block."""
-        none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+        """Window, first word, text and whether the match is exact, of all matches in the block."""
+        empty = np.zeros(0, np.int64)
+        none = empty, empty, empty, np.zeros(0, bool)
         if not self.n or not len(asked.starts):
             return none
         rank = np.searchsorted(self.terms, asked.terms)
@@ -145,29 +147,28 @@ class Postings:
             seed = np.take_along_axis(words, rarer[:, :1], 1)[:, 0]
             row = np.repeat(np.arange(len(windows)), count[seed])
             place = self.keys[_ranges(low[seed], count[seed])] - rank[seed[row]] * self.n
+            text = self.text[place]
             first = place - rarer[row, 0]
-            inside = (first >= 0) & (first + size <= self.n)
-            row, first = row[inside], first[inside]
-            same = self.text[first] == self.text[first + size - 1]
-            row, first = row[same], first[same]
-            exact = np.ones(len(row), bool)
-            for k in range(1, size):
-                offset = rarer[row, k]
-                goal = rank[words[row, offset]] * self.n
-                at = first + offset
-                exact &= self._holds(goal + at, goal + at)
+            exact = (first >= self.base[text]) & (first + size <= self.base[text + 1])
+            for k in range(size):
+                if k:
+                    offset = rarer[row, k]
+                    goal = rank[words[row, offset]] * self.n
+                    at = first + offset
+                    exact &= self._holds(goal + at, goal + at)
                 keep = exact
-                if slack:
-                    text = self.text[first]
-                    lowest = np.maximum(at - slack, np.searchsorted(self.text, text))
-                    highest = np.minimum(at + slack, np.searchsorted(self.text, text, "right") - 1)
+                if k and slack:
+                    lowest = np.maximum(at - slack, self.base[text])
+                    highest = np.minimum(at + slack, self.base[text + 1] - 1)
                     keep = exact | self._holds(goal + lowest, goal + highest)
-                row, first, exact = row[keep], first[keep], exact[keep]
-            out.append((windows[row], first, exact))
-        return tuple(np.concatenate([part[k] for part in out]) for k in range(3))
+                elif slack:
+                    continue
+                row, first, text, exact = row[keep], first[keep], text[keep], exact[keep]
+            out.append((windows[row], first, text, exact))
+        return tuple(np.concatenate([part[k] for part in out]) for k in range(4))
 
     def _holds(self, lowest: np.ndarray, highest: np.ndarray) -> np.ndarray:
-        """Whether some key lies between the bounds."""
+        """Whether some key lies between the bounds (never where they are the wrong way round)."""
         at = np.searchsorted(self.keys, lowest)
         return (at < self.n) & (self.keys[np.minimum(at, self.n - 1)] <= highest)
 
@@ -179,13 +180,11 @@ def _found(asked, slack: int):
             for block in batch.to_pylist():
                 sizes = np.array(block["sizes"], np.int64)
                 postings = Postings(block["terms"], block["gaps"], sizes)
-                window, first, exact = postings.matches(tests, slack)
+                window, first, texts, exact = postings.matches(tests, slack)
                 cover = np.zeros(postings.n + 1, np.int64)
                 np.add.at(cover, first[exact], 1)
                 np.add.at(cover, first[exact] + tests.sizes[window[exact]], -1)
                 hit = np.cumsum(cover) > 0
-                base = np.concatenate([[0], np.cumsum(sizes)])
-                texts = postings.text[first] if len(first) else first
                 named: dict[int, tuple[set, set]] = {}
                 for text, item, whole in zip(
                         texts.tolist(), tests.owner[window].tolist(), exact.tolist()):
@@ -194,7 +193,7 @@ def _found(asked, slack: int):
                 count = len(sizes)
                 hits, items, near = [[]] * count, [[]] * count, [[]] * count
                 for text, (phrases, close) in named.items():
-                    inside = hit[base[text]:base[text + 1]]
+                    inside = hit[postings.base[text]:postings.base[text + 1]]
                     edges = np.diff(np.concatenate([[0], inside, [0]]).astype(np.int8))
                     hits[text] = np.flatnonzero(edges).tolist()
                     items[text], near[text] = sorted(phrases), sorted(close - phrases)

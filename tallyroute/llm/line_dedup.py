@@ -66,15 +66,15 @@ def line_table(docs: DataFrame, id_column: str, text: str) -> DataFrame:
         _half_keys(F.col("words"), n).alias("halves"))
 
 
-def _candidates(lines: DataFrame) -> DataFrame:
-    """Lines that share a half with a different line; ``agree`` has a bit for each such half:
-    first and last half by the own length, first and last half as the longer line."""
-    halves = lines.where("halves IS NOT NULL").select(
-        *LINE, F.posexplode("halves").alias("which", "half"))
-    shared = stored(
+def _candidates(distinct: DataFrame) -> DataFrame:
+    """Hashes of the lines that share a half with a different line; ``agree`` has a bit for each
+    such half: first and last half by the own length, first and last half as the longer line."""
+    halves = distinct.where("halves IS NOT NULL").select(
+        "hash", F.posexplode("halves").alias("which", "half"))
+    shared = (
         halves.groupBy("half").agg(F.min("hash").alias("one"), F.max("hash").alias("other"))
-        .where("one <> other").select("half"), "shared-halves")
-    return halves.join(shared, "half").groupBy(*LINE).agg(
+        .where("one <> other").select("half"))
+    return halves.join(shared, "half").groupBy("hash").agg(
         F.bit_or(F.expr("shiftleft(1, which)")).alias("agree"))
 
 
@@ -168,9 +168,9 @@ def removed_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text"
     texts that lose lines."""
     lines = stored(line_table(docs, id_column, text), "lines")
     first = stored(
-        lines.groupBy(*LINE).agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("copies")),
-        "distinct-lines")
-    asked = first.join(_candidates(lines), list(LINE)).select(
+        lines.groupBy(*LINE).agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("copies"),
+                                 F.first("halves").alias("halves")), "distinct-lines")
+    asked = first.join(_candidates(first), "hash").select(
         *LINE, "agree", F.col("first.doc_id").alias("doc_id"), F.col("first.version").alias("version"),
         F.col("first.line").alias("line"))
     by_text = asked.groupBy("doc_id", "version").agg(
@@ -195,9 +195,11 @@ def removed_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text"
         .groupBy("doc_id", "version").agg(F.collect_set("line").alias("gone")))
 
 
-def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """All rows and columns of ``docs``; ``text`` without its removed lines, and the number of
-    lines before (``lines_read``) and of lines removed (``lines_gone``)."""
+def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
+                added: tuple[str, str] = ("lines_read", "lines_gone")) -> DataFrame:
+    """All rows and columns of ``docs``; ``text`` without its removed lines, and two columns named
+    by ``added``: the number of lines before and of lines removed.  Columns of ``docs`` with
+    these names are replaced."""
     gone = removed_lines(docs, id_column, text).select(
         F.col("doc_id").alias("__doc"), F.col("version").alias("__version"),
         F.col("gone").alias("__gone"))
@@ -208,12 +210,13 @@ def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
     kept = F.array_join(F.filter(
         F.split(body, "\n", -1), lambda line, k: ~F.array_contains("__gone", k)), "\n")
     columns = [F.when(F.col("__gone").isNull(), body).otherwise(kept).alias(name)
-               if name == text else F.col(f"`{name}`") for name in docs.columns]
+               if name == text else F.col(f"`{name}`") for name in docs.columns
+               if name not in added]
     return joined.select(
         *columns,
         F.when(body.isNull(), 0).otherwise(F.size(F.split(body, "\n", -1))).cast("long")
-        .alias("lines_read"),
-        F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("lines_gone"))
+        .alias(added[0]),
+        F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias(added[1]))
 
 
 def digest(deduped: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:

@@ -170,7 +170,8 @@ def candidates(text: Column) -> Column:
 
 def _features() -> dict[str, Column]:
     """Format and context of a candidate."""
-    found, left, right = F.col("found"), F.col("left"), F.col("right")
+    found = F.regexp_replace("found", r"^\+", "")
+    left, right = F.col("left"), F.col("right")
     digits = _digits(found)
     groups = F.filter(F.split(found, "[^0-9A-Za-z]+"), lambda g: g != "")
     sizes = F.transform(groups, F.length)
