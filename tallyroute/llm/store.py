@@ -23,8 +23,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: bytes of a batch between Spark and a Python worker; both sides hold a few of them
+BATCH_BYTES = 8 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def importable(spark: SparkSession) -> SparkSession:
-    """Let Python workers on this machine import the package from where the driver did.
+    """Let Python workers on this machine import the package from where the driver did, and keep
+    the batches sent to them small.
 
     On a cluster the package is installed on the executors; there the extra path is harmless.
     """
@@ -33,10 +39,13 @@ def importable(spark: SparkSession) -> SparkSession:
     known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in known:
         environment["PYTHONPATH"] = os.pathsep.join([*known, root])
+    held = spark.conf.get(_BATCH_SETTING, "")
+    if not held.isdigit() or int(held) > BATCH_BYTES:  # a smaller setting of the session stays
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
     return spark
 
 
 def map_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
-    """``mapInArrow`` with the package importable in the workers."""
+    """``mapInArrow`` with the package importable in the workers, in batches of bounded size."""
     importable(df.sparkSession)
     return df.mapInArrow(function, schema)

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 #: bytes of text worked on at a time; a longer text is a piece of its own
-PIECE = 1 << 20
+PIECE = 1 << 18
 #: odd multipliers of the two rolling hashes over words, and of the hash over bytes
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 BYTE_BASE = 0xA0761D6478BD642F
