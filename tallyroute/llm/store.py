@@ -39,8 +39,8 @@ def importable(spark: SparkSession) -> SparkSession:
     known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in known:
         environment["PYTHONPATH"] = os.pathsep.join([*known, root])
-    held = spark.conf.get(_BATCH_SETTING, "")
-    if not held.isdigit() or int(held) > BATCH_BYTES:  # a smaller setting of the session stays
+    held = spark.conf.get(_BATCH_SETTING).removesuffix("b")
+    if not held.isdigit() or not 0 < int(held) <= BATCH_BYTES:  # a smaller setting stays
         spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
     return spark
 
