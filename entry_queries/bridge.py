@@ -331,7 +331,7 @@ def tables(d: type[Spark] | type[Duck]) -> dict[str, tuple[str, str, dict[str, s
             "cash_flow_amount": "s_acctbal", "cash_flow_count": _int("s_suppkey % 9")}),
         "mst_user": ("supplier", "", {
             "user_id": "s_suppkey",
-            "full_name": f"'Owner ' || {txt(d.div('s_suppkey', 2))}",
+            "full_name": f"CASE WHEN s_suppkey % 7 > 0 THEN 'Owner ' || {txt(d.div('s_suppkey', 2))} END",
             "email_address": f"'owner' || {txt('s_suppkey')} || '@example.org'",
             "is_active": "s_suppkey % 9 <> 0", "location_id": "s_nationkey",
             "department_id": _int("s_suppkey % 5"),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from entry_queries.registry import Source, day, query, ts
-from tallyroute.functions import dates, rules
+from tallyroute.functions import rules
 from tallyroute.operators import allocate, measures, pick
 from tallyroute.operators.running import running_by
 
@@ -50,10 +50,10 @@ def line_steps(t: Source) -> DataFrame:
                           F.expr(SIZE_CLASS).alias("size_class"))
     steps = running_by(
         lines.join(sized, "l_partkey"), ["o_custkey"], LINE_ORDER,
-        dates.day_key("l_shipdate"), number="seq",
+        number="seq",
         previous={"prev_class": "size_class", "prev_flag": "l_returnflag",
                   "prev_ship": "l_shipdate"},
-        sized_by=lines.select("o_custkey"),
+        sample_of=lines,
     )
     return steps.withColumn("gap_days", F.date_diff(F.to_date("l_shipdate"),
                                                     F.to_date("prev_ship")))
@@ -219,7 +219,7 @@ def balanced_reassign(t: Source) -> DataFrame:
                            F.trunc(F.to_date("o_orderdate"), "MM").alias("month"))
     dealt = allocate.balanced_reassign(
         rows, ["month", "o_orderpriority"], "o_custkey", BALANCE_OWNERS, "o_orderdate",
-        "o_orderkey", dates.day_key("o_orderdate"))
+        "o_orderkey")
     return dealt.select("o_orderkey", "o_orderpriority", "month", "new_owner", "kept")
 
 

@@ -258,19 +258,23 @@ REPEAT_SUBSTATUS = 3
 NEW_SUBSTATUS = (1, 2)
 NOT_PITCHED = 5
 ACTIVE_SUBSCRIPTION = 29
-WORKABLE = (6, 7, 13, 14, *range(16, 29), 54, 55, 57, 60)
+WORKABLE = (6, 7, 13, 14, 16, 17, 18, 19, 20, 21, 22, 23, 24, 25, 26, 27, 28, 54, 55, 57, 60)
 NON_WORKABLE = (9, 10, 11, 15, 56, 58, 59, 61, 64, 65)
-CONVERTED = (*range(29, 51), 52, 53, 71)
-WORKABLE_FOLLOW_UP = (3, *WORKABLE)
+CONVERTED = (
+    29, 30, 31, 32, 33, 34, 35, 36, 37, 38, 39, 40, 41, 42, 43, 44, 45, 46, 47, 48, 49, 50, 52,
+    53, 71,
+)
+WORKABLE_FOLLOW_UP = (
+    3, 6, 7, 13, 14, 16, 17, 18, 19, 20, 21, 22, 23, 24, 25, 26, 27, 28, 54, 55, 57, 60,
+)
 WORKABLE_UNTOUCHED = (2, 3, 5, 6, 13, 16, 18, 19, 21, 24, 25, 57, 60)
 NON_WORKABLE_UNTOUCHED = (14, 26, 27, 28, 32, 35, 52, 53, 55)
 LOSS_SUBSTATUS = (10, 11, 15, 56, 58, 59, 61, 64, 65)
-STALE_SUBSTATUS = (10, 11)
 TRANSFERABLE = (
-    *range(1, 4), *range(5, 8), *range(9, 12), *range(13, 29), *range(54, 63), 64, 65,
+    1, 2, 3, 5, 6, 7, 9, 10, 11, 13, 14, 15, 16, 17, 18, 19, 20, 21, 22, 23, 24, 25, 26, 27, 28,
+    54, 55, 56, 57, 58, 59, 60, 61, 62, 64, 65,
 )
 EXPIRED_SUBSTATUS = (30, 32, 35)
-EXCLUDED_PLAN = 23
 
 
 def bucket_conditions(column: str) -> dict[str, str]:
@@ -286,9 +290,10 @@ def bucket_conditions(column: str) -> dict[str, str]:
 
 #: status id -> substatus ids shown under a fixed label; elsewhere the substatus name is shown
 STATUS_GROUPS = (
-    (5, (2, 3, *range(16, 23), *range(24, 29), 54, 55, 58, 66, 67, 68, 73, 74, 75), "ONBOARDING"),
-    (6, (21, 29, 30, *range(32, 37), 52, 53), "SUBSCRIPTION"),
-    (7, (*range(37, 51), 71), "SUBSCRIPTION"),
+    (5, (2, 3, 16, 17, 18, 19, 20, 21, 22, 24, 25, 26, 27, 28, 54, 55, 58, 66, 67, 68, 73, 74,
+         75), "ONBOARDING"),
+    (6, (21, 29, 30, 32, 33, 34, 35, 36, 52, 53), "SUBSCRIPTION"),
+    (7, (37, 38, 39, 40, 41, 42, 43, 44, 45, 46, 47, 48, 49, 50, 71), "SUBSCRIPTION"),
 )
 
 

@@ -12,10 +12,20 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Day-first and year-first spellings of a date.  Fixed values.
-DAY_FIRST_SHAPE = r"^(\d{1,2})[/-](\d{1,2})[/-](\d{4})$"
-YEAR_FIRST_SHAPE = r"^(\d{4})[/-](\d{1,2})[/-](\d{1,2})$"
-
+#: Spellings of a date.  Fixed values.
+DAY_FIRST_SHAPE = r"^(\d{1,2})([/. -])(\d{1,2})\2(\d{4}|\d{2})$"
+YEAR_FIRST_SHAPE = r"^(\d{4})([/. -])(\d{1,2})\2(\d{1,2})$"
+DAY_MONTH_NAME_SHAPE = r"^(\d{1,2})(?:st|nd|rd|th)?[/. ,-]*([a-z]{3,9})[/. ,-]*(\d{4}|\d{2})$"
+MONTH_NAME_DAY_SHAPE = r"^([a-z]{3,9})[/. ,-]*(\d{1,2})(?:st|nd|rd|th)?[ ,]+(\d{4}|\d{2})$"
+#: A time of day behind a date.  Fixed value.
+TIME_SHAPE = (r"(?i)(t|\s+)\d{1,2}:\d{2}(:\d{2}([.,]\d+)?)?\s*([ap]m)?"
+              r"\s*(z|utc|[+-]\d{2}:?\d{2})?$")
+MONTH_NAMES = ("january", "february", "march", "april", "may", "june", "july", "august",
+               "september", "october", "november", "december")
+#: Two-digit years up to this one are 20xx, later ones 19xx.  Fixed value.
+LAST_SHORT_YEAR = 68
+#: Plain or scientific decimal number.  Fixed value.
+NUMBER_SHAPE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 #: Byte-order mark as read in UTF-8 and as mis-read in Latin-1.  Fixed values.
 BYTE_ORDER_MARKS = ("\ufeff", "\u00ef\u00bb\u00bf")
@@ -100,8 +110,16 @@ def pipe_separated(value: str | Column) -> Column:
 
 
 def number(value: str | Column) -> Column:
-    """Double with thousands commas removed."""
-    return F.regexp_replace(F.trim(_col(value)), ",", "").try_cast("double")
+    """Finite double with thousands commas removed; words such as ``nan`` and ``inf``, type
+    suffixes and numbers beyond a double are NULL."""
+    text = F.regexp_replace(F.trim(_col(value)), ",", "")
+    parsed = F.when(text.rlike(NUMBER_SHAPE), text).try_cast("double")
+    return F.when(F.abs(parsed) < F.lit(float("inf")), parsed)
+
+
+def whole(value: str | Column) -> Column:
+    """Whole part of a number as a 64-bit integer; 0 if missing, NULL if it does not fit."""
+    return F.coalesce(_col(value), F.lit(0)).try_cast("bigint")
 
 
 def digits(value: str | Column) -> Column:
@@ -117,18 +135,49 @@ def positive_int(value: str | Column) -> Column:
     return F.when(parsed > 0, parsed)
 
 
+def _full_year(year: Column) -> Column:
+    century = F.when(year.try_cast("int") <= LAST_SHORT_YEAR, "20").otherwise("19")
+    return F.when(F.length(year) == 2, F.concat(century, year)).otherwise(year)
+
+
+def _month_number(name: Column) -> Column:
+    """Number of a month given by its name or at least its first three letters."""
+    found = F.lit(None).cast("string")
+    for number_, month in enumerate(MONTH_NAMES, 1):
+        found = F.when(F.startswith(F.lit(month), name), str(number_)).otherwise(found)
+    return found
+
+
 def day_first_date(value: str | Column) -> Column:
-    """Date written day first or year first; an impossible day is NULL.
+    """Date written day first, year first or with the month's name, with a two- or four-digit
+    year, with or without a time of day; an impossible day is NULL.
 
     Rewritten to ISO and cast: the cast reads digits itself, while a format parser throws for
     every row written in another spelling.
     """
-    text = F.trim(_col(value))
+    text = F.regexp_replace(F.lower(F.trim(_col(value))), TIME_SHAPE, "")
+    # a lambda keeps the many shapes out of the generated code of wide files
+    return F.transform(F.array(text), _read_day)[0]
+
+
+def _read_day(text: Column) -> Column:
+    def part(shape: str, group: int) -> Column:
+        return F.regexp_extract(text, shape, group)
+
+    def iso(shape: str, year: int, month: Column, day: int) -> Column:
+        dash = F.lit("-")
+        return F.concat(
+            _full_year(part(shape, year)), dash, month, dash, part(shape, day)).try_cast("date")
+
     return (
         F.when(text.rlike(DAY_FIRST_SHAPE),
-               F.regexp_replace(text, DAY_FIRST_SHAPE, "$3-$2-$1").try_cast("date"))
+               iso(DAY_FIRST_SHAPE, 4, part(DAY_FIRST_SHAPE, 3), 1))
         .when(text.rlike(YEAR_FIRST_SHAPE),
-              F.regexp_replace(text, YEAR_FIRST_SHAPE, "$1-$2-$3").try_cast("date"))
+              iso(YEAR_FIRST_SHAPE, 1, part(YEAR_FIRST_SHAPE, 3), 4))
+        .when(text.rlike(DAY_MONTH_NAME_SHAPE),
+              iso(DAY_MONTH_NAME_SHAPE, 3, _month_number(part(DAY_MONTH_NAME_SHAPE, 2)), 1))
+        .when(text.rlike(MONTH_NAME_DAY_SHAPE),
+              iso(MONTH_NAME_DAY_SHAPE, 3, _month_number(part(MONTH_NAME_DAY_SHAPE, 1)), 2))
     )
 
 

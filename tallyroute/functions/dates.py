@@ -79,8 +79,3 @@ def older_than_days(value, as_of, days: int) -> Column:
 
 def from_day(value, day) -> Column:
     return in_range(value, midnight(day))
-
-
-def day_key(value) -> Column:
-    """Monotone integer day number, NULLs last; used to cut ordered work into chunks."""
-    return F.coalesce(F.unix_date(F.to_date(_col(value))), F.lit(2147483647))

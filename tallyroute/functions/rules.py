@@ -34,16 +34,5 @@ def classify(rules: Sequence[Rule], default: str | None = None) -> Column:
     return F.expr(case_text(rules, default))
 
 
-def classify_by(
-    selector: str, groups: Mapping[str, Sequence[Rule]], default: str | None = None
-) -> Column:
-    return F.expr(nested_case_text(selector, groups, default))
-
-
 def in_list(column: str, ids: Sequence[int]) -> str:
     return f"{column} IN ({', '.join(str(i) for i in ids)})"
-
-
-def flag(condition: str) -> Column:
-    """1 where the condition holds, 0 where it does not or is unknown."""
-    return F.expr(f"CASE WHEN {condition} THEN 1 ELSE 0 END")

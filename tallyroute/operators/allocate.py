@@ -8,8 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyroute.operators.pick import newest, nth_by
-from tallyroute.operators.running import HOT_ROWS, INDEX_WIDTH, dense_index, running_by
+from tallyroute.operators.running import dense_index, running_by
 from tallyroute.session import cut_lineage
 
 #: slots unfolded from one array while expanding quotas
@@ -22,9 +21,9 @@ def turn(owners: Sequence[int], position: Column) -> Column:
     return F.element_at(seats, (position % len(owners) + 1).cast("int"))
 
 
-def first_n(df: DataFrame, unique_id: str, n: int, width: int = INDEX_WIDTH) -> DataFrame:
+def first_n(df: DataFrame, unique_id: str, n: int) -> DataFrame:
     """First ``n`` rows along a unique id, for a batch too large for a driver-side top-k."""
-    return dense_index(df, unique_id, "__idx", width).where(F.col("__idx") < n).drop("__idx")
+    return dense_index(df, unique_id, "__idx").where(F.col("__idx") < n).drop("__idx")
 
 
 def round_robin(
@@ -33,10 +32,9 @@ def round_robin(
     owners: Sequence[int],
     name: str = "new_owner",
     limit: int | None = None,
-    width: int = INDEX_WIDTH,
 ) -> DataFrame:
     """Deal rows in id order to the owners in turn; ``limit`` keeps the first rows only."""
-    indexed = dense_index(df, unique_id, "__idx", width)
+    indexed = dense_index(df, unique_id, "__idx")
     if limit is not None:
         indexed = indexed.where(F.col("__idx") < limit)
     return indexed.withColumn(name, turn(owners, F.col("__idx"))).drop("__idx")
@@ -49,36 +47,30 @@ def balanced_reassign(
     owners: Sequence[int],
     created: str,
     surrogate: str,
-    chunk: Column,
     name: str = "new_owner",
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Per group the newest row held by a listed owner stays; the others are dealt in turn.
 
     ``kept`` tells the two kinds apart.  ``surrogate`` is unique within a group and group
-    columns are not NULL.  Numbering runs per group in chunks, so a group may be any size.
+    columns are not NULL.  All rows are numbered along (created, surrogate) in one pass; the rows
+    behind the one that stays move up by one turn.
     """
-    place = [*groups, surrogate]
-    stays = nth_by(
-        df.where(F.col(holder).isin(list(owners))), groups, newest(created, surrogate)
-    ).select(*place)
-    kept = df.join(stays, place, "left_semi").select(
-        *df.columns, F.col(holder).cast("bigint").alias(name), F.lit(True).alias("kept")
-    )
-    rest = running_by(
-        df.join(stays, place, "left_anti"),
-        groups,
-        [created, surrogate],
-        chunk,
-        number="__turn",
-        hot_rows=hot_rows,
-        sized_by=df,
-    ).select(
+    def rank() -> Column:
+        return F.struct(F.col(created).isNull().alias("n"), F.col(created).alias("c"),
+                        F.col(surrogate).alias("s"))
+
+    held = F.coalesce(F.col(holder).isin(list(owners)), F.lit(False))
+    stays = df.where(held).groupBy(*groups).agg(F.max(rank()).alias("__stays"))
+    numbered = running_by(df, groups, [created, surrogate], number="__turn")
+    dealt = numbered.join(stays, list(groups), "left").withColumns({
+        "kept": F.coalesce(F.col("__stays") == rank(), F.lit(False)),
+        "__behind": F.coalesce(rank() > F.col("__stays"), F.lit(False)).cast("int")})
+    return dealt.select(
         *df.columns,
-        turn(owners, F.col("__turn") - 1).alias(name),
-        F.lit(False).alias("kept"),
+        F.when(F.col("kept"), F.col(holder).cast("bigint"))
+        .otherwise(turn(owners, F.col("__turn") - F.col("__behind") - 1)).alias(name),
+        "kept",
     )
-    return kept.unionByName(rest)
 
 
 def quota_ranges(
@@ -87,23 +79,13 @@ def quota_ranges(
     owner: str,
     quota: str,
     row_id: str,
-    *,
-    hot_rows: int = HOT_ROWS,
-    width: int = INDEX_WIDTH,
 ) -> DataFrame:
     """Per request the slice ``[lo, hi)`` of its owner's pool, in row order.
 
     A request takes at most what is left, possibly nothing.
     """
     stock = pool.groupBy(owner).agg(F.count(F.lit(1)).alias("__stock"))
-    ranged = running_by(
-        requests,
-        [owner],
-        [row_id],
-        F.floor(F.col(row_id) / F.lit(width)),
-        sums={"__asked_before": quota},
-        hot_rows=hot_rows,
-    )
+    ranged = running_by(requests, [owner], [row_id], sums={"__asked_before": quota})
     left = F.coalesce(F.col("__stock"), F.lit(0)).cast("bigint")
     lo = F.least(F.col("__asked_before").cast("bigint"), left)
     hi = F.least(F.col("__asked_before").cast("bigint") + F.col(quota), left)
@@ -121,9 +103,6 @@ def quota_allocate(
     quota: str,
     row_id: str,
     pool_id: str,
-    *,
-    hot_rows: int = HOT_ROWS,
-    width: int = INDEX_WIDTH,
 ) -> tuple[DataFrame, DataFrame]:
     """Give each request the next ``quota`` rows of its owner's pool, in request order.
 
@@ -132,9 +111,7 @@ def quota_allocate(
     join on (owner, slot): one partner each, whatever the size of the owner.
     """
     wanted = pool.join(requests.select(owner).distinct(), owner, "left_semi")
-    ranges = quota_ranges(
-        requests, wanted, owner, quota, row_id, hot_rows=hot_rows, width=width
-    )
+    ranges = quota_ranges(requests, wanted, owner, quota, row_id)
     taken = ranges.where(F.col("hi") > F.col("lo")).select(row_id, owner, "lo", "hi")
     blocks = taken.withColumn(
         "__from", F.explode(F.sequence("lo", F.col("hi") - 1, F.lit(SLOT_BLOCK).cast("bigint")))
@@ -146,48 +123,37 @@ def quota_allocate(
             F.sequence("__from", F.least(F.col("__from") + SLOT_BLOCK, F.col("hi")) - 1)
         ).alias("slot"),
     )
-    ranked = running_by(
-        wanted,
-        [owner],
-        [pool_id],
-        F.floor(F.col(pool_id) / F.lit(width)),
-        number="__rank",
-        hot_rows=hot_rows,
-    ).select("*", (F.col("__rank") - 1).alias("slot")).drop("__rank")
+    ranked = running_by(wanted, [owner], [pool_id], number="__rank").select(
+        "*", (F.col("__rank") - 1).alias("slot")).drop("__rank")
     return ranked.join(slots, [owner, "slot"]), ranges
 
 
 def climb_hierarchy(
-    users: DataFrame,
-    user: str,
-    manager: str,
-    qualifies: Column,
-    fallback: int,
-    max_depth: int = 1024,
+    users: DataFrame, user: str, manager: str, qualifies: Column, fallback: int
 ) -> DataFrame:
     """For every user the first qualifying person on the way up, the user included.
 
-    Each round doubles the distance looked ahead, so ``log2(max_depth)`` joins do; the frame is
-    checkpointed per round to keep the plan flat.  Missing managers, cycles and chains deeper
-    than ``max_depth`` end at ``fallback``.
+    Each round doubles the distance looked ahead and is checkpointed to keep the plan flat.  A
+    chain is at most as long as there are users, so ``log2(users) + 1`` rounds reach every top;
+    who is still on the way then goes round in a cycle.  Cycles and missing managers end at
+    ``fallback``.
     """
-    state = users.select(
+    state = cut_lineage(users.select(
         F.col(user).alias("node"),
         F.when(qualifies, F.col(user)).alias("found"),
         F.when(~F.coalesce(qualifies, F.lit(False)), F.col(manager)).alias("up"),
-    )
-    for _ in range(max(1, math.ceil(math.log2(max_depth)))):
-        state = cut_lineage(state)
+    ))
+    for _ in range(math.ceil(math.log2(max(2, state.count()))) + 1):
         if state.where(F.col("found").isNull() & F.col("up").isNotNull()).isEmpty():
             break
         ahead = state.select(
             F.col("node").alias("up"), F.col("found").alias("__f"), F.col("up").alias("__u")
         )
-        state = state.join(ahead, "up", "left").select(
+        state = cut_lineage(state.join(ahead, "up", "left").select(
             "node",
             F.coalesce("found", "__f").alias("found"),
             F.when(F.col("found").isNull() & F.col("__f").isNull(), F.col("__u")).alias("up"),
-        )
+        ))
     return state.select(
         F.col("node").alias(user),
         F.coalesce(F.col("found"), F.lit(fallback)).alias("responsible"),

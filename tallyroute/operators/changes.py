@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyroute.operators.pick import latest_by, nth_by, preferred_by
-from tallyroute.operators.running import HOT_ROWS, INDEX_WIDTH, dense_index, running_by
+from tallyroute.operators.running import dense_index, running_by
 from tallyroute.operators.unions import stack
 
 SALES, SERVICE = "Sales", "Customer Service"
@@ -51,10 +51,10 @@ def next_number(table: DataFrame, column: str) -> Column:
 
 
 def with_new_ids(rows: DataFrame, table: DataFrame, id_column: str, along: str,
-                 tie: Sequence[str] = (), width: int = INDEX_WIDTH) -> DataFrame:
+                 tie: Sequence[str] = ()) -> DataFrame:
     """Number new rows above the ids in use, in the order of a unique request id."""
     return (
-        dense_index(rows, along, "__idx", width, tie)
+        dense_index(rows, along, "__idx", tie)
         .withColumn(id_column, next_number(table, id_column) + F.col("__idx"))
         .drop("__idx")
     )
@@ -133,8 +133,6 @@ def closing_mappings(
     moves: DataFrame,
     kind: str,
     match: str,
-    hot_rows: int = HOT_ROWS,
-    width: int = INDEX_WIDTH,
 ) -> DataFrame:
     """Open mapping each move closes: (``move_id``, ``mapping_id``).
 
@@ -153,12 +151,10 @@ def closing_mappings(
         moves.select(match, "old_rm_id").distinct(), [match, "old_rm_id"], "left_semi"
     ).withColumn("__down", -F.col("mapping_id"))
     ranked = running_by(
-        wanted, [match, "old_rm_id"], ["__down"], F.floor(F.col("__down") / F.lit(width)),
-        number="k", hot_rows=hot_rows,
+        wanted, [match, "old_rm_id"], ["__down"], number="k"
     ).select(match, "old_rm_id", "k", "mapping_id")
     turns = running_by(
-        moves.select("move_id", match, "old_rm_id"), [match, "old_rm_id"], ["move_id"],
-        F.floor(F.col("move_id") / F.lit(width)), number="k", hot_rows=hot_rows,
+        moves.select("move_id", match, "old_rm_id"), [match, "old_rm_id"], ["move_id"], number="k"
     )
     return turns.join(ranked, [match, "old_rm_id", "k"]).select("move_id", "mapping_id")
 

@@ -1,10 +1,12 @@
 """Row numbers, previous values and running sums per key, safe for a hot key.
 
-A plain window puts each key into one task.  Here keys are counted first (one narrow pass with
-map-side counts).  If none is larger than ``hot_rows`` a plain window does.  Otherwise the rows
-of a hot key are cut into chunks along the order; each chunk is one window group, and a small
-summary per chunk carries the count, the sums and the last row over to the next chunk.
-All cuts depend on values only, so a retried task sees the same groups.
+A plain window puts each key into one task.  Here a bounded sample of the data tells which keys
+hold many rows and where, along the order, such a key can be cut into pieces of like size.  Each
+piece is one window group, and a small summary per piece carries the count, the sums and the last
+row over to the next one.  There is one way for every size: a key with few rows is one piece.
+
+The sample is drawn by a hash of the order columns, and its bounds are values of the data, so a
+retried task sees the same pieces.  Nothing runs while the plan is built.
 """
 
 from __future__ import annotations
@@ -15,10 +17,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: a key above this many rows is processed in chunks
-HOT_ROWS = 2_000_000
-#: ids per chunk of :func:`dense_index`
-INDEX_WIDTH = 1 << 20
+#: rows, on average, the pieces are found from; what is broadcast is bounded by it
+SAMPLE = 1 << 16
+#: sampled rows from which on a key is cut, and the most pieces it is cut into
+HEAVY, PIECES = 16, 1024
+#: bounds looked at in one step while the piece of a row is found
+FAN = 32
+_SCALE = 1 << 30
 
 
 def _non_null(df: DataFrame, name: str) -> list[tuple[str, Column]]:
@@ -48,72 +53,86 @@ def _sort_rank(df: DataFrame, order: Sequence[str]) -> Column:
     return F.struct(*parts)
 
 
+def _stand_ins(df: DataFrame, keys: Sequence[str]) -> dict[str, Column]:
+    """Key columns without NULLs; a constant if there is no key."""
+    return dict(pair for key in keys for pair in _non_null(df, key)) or {"__k": F.lit(0)}
+
+
+def _heavy_keys(source: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Keys with many sampled rows and the sorted bounds of their pieces.
+
+    At most as many bounds as sampled rows, so the result may be broadcast.
+    """
+    held = _stand_ins(source, keys)
+    total = source.agg(F.count(F.lit(1)).cast("double")).scalar()
+    draw = F.pmod(F.xxhash64(*order), F.lit(_SCALE)).cast("double")
+    drawn = (
+        source.where(draw * total < float(SAMPLE) * _SCALE)
+        .select(*[column.alias(name) for name, column in held.items()],
+                _sort_rank(source, order).alias("__rank"))
+        .distinct()
+    )
+    ranks = F.sort_array("__ranks")
+    step = F.ceil(F.size("__ranks") / PIECES)
+    return (
+        drawn.groupBy(*held).agg(F.collect_list("__rank").alias("__ranks"))
+        .where(F.size("__ranks") >= HEAVY)
+        .select(*held, F.filter(ranks, lambda _, i: i % step == 0).alias("__bounds"))
+        .withColumn("__steps", F.filter("__bounds", lambda _, i: i % FAN == 0))
+    )
+
+
+def _piece(rank: Column) -> Column:
+    """Number of bounds up to the row, found in two steps; 0 for a key that is not cut."""
+    def upto(bounds: Column) -> Column:
+        return F.size(F.filter(bounds, lambda bound: bound <= rank))
+
+    step = upto(F.col("__steps")) - 1
+    inside = upto(F.slice("__bounds", step * FAN + 1, F.lit(FAN)))
+    return F.when(F.col("__bounds").isNull() | (step < 0), 0).otherwise(step * FAN + inside)
+
+
 def running_by(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    chunk: Column,
     *,
     number: str | None = None,
     previous: Mapping[str, str] | None = None,
     sums: Mapping[str, str] | None = None,
-    hot_rows: int = HOT_ROWS,
-    sized_by: DataFrame | None = None,
+    sample_of: DataFrame | None = None,
 ) -> DataFrame:
     """Add per-key running columns in ascending order, NULLs last.
 
-    ``chunk``     whole number that never falls along ``order``; bounds the rows of one window
-                  group of a hot key
+    ``order``     columns whose values together differ between the rows of a key
     ``number``    name of the 1-based row number
     ``previous``  new name -> column of the row before
     ``sums``      new name -> column summed over all rows before this one (0 for the first)
-    ``sized_by``  cheaper frame with the same keys and at least as many rows, to find hot keys
-
-    Hot keys number at most ``rows / hot_rows``, which bounds the broadcast side.
+    ``sample_of`` cheaper frame with the same keys and order columns to find the pieces from
     """
     previous, sums = dict(previous or {}), dict(sums or {})
-    order = list(order)
-    source = sized_by if sized_by is not None else df
-    stand_ins = [pair for key in keys for pair in _non_null(df, key)]
-    names = [name for name, _ in stand_ins]
-
-    def with_keys(frame: DataFrame) -> DataFrame:
-        return frame.withColumns(dict(stand_ins))
-
-    hot = (
-        with_keys(source.select(*keys))
-        .groupBy(*names)
-        .agg(F.count(F.lit(1)).alias("__rows"))
-        .where(F.col("__rows") > hot_rows)
-        .select(*names, F.lit(True).alias("__hot"))
-    )
-
-    def window_columns(groups: Sequence[str]) -> dict[str, Column]:
-        window = Window.partitionBy(*groups).orderBy(
-            *[F.col(name).asc_nulls_last() for name in order]
-        )
-        before = window.rowsBetween(Window.unboundedPreceding, -1)
-        added = {"__number": F.row_number().over(window).cast("bigint")}
-        added |= {f"__p_{new}": F.lag(old).over(window) for new, old in previous.items()}
-        added |= {
-            f"__s_{new}": F.coalesce(F.sum(old).over(before), F.lit(0))
-            for new, old in sums.items()
-        }
-        return added
-
-    if hot.isEmpty():
-        plain = df.withColumns(window_columns(list(keys)))
-        found = [F.col("__number").alias(number)] if number else []
-        found += [F.col(f"__p_{new}").alias(new) for new in previous]
-        found += [F.col(f"__s_{new}").alias(new) for new in sums]
-        return plain.select(*df.columns, *found)
-
+    keys, order = list(keys), list(order)
+    held = _stand_ins(df, keys)
+    names = list(held)
+    heavy = _heavy_keys(df if sample_of is None else sample_of, keys, order)
+    if keys:
+        marked = df.withColumns(held).join(F.broadcast(heavy), names, "left")
+    else:  # all rows have the same bounds
+        marked = df.withColumns(held | {
+            name: heavy.select(name).scalar() for name in ("__bounds", "__steps")})
     rows = (
-        with_keys(df)
-        .join(F.broadcast(hot), names, "left")
-        .withColumn("__cut", F.when(F.col("__hot"), chunk.cast("bigint")).otherwise(F.lit(0)))
+        marked.withColumn("__cut", _piece(_sort_rank(df, order)))
+        .withColumn("__hot", F.col("__bounds").isNotNull())
+        .drop("__bounds", "__steps")
     )
-    numbered = rows.withColumns(window_columns([*names, "__cut"]))
+    window = Window.partitionBy(*names, "__cut").orderBy(
+        *[F.col(name).asc_nulls_last() for name in order])
+    before = window.rowsBetween(Window.unboundedPreceding, -1)
+    added = {"__number": F.row_number().over(window).cast("bigint")}
+    added |= {f"__p_{new}": F.lag(old).over(window) for new, old in previous.items()}
+    added |= {f"__s_{new}": F.coalesce(F.sum(old).over(before), F.lit(0))
+              for new, old in sums.items()}
+    numbered = rows.withColumns(added)
 
     totals = [F.count(F.lit(1)).alias("__rows")]
     totals += [F.sum(old).alias(f"__t_{new}") for new, old in sums.items()]
@@ -123,20 +142,17 @@ def running_by(
     along = Window.partitionBy(*names).orderBy("__cut")
     earlier = along.rowsBetween(Window.unboundedPreceding, -1)
     carried = [F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__rows_before")]
-    carried += [
-        F.coalesce(F.sum(f"__t_{new}").over(earlier), F.lit(0)).alias(f"__t_{new}")
-        for new in sums
-    ]
+    carried += [F.coalesce(F.sum(f"__t_{new}").over(earlier), F.lit(0)).alias(f"__t_{new}")
+                for new in sums]
     if previous:
         carried.append(F.lag("__tail").over(along).alias("__tail"))
+    # a row per piece of the heavy keys: no more than there are bounds and heavy keys
     summary = (
-        rows.where(F.col("__hot"))
-        .groupBy(*names, "__cut")
-        .agg(*totals)
+        rows.where("__hot").groupBy(*names, "__cut").agg(*totals)
         .select(*names, "__cut", *carried)
     )
 
-    joined = numbered.join(summary, [*names, "__cut"], "left")
+    joined = numbered.join(F.broadcast(summary), [*names, "__cut"], "left")
     final: dict[str, Column] = {}
     if number:
         final[number] = F.col("__number") + F.coalesce(F.col("__rows_before"), F.lit(0))
@@ -150,28 +166,9 @@ def running_by(
 
 
 def dense_index(
-    df: DataFrame,
-    unique_id: str,
-    name: str = "idx",
-    width: int = INDEX_WIDTH,
-    tie: Sequence[str] = (),
+    df: DataFrame, unique_id: str, name: str = "idx", tie: Sequence[str] = ()
 ) -> DataFrame:
-    """0-based position along a unique whole-number id, without a one-task global window.
-
-    Ids are cut into ranges of ``width``; a range holds at most ``width`` rows because the id
-    is unique, alone or together with the few ``tie`` columns.  Only the per-range counts,
-    ``(max - min) / width`` rows, meet in one task.
-    """
-    rows = df.withColumn("__cut", F.floor(F.col(unique_id) / F.lit(width)))
-    inside = Window.partitionBy("__cut").orderBy(unique_id, *tie)
-    counts = rows.groupBy("__cut").agg(F.count(F.lit(1)).alias("__rows"))
-    earlier = Window.orderBy("__cut").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        "__cut", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__before")
-    )
-    return (
-        rows.withColumn("__inside", F.row_number().over(inside))
-        .join(offsets, "__cut")
-        .withColumn(name, (F.col("__before") + F.col("__inside") - 1).cast("bigint"))
-        .select(*df.columns, name)
-    )
+    """0-based position along an id, unique alone or together with the ``tie`` columns, without a
+    one-task global window; ids may be as sparse as they like."""
+    numbered = running_by(df, [], [unique_id, *tie], number="__position")
+    return numbered.select(*df.columns, (F.col("__position") - 1).alias(name))

@@ -91,7 +91,7 @@ def _payment_rows(
     rows: DataFrame, crm: Crm, run: Run, approved_by: str, along: str, tie: Sequence[str] = ()
 ) -> DataFrame:
     def whole(name: str) -> Column:
-        return F.col(name).cast("bigint")
+        return F.col(name).try_cast("bigint")
 
     numbered = with_new_ids(rows, crm["offline_payment"], "offline_payment_id", along, tie)
     note = payload.object_of(
@@ -196,8 +196,3 @@ def unprocessed_extract(crm: Crm, requests: DataFrame) -> DataFrame:
         .join(due_instalments(crm, unpaid_only=False), ["lead_id", "due_date"])
         .withColumn("offline_payment_id", F.lit(None).cast("bigint"))
     )
-
-
-def renamed_repeats(names: Sequence[str]) -> Mapping[str, str]:
-    """``name.1`` headers of repeated columns to ``name_1``."""
-    return {name: name.replace(".", "_") for name in names if name[-2:-1] == "."}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyroute.functions import catalog, dates, payload
 from tallyroute.operators import lookup, measures, unions
 from tallyroute.operators.pick import any_by, earliest_by, latest_by
-from tallyroute.operators.running import HOT_ROWS, running_by
+from tallyroute.operators.running import running_by
 from tallyroute.session import cut_lineage
 
 Crm = Mapping[str, DataFrame]
@@ -24,10 +24,10 @@ def named(dim: DataFrame, key: str, as_key: str, **columns: str) -> DataFrame:
 
 
 def people(crm: Crm, as_key: str, prefix: str, **extra: str) -> DataFrame:
-    """Users with their centre name."""
+    """Users with their centre name; ``<prefix>_user`` tells a known user, named or not."""
     return lookup.star(
-        named(crm["mst_user"], "user_id", as_key, **{f"{prefix}_name": "full_name"},
-              location_id="location_id", **extra),
+        named(crm["mst_user"], "user_id", as_key, location_id="location_id",
+              **{f"{prefix}_user": "user_id", f"{prefix}_name": "full_name"}, **extra),
         (named(crm["mst_location"], "location_id", "location_id", **{f"{prefix}_center": "name"}),
          "location_id"),
     ).drop("location_id")
@@ -52,7 +52,7 @@ def paid_instalments(crm: Crm) -> DataFrame:
     )
 
 
-def payment_sequence(crm: Crm, hot_rows: int = HOT_ROWS) -> DataFrame:
+def payment_sequence(crm: Crm) -> DataFrame:
     """Payments in order per contact with the values of the payment before.
 
     A payment counts through its earliest instalment, if that is for the same plan.
@@ -74,7 +74,7 @@ def payment_sequence(crm: Crm, hot_rows: int = HOT_ROWS) -> DataFrame:
         .join(contract, "onboarding_id", "left")
     )
     return running_by(
-        rows, ["contact_id"], ["payment_date", "payment_id"], dates.day_key("payment_date"),
+        rows, ["contact_id"], ["payment_date", "payment_id"],
         number="installment_rank",
         previous={
             "previous_expiry_date": "expiry_date",
@@ -83,8 +83,7 @@ def payment_sequence(crm: Crm, hot_rows: int = HOT_ROWS) -> DataFrame:
             "previous_sub_product_id": "sub_product_id",
             "previous_instalment_number": "instalment_number",
         },
-        hot_rows=hot_rows,
-        sized_by=crm["payment"],
+        sample_of=crm["payment"],
     )
 
 
@@ -112,10 +111,9 @@ def payment_scenarios(
     crm: Crm,
     names: Mapping[str, str] = catalog.FAMILY_NAMES,
     refund_column: str = "previous_status_id",
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Coarse ``payment_status`` and fine ``scenario`` per payment."""
-    facts = payment_sequence(crm, hot_rows).withColumns(scenario_facts(refund_column))
+    facts = payment_sequence(crm).withColumns(scenario_facts(refund_column))
     return facts.select(
         "payment_id", "contact_id", "sub_product_id", "installment_rank",
         F.expr(catalog.payment_status_text(names)).alias("payment_status"),
@@ -182,7 +180,8 @@ def primary_addresses(crm: Crm) -> DataFrame:
 
 
 def managers(crm: Crm) -> DataFrame:
-    return named(crm["mst_user"], "user_id", "manager_id", manager_name="full_name")
+    return named(crm["mst_user"], "user_id", "manager_id", manager_user="user_id",
+                 manager_name="full_name")
 
 
 def payments_detail(
@@ -210,7 +209,6 @@ def payments_detail(
         people(crm, "owner_id", "rm", manager_id="reporting_manager_id"),
         (managers(crm), "manager_id"),
     )
-    manager_known = F.when(F.col("manager_name").isNotNull(), F.col("manager_id"))
     typed = F.col("lead_type").isNotNull()
     lead_info = lookup.star(
         crm["lead"].select("lead_id", F.col("rm_id").alias("owner_id"), "utm_source",
@@ -220,7 +218,8 @@ def payments_detail(
          "lead_source_id"),
         (owner, "owner_id"),
     ).select(
-        "lead_id", "lead_type", "owner_id", "rm_name", "rm_center", "manager_id", "manager_name",
+        "lead_id", "lead_type", "owner_id", "rm_user", "rm_name", "rm_center", "manager_user",
+        "manager_name",
         F.when(typed, F.coalesce("source_name", "utm_source")).alias("lead_source"),
         F.when(typed, F.date_diff(F.lit(dates.midnight(as_of)).cast("date"),
                                   F.to_date("created_at"))).alias("lead_age"),
@@ -234,7 +233,7 @@ def payments_detail(
         typed_payments(crm)
         .join(amount, ["payment_id", "sub_product_id"])
         .join(lead_info, "lead_id", "left")
-        .where(F.col("rm_name").isNull() | (F.col("owner_id") != excluded_owner))
+        .where(F.col("rm_user").isNull() | (F.col("owner_id") != excluded_owner))
         .join(scenarios.select("payment_id", "payment_status", "scenario"), "payment_id", "left")
         .join(contract, "onboarding_id", "left")
         .join(birth_details(crm, as_of), "onboarding_id", "left")
@@ -251,7 +250,7 @@ def payments_detail(
         F.col("contract_lead_id").alias("lead_id"), "payment_date", "lead_name", "lead_email",
         "product", "sub_product", "lead_type", "rm_name",
         F.col("contract_rm_id").alias("rm_id"), "rm_center", "manager_name",
-        manager_known.alias("manager_id"), "lead_age",
+        F.col("manager_user").alias("manager_id"), "lead_age",
         F.col("onboarding_name").alias("onboarded_by_name"),
         F.col("onboarding_center").alias("onboarding_location"), "status", "substatus",
         "lead_source", "adjustment_amount", "amount_received", "state_name", "city_name",
@@ -326,7 +325,7 @@ def owner_directory(
     return rows.select(
         F.lit(dates.midnight(as_of)).cast("timestamp_ntz").alias("payment_date"), "rm_name",
         F.col("user_id").alias("rm_id"), "rm_center", "manager_name",
-        F.when(F.col("manager_name").isNotNull(), F.col("manager_id")).alias("manager_id"),
+        F.col("manager_user").alias("manager_id"),
         "rm_email", "is_active", "owner_product", "owner_sub_product", "product_family",
     )
 
@@ -342,9 +341,10 @@ def lead_pickups(
     picked = any_by(log.select("lead_id", "rm_id", "log_id", "created_at"),
                     ["lead_id", "rm_id"], "log_id")
     directory = owner_directory(crm, since, user_ids, names).drop("payment_date")
-    return picked.join(directory, "rm_id", "left").select(
+    known = directory.withColumn("rm_user", F.col("rm_id"))
+    return picked.join(known, "rm_id", "left").select(
         F.col("created_at").alias("refresh_date"), "rm_name",
-        F.when(F.col("rm_name").isNotNull(), F.col("rm_id")).alias("rm_id"), "rm_center",
+        F.col("rm_user").alias("rm_id"), "rm_center",
         "manager_name", "rm_email", "is_active", "owner_product", "owner_sub_product",
         "product_family", "created_at", F.col("rm_id").alias("log_rm_id"), "lead_id",
     )
@@ -388,7 +388,7 @@ def call_activity(crm: Crm) -> DataFrame:
     )
     return rows.select(
         F.col("created_at").alias("refresh_date"), "rm_name",
-        F.when(F.col("rm_name").isNotNull(), F.col("rm_id")).alias("rm_id"), "rm_center",
+        F.col("rm_user").alias("rm_id"), "rm_center",
         "created_at", "lead_id", *OUTCOMES, "call_duration",
         F.expr(catalog.status_group_text("status_id", "substatus_id", "substatus_name"))
         .alias("group_substatus"),
@@ -458,7 +458,7 @@ def lead_activity_payment(
     return rows.select(
         F.col("activity_at").alias("refresh_date"), "contact_id", "lead_id", "payment_date",
         "lead_name", "lead_email", "product", "sub_product", "rm_name",
-        F.when(F.col("rm_name").isNotNull(), F.col("owner_id")).alias("rm_id"), "rm_center",
+        F.col("rm_user").alias("rm_id"), "rm_center",
         "onboarding_id", "payment_id", "payment_status", "scenario", "owner_product",
         "owner_sub_product", "product_family", "created_at", "activity_lead_id",
         called.alias("called"), *zero, "call_duration",

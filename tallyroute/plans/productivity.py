@@ -315,7 +315,7 @@ def funnel_snapshot(
         F.col("created_at").alias("refresh_date"), F.col("updated_at").alias("new_lead_count_date"),
         F.col("manager_name").alias("captain_counsellor"),
         F.col("counsellor_name").alias("counsellor"),
-        F.when(F.col("counsellor_name").isNotNull(), F.col("rm_id")).alias("counsellor_id"),
+        F.col("counsellor_user").alias("counsellor_id"),
         F.col("counsellor_center").alias("location"), "lead_status", "lead_substatus",
         *[F.expr(f"CASE WHEN {text} THEN mappings ELSE 0L END").alias(name)
           for name, text in conditions.items()],
@@ -409,7 +409,7 @@ def lead_quality(crm: Crm, taken_with_owner_only: bool = True) -> DataFrame:
         "lead_id", F.col("lead_created_date").alias("report_date"),
         F.col("lead_created_date").alias("refresh_date"), "new_lead_count_date",
         F.col("counsellor_name").alias("counsellor"),
-        F.when(F.col("counsellor_name").isNotNull(), F.col("owner_id")).alias("counsellor_id"),
+        F.col("counsellor_user").alias("counsellor_id"),
         F.coalesce("counsellor_center", "initially_taken_by_location").alias("location"),
         "lead_status", "lead_substatus", "lead_name", "lead_mobile", "lead_email", "product",
         "sub_product", "utm_medium", "utm_source", "utm_campaign", "utm_content", "utm_url",
@@ -443,7 +443,7 @@ def loss_reasons(crm: Crm) -> DataFrame:
         F.col("created_at").alias("refresh_date"),
         F.col("updated_at").alias("new_lead_count_date"),
         F.col("counsellor_name").alias("counsellor"),
-        F.when(F.col("counsellor_name").isNotNull(), F.col("rm_id")).alias("counsellor_id"),
+        F.col("counsellor_user").alias("counsellor_id"),
         F.col("counsellor_center").alias("location"), "comment", "additional_comments",
     )
 

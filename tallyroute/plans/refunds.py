@@ -156,26 +156,23 @@ def refund_batch(crm: Crm, requests: DataFrame, run: Run) -> RefundBatch:
     grouped = per_contact(rows.where(F.col("process_status") == PENDING)).join(
         contract_payments(crm), "onboarding_id")
 
-    def whole(name: str) -> Column:
-        return F.coalesce(F.col(name).cast("bigint"), F.lit(0))
-
     kind = F.lit(REFUND_TYPE)
     numbered = with_new_ids(grouped, crm["refund"], "refund_id", "contact_id")
     refunds = numbered.select(
         "refund_id", "payment_id", "onboarding_id", "contact_id", "external_customer_id",
         "lead_id", "sub_product_id", kind.alias("type"),
-        whole("amount_paid").alias("received_amount"), whole("amount").alias("amount"),
-        whole("gst_amount").alias("gst_amount"), whole("refund_amount").alias("refund_amount"),
+        cleaning.whole("amount_paid").alias("received_amount"), cleaning.whole("amount").alias("amount"),
+        cleaning.whole("gst_amount").alias("gst_amount"), cleaning.whole("refund_amount").alias("refund_amount"),
         F.col("detail_concern").alias("comment"),
         F.col("payment_provider").alias("payment_provider_id"),
         kind.alias("payment_method_id"), F.col("utr").alias("payment_utr_number"),
-        "refund_date", whole("amount_paid").alias("net_amount"), F.lit("Pending").alias("status"),
+        "refund_date", cleaning.whole("amount_paid").alias("net_amount"), F.lit("Pending").alias("status"),
         run.now.alias("approved_rejected_at"), F.lit(run.actor).alias("approved_rejected_by"),
         run.now.alias("processed_at"), F.lit(run.actor).alias("processed_by"),
         F.lit(run.company).alias("company_id"),
         *[column.alias(name) for name, column in run.stamps().items()],
         F.lit(False).alias("send_refunded_email"), F.col("reason_id").alias("refund_reason_id"),
-        whole("refund_amount").alias("claim_amount"),
+        cleaning.whole("refund_amount").alias("claim_amount"),
         F.col("payment_ids").alias("temp_payment_ids"),
         payload.object_of(status=F.lit("Process By Tech Team")).alias("tech_response"),
     )

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from tallyroute.functions import catalog, cleaning, dates
 from tallyroute.operators import allocate, lookup
 from tallyroute.operators.pick import last_known
-from tallyroute.operators.running import HOT_ROWS, dense_index
+from tallyroute.operators.running import dense_index
 from tallyroute.operators.validate import PENDING, Check, first_failure, last_failure
 from tallyroute.plans.payments import Crm, named
+from tallyroute.session import cut_lineage
 
 #: headers of the lead creation file after squeezing.  Fixed values.
 CREATION_HEADERS = (
@@ -107,7 +108,6 @@ def service_plan(
     *,
     plans: Sequence[int] = (1, 2, 3),
     substatus: Sequence[int] = (29, 31),
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Balanced new service owner for running subscriptions, per start month and colour.
 
@@ -138,8 +138,8 @@ def service_plan(
         named(crm["mst_subproduct"], "sub_product_id", "sub_product_id", sub_product="name"),
         "sub_product_id")
     assigned = allocate.balanced_reassign(
-        rows, ["month", "color"], "assigned_to", owners, "created_at", "feedback_response_id",
-        dates.day_key("created_at"), "new_assigned_to", hot_rows)
+        cut_lineage(rows), ["month", "color"], "assigned_to", owners, "created_at",
+        "feedback_response_id", "new_assigned_to")
     users = crm["mst_user"]
     return lookup.star(
         assigned,

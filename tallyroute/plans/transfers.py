@@ -14,7 +14,6 @@ from tallyroute.operators.changes import (
     EXECUTE, Run, Transfer, last_request, transfer_leads, transferable,
 )
 from tallyroute.operators.pick import latest_by, nth_by
-from tallyroute.operators.running import HOT_ROWS, INDEX_WIDTH
 from tallyroute.operators.validate import Check, all_failures
 from tallyroute.plans.payments import Crm
 from tallyroute.session import cut_lineage
@@ -181,8 +180,6 @@ def transfer_by_quota(
     run: Run,
     *,
     nth: int = 1,
-    hot_rows: int = HOT_ROWS,
-    width: int = INDEX_WIDTH,
 ) -> TransferBatch:
     """Each valid row takes the next leads of its old owner, in file order.
 
@@ -193,7 +190,7 @@ def transfer_by_quota(
     pool = transferable(crm["lead"], run, below_status=5, stale_days=None, products=(1, 2)).select(
         F.col("rm_id").alias("old_rm_id"), "lead_id", "contact_id", "status_id", "substatus_id")
     taken, ranges = allocate.quota_allocate(
-        valid, pool, "old_rm_id", "quota", "row_id", "lead_id", hot_rows=hot_rows, width=width)
+        valid, pool, "old_rm_id", "quota", "row_id", "lead_id")
     names = rows.select("row_id", "full_name", "transfer_to_email", "new_rm_id")
     moved = _decided(taken.join(names, "row_id"), run)
     transfer = _apply(crm, moved.select("lead_id", "new_rm_id"), run, match="contact_id",
@@ -284,14 +281,13 @@ def allocation_moves(crm: Crm, allocation: DataFrame) -> DataFrame:
 
 def transfer_by_round_robin(
     crm: Crm, run: Run, old_owners: list[int] | None, new_owners: list[int], limit: int | None,
-    width: int = INDEX_WIDTH,
 ) -> TransferBatch:
     """The first transferable leads, in id order, are dealt to the new owners in turn."""
     pool = transferable(
         crm["lead"], run, owners=old_owners, substatus=catalog.TRANSFERABLE,
     ).select("lead_id", F.col("rm_id").alias("old_rm_id"))
     moves = _decided(
-        allocate.round_robin(pool, "lead_id", new_owners, "new_rm_id", limit, width), run)
+        allocate.round_robin(pool, "lead_id", new_owners, "new_rm_id", limit), run)
     transfer = _apply(crm, moves.select("lead_id", "new_rm_id"), run,
                       follow_up=crm["follow_up"])
     outcome = "success" if transfer is not None else "validated"

@@ -1,6 +1,9 @@
 """Rows of ``INSERT INTO … VALUES (…),(…)`` dump text as a Spark text job.
 
-One tuple per line, as dump tools write with extended inserts broken per row.
+A line may hold any number of tuples, with or without the INSERT header in front.  Quotes, brackets
+and commas inside quoted values are part of the value.  A statement may run over many lines, a tuple
+may not.  Lines and tuples that cannot be read are kept apart with their text, so nothing is lost
+unseen.
 """
 
 from __future__ import annotations
@@ -11,6 +14,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _HEAD = r"(?is)^\s*INSERT\s+INTO\s+.*?\((.*?)\)\s*VALUES\s*"
+_QUOTED = r"'(?:[^'\\]|\\.|'')*+'"
+_TUPLE = rf"\((?:[^'()]|{_QUOTED})*+\)"
+_LINE = rf"(?s)^\s*,?\s*{_TUPLE}(?:\s*,\s*{_TUPLE})*+\s*[,;]?\s*$"
+#: a value with the comma or bracket in front of it
+_VALUE = rf"(?<=[(,])\s*+(?:{_QUOTED}|[^,'()]*+)(?=\s*[,)])"
+#: lines that belong to a dump without holding rows: blank, comments, other statements, separators
+_OTHER = r"(?is)^\s*([;,]?\s*|(--|#|/\*).*|(LOCK|UNLOCK|SET|USE|DROP|CREATE|ALTER|COMMIT|BEGIN)\b.*)$"
 
 
 def dump_columns(header: str) -> list[str]:
@@ -21,33 +31,37 @@ def dump_columns(header: str) -> list[str]:
     return [name.strip().strip("`'\"") for name in match.group(1).split(",")]
 
 
-def tuple_lines(lines: DataFrame, line: str = "value") -> DataFrame:
-    """Lines that hold a tuple, without the header in front and the separator behind."""
-    body = F.regexp_replace(F.col(line), _HEAD, "")
-    body = F.regexp_replace(F.trim(body), r"[,;]\s*$", "")
-    return lines.withColumn("__tuple", F.trim(body)).where(F.col("__tuple").startswith("("))
+def _unquoted(raw: Column) -> Column:
+    """Text of a value; a quoted one loses its quotes, its doubled quotes and its escapes."""
+    text = F.trim(raw)
+    inner = F.regexp_replace(F.regexp_replace(text, "(?s)^'|'$", ""), "''", "'")
+    plain = F.trim(F.regexp_replace(inner, r"(?s)\\(.)", "$1"))
+    return F.when((plain != "") & (F.upper(plain) != "NULL"), plain)
 
 
-def tuple_values(columns: list[str]) -> Column:
-    """The tuple as a struct of text; NULL stays NULL, quotes and escapes are resolved."""
-    inner = F.regexp_replace(F.col("__tuple"), r"^\(|\)$", "")
-    inner = F.regexp_replace(inner, r",\s+(?=')", ",")
-    schema = ", ".join(f"`{name}` STRING" for name in columns)
-    options = {
-        "quote": "'", "escape": "\\", "nullValue": "NULL", "emptyValue": "",
-        "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true",
-    }
-    return F.from_csv(inner, schema, options)
+def parsed_lines(lines: DataFrame, columns: list[str], line: str = "value") -> DataFrame:
+    """One row per tuple or unreadable line: its ``text``, the list of ``values``, and whether it
+    was ``read``, that is, has a value for every column."""
+    body = F.regexp_replace(F.col(line), _HEAD, "")
+    held = lines.select(F.col(line).alias("text"), body.alias("body")).where(
+        ~F.col("body").rlike(_OTHER))
+    found = F.when(F.col("body").rlike(_LINE), F.regexp_extract_all("body", F.lit(_TUPLE), F.lit(0)))
+    tuples = held.select("text", F.explode_outer(found).alias("tuple"))
+    values = F.regexp_extract_all("tuple", F.lit(_VALUE), F.lit(0))
+    return tuples.select(
+        F.coalesce("tuple", "text").alias("text"), F.transform(values, _unquoted).alias("values"),
+    ).withColumn("read", F.coalesce(F.size("values") == len(columns), F.lit(False)))
 
 
 def parse_dump(lines: DataFrame, columns: list[str], line: str = "value") -> DataFrame:
-    """Text columns of every tuple; empty text and NULL in any case count as missing."""
-    parsed = tuple_lines(lines, line).select(tuple_values(columns).alias("__row"))
-    out = []
-    for name in columns:
-        text = F.trim(F.col(f"__row.{name}"))
-        out.append(F.when((text != "") & (F.upper(text) != "NULL"), text).alias(name))
-    return parsed.select(*out)
+    """Text columns of every readable tuple; empty text and NULL in any case count as missing."""
+    return parsed_lines(lines, columns, line).where("read").select(
+        *[F.col("values")[k].alias(name) for k, name in enumerate(columns)])
+
+
+def failed_lines(lines: DataFrame, columns: list[str], line: str = "value") -> DataFrame:
+    """``text`` of the lines and tuples that could not be read."""
+    return parsed_lines(lines, columns, line).where("NOT read").select("text")
 
 
 def read_dump(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:

@@ -6,14 +6,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from tallyroute.operators import allocate
+from tallyroute.operators import allocate, running
 
 
 def test_round_robin(spark):
     df = spark.createDataFrame([(i,) for i in (30, 10, 20, 50, 40)], "id BIGINT")
-    found = allocate.round_robin(df, "id", [7, 8], width=15)
+    found = allocate.round_robin(df, "id", [7, 8])
     assert rows(found) == [(10, 7), (20, 8), (30, 7), (40, 8), (50, 7)]
-    assert rows(allocate.round_robin(df, "id", [7, 8], limit=2, width=15)) == [(10, 7), (20, 8)]
+    assert rows(allocate.round_robin(df, "id", [7, 8], limit=2)) == [(10, 7), (20, 8)]
 
 
 def quota_loop(requests, pool):
@@ -28,8 +28,9 @@ def quota_loop(requests, pool):
     return sorted(out, key=lambda r: tuple(map(str, r)))
 
 
-@pytest.mark.parametrize("hot_rows", [10_000, 5])
-def test_quota_against_loop(spark, hot_rows, monkeypatch):
+@pytest.mark.parametrize("heavy", [10_000, 5])
+def test_quota_against_loop(spark, heavy, monkeypatch):
+    monkeypatch.setattr(running, "HEAVY", heavy)
     monkeypatch.setattr(allocate, "SLOT_BLOCK", 3)
     rng = random.Random(3)
     pool = [(1 if n % 3 == 0 else rng.randrange(6), n) for n in range(240)]
@@ -38,13 +39,14 @@ def test_quota_against_loop(spark, hot_rows, monkeypatch):
     taken, ranges = allocate.quota_allocate(
         spark.createDataFrame(requests, "row BIGINT, owner BIGINT, quota BIGINT"),
         spark.createDataFrame(pool, "owner BIGINT, item BIGINT"),
-        "owner", "quota", "row", "item", hot_rows=hot_rows, width=16)
+        "owner", "quota", "row", "item")
     assert rows(taken.select("row", "owner", "item")) == quota_loop(requests, pool)
     assert ranges.count() == len(requests)
 
 
-@pytest.mark.parametrize("hot_rows", [10_000, 4])
-def test_balanced_against_loop(spark, hot_rows):
+@pytest.mark.parametrize("heavy", [10_000, 4])
+def test_balanced_against_loop(spark, heavy, monkeypatch):
+    monkeypatch.setattr(running, "HEAVY", heavy)
     rng = random.Random(5)
     data = [("hot" if n % 3 == 0 else rng.choice("ab"), rng.randrange(30), n,
              rng.choice([1, 2, 3, None])) for n in range(150)]
@@ -63,7 +65,7 @@ def test_balanced_against_loop(spark, hot_rows):
                 turn += 1
     df = spark.createDataFrame(data, "g STRING, day INT, id BIGINT, holder INT")
     found = allocate.balanced_reassign(
-        df, ["g"], "holder", owners, "day", "id", F.col("day"), hot_rows=hot_rows)
+        df, ["g"], "holder", owners, "day", "id")
     assert rows(found.select("id", "new_owner", "kept")) == sorted(
         expected, key=lambda r: tuple(map(str, r)))
 
@@ -78,7 +80,13 @@ def test_climb(spark):
                                   (8, 3), (9, -1)], key=lambda r: tuple(map(str, r)))
 
 
-def test_long_chain_takes_few_rounds(spark):
-    df = spark.range(200).select("id", F.when(F.col("id") > 0, F.col("id") - 1).alias("boss"))
+def test_long_chain_with_cycle_and_gap(spark):
+    """A chain of 5,000 people, a cycle of 300, and a chain whose top is missing."""
+    chain = [(n, n - 1 if n else None) for n in range(5000)]
+    cycle = [(10_000 + n, 10_000 + (n + 1) % 300) for n in range(300)]
+    gap = [(20_000 + n, 20_000 + n - 1) for n in range(1, 50)]
+    df = spark.createDataFrame(chain + cycle + gap, "id BIGINT, boss BIGINT")
     found = allocate.climb_hierarchy(df, "id", "boss", F.col("id") == 0, -1)
-    assert found.where("responsible <> 0").count() == 0
+    assert found.where("id < 10000 AND responsible <> 0").count() == 0
+    assert found.where("id >= 10000 AND responsible <> -1").count() == 0
+    assert found.count() == len(chain + cycle + gap)

@@ -14,7 +14,9 @@ def one(spark, column, value, kind="STRING"):
 
 
 @pytest.mark.parametrize("raw,value", [
-    ("1,234.50", 1234.5), (" 7 ", 7.0), ("abc", None), ("", None), (None, None)])
+    ("1,234.50", 1234.5), (" 7 ", 7.0), ("abc", None), ("", None), (None, None),
+    ("nan", None), ("NaN", None), ("inf", None), ("-Infinity", None), ("12d", None), ("1e400", None),
+    ("0x1p3", None), ("-.5", -0.5), ("3.", 3.0), ("+2e3", 2000.0), (".", None), ("1 2", None)])
 def test_number(spark, raw, value):
     assert one(spark, cleaning.number("x"), raw) == value
 
@@ -23,7 +25,13 @@ def test_number(spark, raw, value):
     ("31/12/2025", date(2025, 12, 31)), ("1/2/2025", date(2025, 2, 1)),
     ("05-06-2024", date(2024, 6, 5)), ("2024-02-29", date(2024, 2, 29)), ("30/02/2024", None),
     ("29/02/2023", None), ("12/13/2024", None), ("00/01/2024", None), ("nan", None),
-    ("", None), (None, None), (" 3/4/2021 ", date(2021, 4, 3))])
+    ("", None), (None, None), (" 3/4/2021 ", date(2021, 4, 3)),
+    ("2024-03-05 00:00:00", date(2024, 3, 5)), ("05/03/2024 14:30", date(2024, 3, 5)),
+    ("2024-03-05T01:02:03.5Z", date(2024, 3, 5)), ("5/3/2024 1:02:03 PM", date(2024, 3, 5)),
+    ("05.03.2024", date(2024, 3, 5)), ("05/03/24", date(2024, 3, 5)), ("5-3-69", date(1969, 3, 5)),
+    ("5 Mar 2024", date(2024, 3, 5)), ("05-MAR-24", date(2024, 3, 5)), ("5th March, 2024", date(2024, 3, 5)),
+    ("March 5, 2024", date(2024, 3, 5)), ("Sept 5 2024", date(2024, 9, 5)), ("5 Mrz 2024", None),
+    ("05/03-2024", None), ("5 ma 2024", None), ("31 Feb 2024", None), ("inf", None)])
 def test_day_first_date(spark, raw, value):
     assert one(spark, cleaning.day_first_date("x"), raw) == value
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from tallyroute.operators import running
 from tallyroute.operators.running import dense_index, running_by
 
 
@@ -22,32 +23,44 @@ def brute(data, with_sum=True):
     return sorted(out, key=lambda r: tuple(map(str, r)))
 
 
-@pytest.mark.parametrize("hot_rows", [1_000_000, 50, 3, 0])
-def test_running_matches_loop(spark, hot_rows):
+@pytest.mark.parametrize("sample,heavy,pieces", [
+    (1 << 16, 16, 1024), (1 << 16, 2, 5), (150, 3, 40), (1 << 16, 10**6, 8)])
+def test_running_matches_loop(spark, monkeypatch, sample, heavy, pieces):
+    monkeypatch.setattr(running, "SAMPLE", sample)
+    monkeypatch.setattr(running, "HEAVY", heavy)
+    monkeypatch.setattr(running, "PIECES", pieces)
+    monkeypatch.setattr(running, "FAN", 3)
     rng = random.Random(7)
     # one key holds a third of all rows, one group has a NULL key, some days are NULL
     data = [(1 if n % 3 == 0 else rng.choice([None, 2, 3, 4, 5]),
              rng.choice([None, *range(20)]), n, rng.randrange(9)) for n in range(300)]
     df = spark.createDataFrame(data, "k BIGINT, day INT, id BIGINT, v BIGINT")
-    found = running_by(
-        df, ["k"], ["day", "id"], F.coalesce("day", F.lit(99)), number="n",
-        previous={"last": "v"}, sums={"before": "v"}, hot_rows=hot_rows)
+    found = running_by(df, ["k"], ["day", "id"], number="n",
+                       previous={"last": "v"}, sums={"before": "v"})
     assert rows(found) == brute(data)
 
 
-def test_running_needs_no_group_in_one_task(spark):
-    df = spark.range(1000).select(F.lit(1).alias("k"), F.col("id"), (F.col("id") % 7).alias("v"))
-    found = running_by(df, ["k"], ["id"], F.floor(F.col("id") / 100), number="n",
-                       sums={"before": "v"}, hot_rows=10)
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "__cut" in plan
-    total = found.agg(F.max("n"), F.max("before")).first()
-    assert total[0] == 1000 and total[1] == sum(i % 7 for i in range(999))
+def test_a_key_on_one_day_is_cut(spark):
+    """All rows share the key and the first order column; only the id tells them apart."""
+    df = spark.range(0, 40_000, 1, 4).select(
+        F.lit(1).alias("k"), F.lit(None).cast("date").alias("day"),
+        (F.xxhash64("id") * 0 + F.col("id") * F.col("id")).alias("id"), (F.col("id") % 7).alias("v"))
+    found = running_by(df, ["k"], ["day", "id"], number="n", sums={"before": "v"})
+    total = found.agg(F.max("n"), F.max("before"), F.countDistinct("n")).first()
+    assert total[0] == total[2] == 40_000 and total[1] == sum(i % 7 for i in range(39_999))
+    wrong = found.where("id != (n - 1) * (n - 1)")
+    assert wrong.count() == 0
 
 
-@pytest.mark.parametrize("width", [1, 4, 1000])
-def test_dense_index(spark, width):
-    ids = [5, 9, 10, 11, 40, 41, 77, 1000]
-    df = spark.createDataFrame([(i,) for i in ids], "id BIGINT")
-    assert rows(dense_index(df, "id", "n", width).select("n", "id")) == sorted(
-        [(n, i) for n, i in enumerate(ids)], key=lambda r: tuple(map(str, r)))
+def test_no_job_runs_while_the_plan_is_built(spark):
+    df = spark.range(100).withColumn("bad", F.raise_error(F.lit("ran")).cast("int"))
+    running_by(df, ["bad"], ["id"], number="n")
+
+
+@pytest.mark.parametrize("n", [0, 1, 8, 5000])
+def test_dense_index_of_sparse_ids(spark, n):
+    rng = random.Random(n)
+    ids = sorted({rng.randrange(-2**62, 2**62) for _ in range(n)})
+    df = spark.createDataFrame([(i,) for i in rng.sample(ids, n)], "id BIGINT")
+    assert sorted(tuple(r) for r in dense_index(df, "id", "n").select("n", "id").collect()) == list(
+        enumerate(ids))

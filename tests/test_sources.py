@@ -42,6 +42,21 @@ def test_dump_text(spark, tmp_path):
         ("1", "O'Neil, x", None), ("2", None, "a (b), c;"), ("3", None, "z")]
 
 
+def test_dump_with_many_tuples_on_a_line(spark):
+    lines = [
+        "INSERT INTO t (a, b) VALUES (1,'x'),(2,'y'),(3,'z');", "(5,'q'),(6,'r');", ",(7, NULL)",
+        "  (8, 'it''s'), (9, 'c\\\\d\\'e') , (10, '(,)''),(')", "-- note", "", "UNLOCK TABLES;",
+        "(11, 'open),(12,'x')", "(13)", "(14, 1, 2),(15, 3)", "garbage (1,2)", "(16,'a' 'b')",
+        "(17,)", "('" + "y" * 20_000 + "', 18)"]
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    assert rows(dumps.parse_dump(df, ["a", "b"])) == sorted([
+        ("1", "x"), ("2", "y"), ("3", "z"), ("5", "q"), ("6", "r"), ("7", None), ("8", "it's"),
+        ("9", "c\\d'e"), ("10", "(,)'),("), ("15", "3"), ("17", None), ("y" * 20_000, "18")],
+        key=lambda r: tuple(map(str, r)))
+    assert sorted(r[0] for r in dumps.failed_lines(df, ["a", "b"]).collect()) == sorted([
+        "(11, 'open),(12,'x')", "(13)", "(14, 1, 2)", "garbage (1,2)", "(16,'a' 'b')"])
+
+
 def test_import_counts(spark):
     incoming = spark.createDataFrame([(1, 0), (1, 1), (2, 2), (None, 3), (5, 4), (7, 5)],
                                      "k INT, n INT")
