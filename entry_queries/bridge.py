@@ -274,7 +274,7 @@ def tables(d: type[Spark] | type[Duck]) -> dict[str, tuple[str, str, dict[str, s
                                      "'NormalUnspecified'", "'Busy'"),
             "call_status": d.pick(d.div("event_id", 2), "'not_answered'", "'answered'")}),
         "user_login_log": ("events", "", {
-            "user_id": "event_id % 100", "log_time": "ts"}),
+            "user_id": event_owner, "log_time": "ts"}),
         "follow_up": ("orders", "", {
             "follow_up_id": o, "company_id": _int("1"), "lead_id": pair, "onboarding_id": pair,
             "contact_id": c, "rm_id": d.div(pair, OWNER_SPAN), "customer_id": null("BIGINT"),

@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from entry_queries.registry import Source, day, query, ts
 from tallyroute.functions import cleaning
-from tallyroute.operators import changes, unions
+from tallyroute.operators import audit, changes, unions
 from tallyroute.operators.changes import Run
-from tallyroute.plans import offline_payments, refunds, service, transfers
+from tallyroute.plans import collections, offline_payments, refunds, service, transfers
 from tallyroute.session import cut_lineage, scratch_path
-from tallyroute.sources import dumps, files, ingest
+from tallyroute.sources import dumps, files, ingest, schema
 
 AS_OF = datetime(2024, 2, 5, 12, 0, 0)
 RUN = Run(AS_OF)
@@ -524,7 +524,9 @@ UNION ALL SELECT 'lead', (SELECT max(lead_id) FROM crm_lead) + row_number() OVER
 UNION ALL SELECT 'follow_up', (SELECT max(follow_up_id) FROM crm_follow_up) + row_number() OVER (ORDER BY row_id),
   (SELECT max(lead_id) FROM crm_lead) + row_number() OVER (ORDER BY row_id), contact_id, rm, NULL, TRUE, TRUE FROM asked
 UNION ALL SELECT 'mapping', (SELECT max(mapping_id) FROM crm_contact_mapping) + row_number() OVER (ORDER BY row_id),
-  (SELECT max(lead_id) FROM crm_lead) + row_number() OVER (ORDER BY row_id), contact_id, rm, 'Sales', TRUE, TRUE FROM asked""",
+  (SELECT max(lead_id) FROM crm_lead) + row_number() OVER (ORDER BY row_id), contact_id, rm, 'Sales', TRUE, TRUE FROM asked
+UNION ALL {view_sql('follow_up', 'crm_follow_up', 'follow_up_id', 'rm_id', 'activity_type_id', 'NOT is_completed')}
+UNION ALL {view_sql('mapping', 'crm_contact_mapping', 'mapping_id', 'rm_id', 'type', 'end_date IS NULL')}""",
        ("lead", "follow_up", "contact_mapping"))
 def create_leads(t: Source) -> DataFrame:
     asked = t.customer.select(
@@ -533,10 +535,9 @@ def create_leads(t: Source) -> DataFrame:
         F.lit(1).alias("product_id"), F.lit(4).alias("sub_product_id"))
     done = changes.create_leads(
         t.crm["lead"], t.crm["follow_up"], t.crm["contact_mapping"], asked, RUN)
-    fresh_tasks = follow_up_view(done.follow_up).where("stamped")
-    fresh_owners = mapping_view(done.contact_mapping).where("stamped")
-    return unions.tagged({"lead": lead_view(done.lead), "follow_up": fresh_tasks,
-                          "mapping": fresh_owners})
+    return unions.tagged({"lead": lead_view(done.lead),
+                          "follow_up": follow_up_view(done.follow_up),
+                          "mapping": mapping_view(done.contact_mapping)})
 
 
 @query("creation_requests", """
@@ -684,12 +685,17 @@ def refund_requests(t: Source) -> DataFrame:
     due = F.date_add(F.to_date(F.lit("2023-01-01")), (key % 300).cast("int"))
     given = {
         "Lead / Contact ID": F.concat(F.lit(" "), F.col("contact_id").cast("string")),
-        "Amount": F.when(key % 9 == 0, "pending").otherwise(
+        "Amount": F.when(key % 9 == 0, F.element_at(F.array(*map(F.lit, (
+            "pending", "nan", "-inf", "12d", "1e400"))), (key % 5 + 1).cast("int"))).otherwise(
             F.concat(F.lit("1,"), F.lpad((key % 700).cast("string"), 3, "0"), F.lit(".75"))),
         "GST Amount": num(0, 90, ".25"), "Refund Amount": num(0, 500, ".5"),
         "Amount paid": num(0, 400, ".5"),
-        "Refund Date(Finance)": F.when(key % 7 == 0, "soon").otherwise(
-            F.date_format(due, "dd/MM/yyyy")),
+        "Refund Date(Finance)": F.when(key % 7 == 0, "soon")
+        .when(key % 7 == 1, F.date_format(due, "yyyy-MM-dd HH:mm:ss"))
+        .when(key % 7 == 2, F.date_format(due, "dd.MM.yy"))
+        .when(key % 7 == 3, F.date_format(due, "d MMMM yyyy"))
+        .when(key % 7 == 4, F.date_format(due, "MMM d, yyyy"))
+        .otherwise(F.date_format(due, "dd/MM/yyyy")),
         "Detail  Concern": F.when(key % 4 > 0, F.concat(F.lit(" concern "),
                                                        (key % 3).cast("string"))),
         "UTR (Finance)": F.when(key % 6 > 0, F.concat(F.lit("utr"), key.cast("string"))),
@@ -744,7 +750,7 @@ dues AS (SELECT lead_id, min(payable_on)::DATE AS due, min(payable_on) FILTER (W
   min(payable_on) FILTER (WHERE instalment_number = 2)::DATE AS d2 FROM crm_instalment GROUP BY lead_id),
 asked AS (SELECT l.lead_id AS row_id, CASE WHEN l.lead_id % 31 = 0 THEN 'nobody@example.org' ELSE lower(trim(c.email_address)) END AS email,
     CASE WHEN l.lead_id % 5 = 0 THEN due + 1 ELSE due END AS due, d1, d2, CASE l.lead_id % 8 WHEN 0 THEN NULL WHEN 1 THEN 111 ELSE 166 END AS method,
-    (1000 + l.lead_id % 900)::DOUBLE AS price, (l.lead_id % 100)::DOUBLE AS discount, (900 + l.lead_id % 900)::DOUBLE + 0.5 AS net,
+    CASE WHEN l.lead_id % 17 > 0 THEN (1000 + l.lead_id % 900)::DOUBLE END AS price, (l.lead_id % 100)::DOUBLE AS discount, (900 + l.lead_id % 900)::DOUBLE + 0.5 AS net,
     DATE '2024-01-01' + CAST(l.lead_id % 20 AS INT) AS sold, 'ref' || l.lead_id AS ref
   FROM crm_lead l JOIN dues ON dues.lead_id = l.lead_id JOIN crm_contact c ON c.contact_id = l.contact_id),
 emails AS (SELECT lower(trim(email_address)) AS email, min(contact_id) AS contact_id FROM crm_contact GROUP BY 1)"""
@@ -767,7 +773,8 @@ def payment_file(t: Source) -> DataFrame:
         F.date_format(sold, "dd/MM/yyyy").alias("Sales Table Date"),
         F.when(key % 31 == 0, "nobody@example.org").otherwise(
             F.concat(F.lit(" "), F.upper("email_address"))).alias("Email ID"),
-        F.concat(F.lit("1,"), F.lpad((key % 900).cast("string"), 3, "0")).alias("Price"),
+        F.when(key % 17 == 0, F.when(key % 2 == 0, "nan").otherwise("inf")).otherwise(
+            F.concat(F.lit("1,"), F.lpad((key % 900).cast("string"), 3, "0"))).alias("Price"),
         (key % 100).cast("string").alias("Discount"),
         F.concat((900 + key % 900).cast("string"), F.lit(".5")).alias("Net Price"),
         F.lit("PMP ").alias("Product"), mode.alias("Mode"),
@@ -906,19 +913,33 @@ DUMP_COLUMNS = ["id", "full_name", "note", "balance"]
 
 
 @query("values_dump_ingest", """
-SELECT CAST(c_custkey AS VARCHAR) AS id, 'O''Neil, ' || c_name AS full_name,
-  CASE WHEN c_custkey % 3 > 0 THEN 'a (b), c; ' || c_mktsegment END AS note, CAST(floor(c_acctbal)::BIGINT AS VARCHAR) AS balance FROM customer""")
+SELECT CAST(c_custkey AS VARCHAR) AS id, 'O''Neil, "' || c_name AS full_name,
+  CASE WHEN c_custkey % 3 > 0 THEN 'a (b), c; ''' || c_mktsegment || '),(' END AS note,
+  CAST(floor(c_acctbal)::BIGINT AS VARCHAR) AS balance, NULL AS failed FROM customer WHERE c_custkey % 50 <> 7
+UNION ALL SELECT NULL, NULL, NULL, NULL, '(' || c_custkey || ', ''open, 1)' FROM customer WHERE c_custkey % 50 = 7""")
 def values_dump_ingest(t: Source) -> DataFrame:
-    """Write the customers as an INSERT dump below the shared folder and read it back."""
-    note = F.when(F.col("c_custkey") % 3 > 0, F.concat(
-        F.lit("'a (b), c; "), F.col("c_mktsegment"), F.lit("'"))).otherwise("NULL")
-    lines = t.customer.select(F.concat(
-        F.lit("("), F.col("c_custkey").cast("string"), F.lit(", 'O\\'Neil, "), F.col("c_name"),
-        F.lit("', "), note, F.lit(", "), F.floor("c_acctbal").cast("string"), F.lit("),"))
-        .alias("value"))
+    """Write the customers as an INSERT dump below the shared folder, one to five tuples on a line,
+    and read it back; a line that cannot be read comes out as it is."""
+    key = F.col("c_custkey")
+    note = F.when(key % 3 > 0, F.concat(
+        F.lit("'a (b), c; ''"), F.col("c_mktsegment"), F.lit("),('"))).otherwise("NULL")
+    good = F.concat(
+        F.lit("("), key.cast("string"), F.lit(", 'O\\'Neil, \""), F.col("c_name"), F.lit("', "),
+        note, F.lit(","), F.floor("c_acctbal").cast("string"), F.lit(")"))
+    bad = F.concat(F.lit("("), key.cast("string"), F.lit(", 'open, 1)"))
+    rows = t.customer.select(
+        F.when(key % 50 == 7, -key).otherwise(F.floor(key / 5)).alias("line"), key.alias("at"),
+        F.when(key % 50 == 7, bad).otherwise(good).alias("tuple"))
+    tuples = F.array_sort(F.collect_list(F.struct("at", "tuple")))["tuple"]
+    head = F.when(F.col("line") % 2 == 0, "INSERT INTO c (id, full_name, note, balance) VALUES ")
+    lines = rows.groupBy("line").agg(F.array_join(tuples, ", ").alias("text")).select(F.concat(
+        head.otherwise(""), "text", F.when(F.col("line") < 0, "").otherwise(";")).alias("value"))
     path = scratch_path(t.spark, "dump")
     lines.write.text(path)
-    return dumps.read_dump(t.spark, path, DUMP_COLUMNS)
+    stored = t.spark.read.text(path)
+    failed = F.regexp_replace("text", "^INSERT.*VALUES ", "").alias("failed")
+    return dumps.parse_dump(stored, DUMP_COLUMNS).unionByName(
+        dumps.failed_lines(stored, DUMP_COLUMNS).select(failed), allowMissingColumns=True)
 
 
 @query("file_round_trip", """
@@ -941,3 +962,102 @@ def file_round_trip(t: Source) -> DataFrame:
         F.col("o_orderkey").cast("bigint").alias("o_orderkey"),
         cleaning.null_if_token("email").alias("email"), cleaning.number("amount").alias("amount"),
         cleaning.day_first_date("due").alias("due"), "copies")
+
+
+@query("utf8_csv", """
+SELECT c_custkey AS row_key, 'Zoë ' || c_name AS who, CAST(c_acctbal AS VARCHAR) AS balance, 1::BIGINT AS copies FROM customer""")
+def utf8_csv(t: Source) -> DataFrame:
+    """Names beyond ASCII through a UTF-8 file with a byte-order mark and an untidy header."""
+    path = scratch_path(t.spark, "utf8")
+    t.customer.select(
+        F.col("c_custkey").alias("﻿Row  Key"), F.concat(F.lit("Zoë "), "c_name").alias("Who"),
+        F.col("c_acctbal").alias("Balance")).write.option("header", True).csv(path)
+    read = cleaning.normalise_headers(files.read_csv_text(t.spark, path), cleaning.snake_header)
+    numbered = files.with_file_row_id(read)
+    once = numbered.groupBy("row_id").agg(F.count(F.lit(1)).alias("copies"))
+    return numbered.join(once, "row_id").select(
+        F.col("row_key").cast("bigint").alias("row_key"), "who", "balance", "copies")
+
+
+@query("format_dispatch", """
+SELECT fmt, p_partkey, p_name, CAST(p_size AS VARCHAR) AS size FROM part, (VALUES ('csv'), ('json'), ('parquet')) f(fmt)""")
+def format_dispatch(t: Source) -> DataFrame:
+    """The same rows through each readable format, chosen by extension or by name."""
+    rows = t.part.select("p_partkey", "p_name", F.col("p_size").cast("string").alias("size"))
+    out = {}
+    for fmt in ("csv", "json", "parquet"):
+        path = f"{scratch_path(t.spark, 'format')}.{fmt}"
+        rows.write.option("header", True).format(fmt).save(path)
+        read = files.read_table(t.spark, path, fmt if fmt == "json" else None)
+        out[fmt] = read.select(F.col("p_partkey").cast("bigint").alias("p_partkey"), "p_name", "size")
+    return unions.tagged(out, "fmt")
+
+
+@query("audit_sink", """
+SELECT run, CAST(s_suppkey AS VARCHAR) AS id, CASE WHEN s_suppkey % 3 = 0 THEN s_suppkey || ' | ' || (s_suppkey + 1) ELSE CAST(s_suppkey AS VARCHAR) END AS leads
+FROM supplier, (VALUES ('a'), ('b')) r(run) WHERE run = 'a' OR s_suppkey % 2 = 0""")
+def audit_sink(t: Source) -> DataFrame:
+    """Audit rows with lists go to one folder per run; a repeated run replaces its own folder only."""
+    key = F.col("s_suppkey")
+    ids = F.when(key % 3 == 0, F.array(key, key + 1)).otherwise(F.array(key))
+    rows = t.supplier.select(key.alias("id"), ids.alias("leads"))
+    folder = scratch_path(t.spark, "audit")
+    audit.write_audit(rows.where(key < 3), folder, "a")
+    audit.write_audit(rows, folder, "a")
+    files.write_run(rows.where(key % 2 == 0).withColumn("leads", F.array_join(
+        F.col("leads").cast("array<string>"), " | ")), folder, "b", "csv")
+    read = t.spark.read.option("header", True).csv(folder)
+    return read.select(F.col("run_id").alias("run"), "id", "leads")
+
+
+@query("schema_facts", """
+SELECT 'nation' AS table_name, name AS column_name, ordinal, kind AS data_type, (SELECT count(*) FROM nation) AS total,
+  (SELECT count(*) FROM region) AS regions
+FROM (VALUES ('n_nationkey', 1, 'int'), ('n_name', 2, 'string'), ('n_regionkey', 3, 'int')) f(name, ordinal, kind)""")
+def schema_facts(t: Source) -> DataFrame:
+    """Columns of a table with position and type, next to the rows counted in the tables."""
+    columns = schema.describe(t.spark, {"nation": t.nation, "region": t.region}).where(
+        F.col("table_name").like("nat%"))
+    return columns.withColumns({
+        "total": t.nation.agg(F.count(F.lit(1))).scalar(),
+        "regions": t.region.agg(F.count(F.lit(1))).scalar()})
+
+
+@query("collection_requests", """
+WITH asked AS (SELECT c_custkey AS row_id, CASE WHEN c_custkey % 11 = 0 THEN 'x' || c_custkey ELSE CAST(c_custkey AS VARCHAR) END AS instalment,
+    lower(trim(email_address)) AS email, 'owner' || (c_custkey % 12) || '@example.org' AS rm_email, 'owner ' || (c_custkey % 9) AS counsellor
+  FROM customer JOIN crm_contact ON contact_id = c_custkey),
+old_rm AS (SELECT lower(trim(email_address)) AS rm_email, max(user_id) AS old_rm_id FROM crm_mst_user WHERE is_active GROUP BY 1),
+new_rm AS (SELECT lower(trim(full_name)) AS counsellor, max(user_id) AS new_rm_id FROM crm_mst_user WHERE is_active GROUP BY 1),
+people AS (SELECT lower(trim(email_address)) AS email, contact_id FROM crm_contact),
+contracts AS (SELECT contact_id, lead_id FROM crm_onboarding WHERE status_id >= 6 AND substatus_id = 29 AND sub_product_id = 4)
+SELECT DISTINCT lead_id, old_rm_id, new_rm_id FROM asked JOIN old_rm USING (rm_email) JOIN new_rm USING (counsellor)
+JOIN people USING (email) JOIN contracts USING (contact_id) WHERE regexp_full_match(instalment, '[0-9]+')""",
+       ("contact", "mst_user", "onboarding"))
+def collection_requests(t: Source) -> DataFrame:
+    """A typed-in reassignment file to (lead, old owner, new owner)."""
+    key = F.col("c_custkey")
+    rows = t.customer.join(t.crm["contact"], key == F.col("contact_id")).select(
+        F.when(key % 11 == 0, F.concat(F.lit("x"), key.cast("string"))).otherwise(
+            F.concat(key.cast("string"), F.lit(" "))).alias(" Instalment  ID"),
+        F.concat(F.lit(" "), F.upper("email_address")).alias("Cutomer_Email"),
+        F.concat(F.lit("Owner"), (key % 12).cast("string"), F.lit("@Example.org ")).alias("RM Email"),
+        F.concat(F.lit(" owner "), (key % 9).cast("string")).alias("Counsellor"))
+    return collections.collection_requests(t.crm, rows)
+
+
+@query("refund_rows", f"""
+WITH {REFUND_SQL},
+good AS (SELECT * FROM rows WHERE failure IS NULL)
+SELECT (SELECT max(refund_id) FROM crm_refund) + row_number() OVER (ORDER BY g.row_id) AS refund_id, g.row_id, p.payment_id, g.onboarding_id,
+  g.contact_id, p.customer AS external_customer_id, p.lead_id, p.plan AS sub_product_id, coalesce(trunc(g.amount_paid), 0)::BIGINT AS received_amount,
+  coalesce(trunc(g.amount), 0)::BIGINT AS amount, coalesce(trunc(g.refund_amount), 0)::BIGINT AS refund_amount, ' ' || concern AS comment,
+  utr AS payment_utr_number, {day('refund_date')} AS refund_date, reason_id AS refund_reason_id, ids AS temp_payment_ids
+FROM good g JOIN pays p ON p.onboarding_id = g.onboarding_id""", REFUND_TABLES)
+def refund_rows(t: Source) -> DataFrame:
+    """The form without grouping: one refund per valid request row."""
+    made = refunds.refund_batch(t.crm, refund_requests(t), RUN, per_row=True).refunds
+    return made.select(
+        "refund_id", "row_id", "payment_id", "onboarding_id", "contact_id", "external_customer_id",
+        "lead_id", "sub_product_id", "received_amount", "amount", "refund_amount", "comment",
+        "payment_utr_number", "refund_date", "refund_reason_id", "temp_payment_ids")

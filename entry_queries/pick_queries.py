@@ -294,3 +294,28 @@ def batch_slice(t: Source) -> DataFrame:
     """A batch limit that grows with the table, taken without a single-task sort."""
     quarter = t.orders.agg(F.floor(F.count(F.lit(1)) / 4)).scalar()
     return allocate.first_n(t.orders.select("o_orderkey", "o_custkey"), "o_orderkey", quarter)
+
+
+HOT_KEY = "CASE WHEN l_orderkey % 3 = 0 THEN -1 ELSE l_suppkey END"
+#: the hot key's lines are all on one day or on none
+HOT_DAY = ("CASE WHEN l_orderkey % 6 = 0 THEN NULL WHEN l_orderkey % 3 = 0 THEN TIMESTAMP '1995-01-01'"
+           " ELSE l_shipdate END")
+
+
+@query("hot_key_steps", f"""
+WITH l AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, {HOT_KEY} AS holder, {HOT_DAY} AS day FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, holder, row_number() OVER w AS seq, lag(l_partkey) OVER w AS prev_part,
+  coalesce(sum(l_linenumber) OVER (PARTITION BY holder ORDER BY day NULLS LAST, l_orderkey, l_linenumber, l_partkey, l_suppkey
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
+FROM l WINDOW w AS (PARTITION BY holder ORDER BY day NULLS LAST, l_orderkey, l_linenumber, l_partkey, l_suppkey)""")
+def hot_key_steps(t: Source) -> DataFrame:
+    """Numbers, previous values and sums per key, one key holding a third of all lines, on one day
+    or without a day."""
+    kind = t.lineitem.schema["l_shipdate"].dataType
+    lines = t.lineitem.select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.expr(HOT_KEY).alias("holder"),
+        F.expr(HOT_DAY).cast(kind).alias("day"))
+    order = ["day", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    steps = running_by(lines, ["holder"], order, number="seq", previous={"prev_part": "l_partkey"},
+                       sums={"before": "l_linenumber"})
+    return steps.drop("day").withColumn("before", F.col("before").cast("bigint"))

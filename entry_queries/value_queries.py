@@ -387,19 +387,19 @@ def json_array_items(t: Source) -> DataFrame:
 SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day_text, strftime(o_orderdate, '%d %b %y') AS short_text,
   strftime(o_orderdate, '%d-%m-%Y %H:%M:%S') AS stamp, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS parsed,
   CASE WHEN o_orderkey % 2 = 0 THEN strftime(o_orderdate, '%Y-%m-%d') END AS day_first,
-  date_part('year', age(TIMESTAMP '2001-07-15', o_orderdate))::BIGINT AS years,
+  CASE WHEN o_orderdate <= TIMESTAMP '2001-07-15'
+    THEN date_part('year', age(TIMESTAMP '2001-07-15', o_orderdate))::BIGINT END AS years,
   date_diff('day', o_orderdate, TIMESTAMP '2001-07-15')::INT AS days_old,
   strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS month_start,
   strftime(o_orderdate + INTERVAL 330 MINUTE, '%Y-%m-%d %H:%M:%S') AS local,
   strftime(o_orderdate - INTERVAL 61 DAY, '%Y-%m-%d %H:%M:%S') AS edge
-FROM orders WHERE o_orderdate < TIMESTAMP '2001-07-15'""")
+FROM orders""")
 def scalar_dates(t: Source) -> DataFrame:
-    rows = t.orders.where(dates.in_range("o_orderdate", end=datetime(2001, 7, 15)))
     typed = F.when(F.col("o_orderkey") % 2 == 0, F.date_format("o_orderdate", "d/M/yyyy")) \
         .otherwise(F.lit("31/02/2001"))
     stamp = dates.stamp_text("o_orderdate")
     at = F.lit(datetime(2001, 7, 15)).cast("timestamp_ntz")
-    return rows.select(
+    return t.orders.select(
         "o_orderkey", dates.day_text("o_orderdate").alias("day_text"),
         dates.short_day_text("o_orderdate").alias("short_text"), stamp.alias("stamp"),
         dates.parse_stamp(stamp).alias("parsed"),
@@ -472,11 +472,18 @@ def scalar_arrays(t: Source) -> DataFrame:
 DIRTY = {
     "email": "CASE WHEN o_orderkey % 7 = 0 THEN ' nan ' WHEN o_orderkey % 7 = 1 THEN '' ELSE"
              " '  User' || CAST(o_custkey AS {0}) || '@X.org' END",
-    "amount": "CASE WHEN o_orderkey % 8 = 0 THEN 'n/a' ELSE CAST(CAST(floor(o_totalprice / 1000) AS"
-              " BIGINT) AS {0}) || ',' || lpad(CAST(CAST(floor(o_totalprice) AS BIGINT) % 1000 AS"
-              " {0}), 3, '0') || '.50' END",
+    "amount": "CASE WHEN o_orderkey % 40 = 0 THEN 'n/a' WHEN o_orderkey % 40 = 8 THEN 'nan'"
+              " WHEN o_orderkey % 40 = 16 THEN '-inf' WHEN o_orderkey % 40 = 24 THEN '12d'"
+              " WHEN o_orderkey % 40 = 32 THEN '1e400' ELSE CAST(CAST(floor(o_totalprice / 1000)"
+              " AS BIGINT) AS {0}) || ',' || lpad(CAST(CAST(floor(o_totalprice) AS BIGINT) % 1000"
+              " AS {0}), 3, '0') || '.50' END",
     "due": "CASE WHEN o_orderkey % 6 = 0 THEN '31/02/2001' ELSE"
-           " CAST(1 + o_orderkey % 28 AS {0}) || '/' || CAST(1 + o_orderkey % 12 AS {0}) || '/2001' END",
+           " CASE o_orderkey % 5 WHEN 1 THEN '2001-' || {m} || '-' || {d} || ' 00:00:00'"
+           " WHEN 2 THEN {d} || '.' || {m} || '.01' WHEN 3 THEN {d} || ' ' ||"
+           " substr('JanFebMarAprMayJunJulAugSepOctNovDec',"
+           " CAST(1 + 3 * (o_orderkey % 12) AS INT), 3) || ' 2001'"
+           " WHEN 4 THEN {d} || '/' || {m} || '/2001 14:30' ELSE {d} || '/' || {m} || '/2001' END"
+           " END",
     "code": "CASE WHEN o_orderkey % 5 = 0 THEN 'A' || CAST(o_orderkey AS {0}) ELSE"
             " ' ' || CAST(o_orderkey AS {0}) END",
     "answer": "CASE o_orderkey % 3 WHEN 0 THEN ' Yes' WHEN 1 THEN 'NO ' ELSE 'maybe' END",
@@ -489,7 +496,9 @@ DIRTY = {
 
 def dirty_rows(t: Source) -> DataFrame:
     return t.orders.select(
-        "o_orderkey", *[F.expr(text.format("STRING")).alias(name) for name, text in DIRTY.items()])
+        "o_orderkey", *[F.expr(text.format(
+            "STRING", d="CAST(1 + o_orderkey % 28 AS STRING)",
+            m="CAST(1 + o_orderkey % 12 AS STRING)")).alias(name) for name, text in DIRTY.items()])
 
 
 def cleaned_rows(t: Source) -> DataFrame:

@@ -31,8 +31,9 @@ def parse_stamp(value, pattern: str = "dd-MM-yyyy HH:mm:ss") -> Column:
 
 
 def completed_years(born, at) -> Column:
-    """Whole birthdays passed; 29 February counts only once the day itself is over."""
-    return F.timestamp_diff("YEAR", _col(born), _col(at))
+    """Whole birthdays passed; 29 February counts only once the day itself is over.  Whoever is
+    born later has no age."""
+    return F.when(_col(born) <= _col(at), F.timestamp_diff("YEAR", _col(born), _col(at)))
 
 
 def local_time(value, zone: str = LOCAL_ZONE) -> Column:

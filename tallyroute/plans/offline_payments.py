@@ -58,11 +58,12 @@ def clean_file(
     )
 
 
-def contacts_by_email(crm: Crm) -> DataFrame:
-    """Smallest contact per canonical e-mail."""
+def contacts_by_email(crm: Crm, requests: DataFrame) -> DataFrame:
+    """Smallest contact per canonical e-mail that the requests name."""
+    known = crm["contact"].select(
+        cleaning.canonical("email_address").alias("email_id"), "contact_id")
     return (
-        crm["contact"].select(cleaning.canonical("email_address").alias("email_id"), "contact_id")
-        .where(F.col("email_id").isNotNull())
+        lookup.keyed_fetch(known, requests, "email_id")
         .groupBy("email_id").agg(F.min("contact_id").alias("contact_id"))
     )
 
@@ -119,7 +120,7 @@ def offline_payment_batch(
     own lead and due date; the earliest instalment wins.
     """
     rows = (
-        requests.join(contacts_by_email(crm), "email_id", "left")
+        requests.join(contacts_by_email(crm, requests), "email_id", "left")
         .join(plan_leads(crm, exact=False), "contact_id", "left")
         .join(due_instalments(crm, unpaid_only=True), ["lead_id", "due_date"], "left")
     )
@@ -139,7 +140,7 @@ def offline_payment_batch(
 def tranche_matches(crm: Crm, requests: DataFrame) -> DataFrame:
     """Request rows against instalments on any of their due dates: one row per match."""
     resolved = (
-        requests.join(contacts_by_email(crm), "email_id", "left")
+        requests.join(contacts_by_email(crm, requests), "email_id", "left")
         .join(plan_leads(crm, exact=True), "contact_id", "left")
     )
     keep = [name for name in resolved.columns if name not in TRANCHE_DATES]
@@ -191,7 +192,7 @@ def unprocessed_extract(crm: Crm, requests: DataFrame) -> DataFrame:
     return (
         requests.withColumn("user_code", cleaning.digits("user_code"))
         .where(F.col("user_code").isNotNull())
-        .join(contacts_by_email(crm), "email_id")
+        .join(contacts_by_email(crm, requests), "email_id")
         .join(plan_leads(crm, exact=True), "contact_id")
         .join(due_instalments(crm, unpaid_only=False), ["lead_id", "due_date"])
         .withColumn("offline_payment_id", F.lit(None).cast("bigint"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyroute.functions import cleaning, payload
-from tallyroute.operators import measures
+from tallyroute.operators import lookup, measures
 from tallyroute.operators.changes import EXECUTE, Run, with_new_ids, write_back
 from tallyroute.operators.pick import any_by, latest_by
 from tallyroute.operators.validate import PENDING, Check, last_failure
@@ -75,23 +75,25 @@ def clean_requests(rows: DataFrame) -> DataFrame:
     return named.withColumns(typed)
 
 
-def active_contracts(crm: Crm) -> DataFrame:
-    """Latest active contract per contact."""
+def active_contracts(crm: Crm, requests: DataFrame) -> DataFrame:
+    """Latest active contract of each contact that the requests name."""
+    active = crm["onboarding"].where(F.col("substatus_id") == 29).select(
+        "contact_id", "onboarding_id", "created_at")
     return latest_by(
-        crm["onboarding"].where(F.col("substatus_id") == 29)
-        .select("contact_id", "onboarding_id", "created_at"),
+        lookup.keyed_fetch(active, requests, "contact_id"),
         ["contact_id"], "created_at", "onboarding_id",
     ).select("contact_id", "onboarding_id")
 
 
-def contract_payments(crm: Crm) -> DataFrame:
-    """Per contract: payment ids, and the last known value of each payment attribute."""
+def contract_payments(crm: Crm, contracts: DataFrame) -> DataFrame:
+    """Per given contract: payment ids, and the last known value of each payment attribute."""
 
     def last_known(name: str) -> Column:
         return F.max_by(F.col(name), F.when(F.col(name).isNotNull(), F.col("payment_id")))
 
     attributes = ("lead_id", "payment_provider", "external_customer_id", "sub_product_id")
-    return crm["payment"].where(F.col("onboarding_id").isNotNull()).groupBy("onboarding_id").agg(
+    paid = lookup.keyed_fetch(crm["payment"], contracts, "onboarding_id")
+    return paid.groupBy("onboarding_id").agg(
         F.sort_array(F.collect_set("payment_id")).alias("payment_ids"),
         F.max("payment_id").alias("payment_id"),
         *[last_known(name).alias(name) for name in attributes],
@@ -105,12 +107,15 @@ def resolve(crm: Crm, requests: DataFrame) -> DataFrame:
                                  "reason_id"),
         ["reason_sub_category_clean"], "reason_id",
     )
-    paid = crm["payment"].select("onboarding_id").distinct().withColumn("has_payment", F.lit(True))
+    contracts = active_contracts(crm, requests)
+    paid = lookup.keyed_fetch(
+        crm["payment"].select("onboarding_id"), contracts, "onboarding_id"
+    ).distinct().withColumn("has_payment", F.lit(True))
     rows = (
         requests.withColumn("reason_sub_category_clean",
                             cleaning.code(cleaning.filled("reason_sub_category")))
         .join(reasons, "reason_sub_category_clean", "left")
-        .join(active_contracts(crm), "contact_id", "left")
+        .join(contracts, "contact_id", "left")
         .join(paid, "onboarding_id", "left")
     )
     return last_failure(
@@ -147,17 +152,23 @@ def per_contact(rows: DataFrame) -> DataFrame:
     return sums.join(concerns, "contact_id", "left")
 
 
-def refund_batch(crm: Crm, requests: DataFrame, run: Run) -> RefundBatch:
+def refund_batch(
+    crm: Crm, requests: DataFrame, run: Run, per_row: bool = False
+) -> RefundBatch:
     """``requests``: output of :func:`clean_requests`.  Every request row appears in the audit.
 
-    The judged rows are stored once; sums, concerns, refunds and audit all read them.
+    The judged rows are stored once; sums, concerns, refunds and audit all read them.  With
+    ``per_row`` every valid row is a refund of its own, numbered in file order, instead of one
+    refund per contact.
     """
     rows = cut_lineage(resolve(crm, requests))
-    grouped = per_contact(rows.where(F.col("process_status") == PENDING)).join(
-        contract_payments(crm), "onboarding_id")
+    valid = rows.where(F.col("process_status") == PENDING)
+    key = "row_id" if per_row else "contact_id"
+    grouped = (valid if per_row else per_contact(valid)).join(
+        contract_payments(crm, valid), "onboarding_id")
 
     kind = F.lit(REFUND_TYPE)
-    numbered = with_new_ids(grouped, crm["refund"], "refund_id", "contact_id")
+    numbered = with_new_ids(grouped, crm["refund"], "refund_id", key)
     refunds = numbered.select(
         "refund_id", "payment_id", "onboarding_id", "contact_id", "external_customer_id",
         "lead_id", "sub_product_id", kind.alias("type"),
@@ -175,18 +186,19 @@ def refund_batch(crm: Crm, requests: DataFrame, run: Run) -> RefundBatch:
         cleaning.whole("refund_amount").alias("claim_amount"),
         F.col("payment_ids").alias("temp_payment_ids"),
         payload.object_of(status=F.lit("Process By Tech Team")).alias("tech_response"),
+        *([F.col("row_id")] if per_row else []),
     )
     if run.mode != EXECUTE:
         unpaid = rows.withColumn("refund_id", F.lit(None).cast("bigint"))
         return RefundBatch(refunds.limit(0), unpaid)
     results = refunds.select(
-        "contact_id", F.lit("SUCCESS").alias("process_status"), F.lit("").alias("remarks"),
+        key, F.lit("SUCCESS").alias("process_status"), F.lit("").alias("remarks"),
         "refund_id",
     )
     failed = rows.where(F.col("process_status") != PENDING).withColumn(
         "refund_id", F.lit(None).cast("bigint"))
     done = write_back(
-        rows.where(F.col("process_status") == PENDING), results, "contact_id",
+        valid, results, key,
         ["process_status", "remarks", "refund_id"],
     )
     return RefundBatch(refunds, done.unionByName(failed))

@@ -38,8 +38,10 @@ def active_owner(crm: Crm, key: str, source: str, found: str) -> DataFrame:
         cleaning.canonical(source).alias(key)).agg(F.max("user_id").alias(found))
 
 
-def contact_by_email(crm: Crm, key: str) -> DataFrame:
-    return crm["contact"].groupBy(cleaning.canonical("email_address").alias(key)).agg(
+def contact_by_email(crm: Crm, requests: DataFrame, key: str) -> DataFrame:
+    """Smallest contact per canonical e-mail that the requests name."""
+    known = crm["contact"].select(cleaning.canonical("email_address").alias(key), "contact_id")
+    return lookup.keyed_fetch(known, requests, key).groupBy(key).agg(
         F.min("contact_id").alias("contact_id"))
 
 
@@ -58,7 +60,7 @@ def service_requests(crm: Crm, requests: DataFrame) -> DataFrame:
         (plans_by_name(crm).withColumnRenamed("plan_name", "product"), "product"),
         (active_owner(crm, "new_rm", "full_name", "new_rm_id"), "new_rm"),
         (active_owner(crm, "old_rm", "full_name", "old_rm_id"), "old_rm"),
-        (contact_by_email(crm, "email"), "email"),
+        (contact_by_email(crm, rows, "email"), "email"),
         (subscribed, "contact_id"),
     )
     return first_failure(
@@ -85,7 +87,7 @@ def creation_requests(
         cleaning.canonical("`allocated to`").alias("owner_email"),
     ).where(F.col("lead_number").isNotNull())
     rows = lookup.star(rows, (plans_by_name(crm), "plan_name"),
-                       (contact_by_email(crm, "email"), "email"))
+                       (contact_by_email(crm, rows, "email"), "email"))
     checks = [Check("PRODUCT NOT FOUND", F.col("product_id").isNull()),
               Check("EMAIL NOT FOUND", F.col("contact_id").isNull())]
     if owners is None:
