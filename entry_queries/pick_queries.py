@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from entry_queries import expected
 from entry_queries.registry import Source, day, query, ts
 from tallyroute.functions import rules
 from tallyroute.operators import allocate, measures, pick
@@ -61,7 +62,7 @@ def line_steps(t: Source) -> DataFrame:
 
 @query("scenario_counts", f"""
 WITH {STEP_SQL}
-SELECT {rules.case_text(STEP_RULES, 'Other')} AS label, count(*)::BIGINT AS n_lines,
+SELECT {expected.first_of(STEP_RULES, 'Other')} AS label, count(*)::BIGINT AS n_lines,
        count(DISTINCT o_custkey)::BIGINT AS n_customers, max(seq)::BIGINT AS longest
 FROM steps GROUP BY 1""")
 def scenario_counts(t: Source) -> DataFrame:
@@ -78,7 +79,7 @@ def scenario_counts(t: Source) -> DataFrame:
 @query("scenario_detail", f"""
 WITH {STEP_SQL}
 SELECT o_custkey, l_orderkey, l_linenumber, l_partkey, l_suppkey, seq::BIGINT AS seq,
-       {rules.case_text(DETAIL_RULES, 'Unknown')} AS label
+       {expected.first_of(DETAIL_RULES, 'Unknown')} AS label
 FROM steps JOIN customer ON c_custkey = o_custkey WHERE c_mktsegment = 'BUILDING'""")
 def scenario_detail(t: Source) -> DataFrame:
     segment = t.customer.where("c_mktsegment = 'BUILDING'").select(

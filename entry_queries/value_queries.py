@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from entry_queries import expected
 from entry_queries.registry import Source, clock, day, ids, query, ts
 from tallyroute.functions import (
     catalog, cleaning, dates, durations, idlists, payload, rules,
@@ -208,7 +209,7 @@ WITH p AS (SELECT p_partkey, {SOURCE} AS source, CASE p_size % 14 WHEN 0 THEN 'q
   WHEN 5 THEN 'Google Display' WHEN 6 THEN 'google brand' WHEN 7 THEN 'Google' WHEN 8 THEN 'GeoAds x'
   WHEN 9 THEN 'fball' WHEN 10 THEN 'old customer' WHEN 11 THEN 'Missed Call' WHEN 12 THEN NULL
   ELSE p_name END AS channel FROM part)
-SELECT p_partkey, {rules.case_text(SOURCE_RULES, 'Other')} AS kind, CASE
+SELECT p_partkey, {expected.first_of(SOURCE_RULES, 'Other')} AS kind, CASE
   WHEN channel = 'quora' THEN 'Quora' WHEN channel = 'Missed Call' THEN 'Missed Call'
   WHEN channel IN ('youtube', 'Youtube') THEN 'Youtube' WHEN lower(channel) = 'yahoo' THEN 'Yahoo'
   WHEN regexp_matches(lower(channel), 'organic|direct traffic|zopim|whatsapp|moengage|website') THEN 'Organic'
@@ -239,7 +240,7 @@ MODE_RULES = [
 
 
 @query("mode_classifier", f"""
-SELECT {rules.case_text(MODE_RULES, 'Unknown')} AS mode,
+SELECT {expected.first_of(MODE_RULES, 'Unknown')} AS mode,
   CASE WHEN l_linenumber = 1 AND l_quantity IN (1, 2, 3) THEN 'Retail' WHEN l_linenumber = 2 THEN 'Bundle' END AS family,
   CASE WHEN o_orderstatus = 'F' THEN 'GROUP F' ELSE o_orderpriority END AS status_group,
   count(*)::BIGINT AS n
