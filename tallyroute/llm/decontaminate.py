@@ -10,8 +10,9 @@ hot key.
 each part is sent to all tasks and run against every block, so what is broadcast is bounded and
 the rest follows in further passes.  A window of consecutive words starts from the postings of its
 rarest term in the block; these places, shifted by the term's offset, are intersected with the
-postings of the other terms, rarer ones first.  What is left are exact phrases.  With ``slack``
-the other terms may stand that many words off: proximity matches.
+postings of the other terms, rarer ones first.  What is left are exact phrases.  With ``slack``, a
+window also matches in proximity: there is a place from which on every term stands at most that many
+words off its own place, in any order.
 
 Words are runs of ASCII letters and digits and of all other characters beyond ASCII, A-Z in lower
 case; they are compared by a 64-bit hash.  Defined results: a NULL or empty text has no words and
@@ -150,19 +151,23 @@ class Postings:
             text = self.text[place]
             first = place - rarer[row, 0]
             exact = (first >= self.base[text]) & (first + size <= self.base[text + 1])
-            for k in range(size):
-                if k:
-                    offset = rarer[row, k]
-                    goal = rank[words[row, offset]] * self.n
-                    at = first + offset
-                    exact &= self._holds(goal + at, goal + at)
+            if slack:  # the rarest term itself may be off by so many words
+                off = np.arange(-slack, slack + 1)
+                exact = ((off == 0) & exact[:, None]).ravel()
+                first = (first[:, None] + off).ravel()
+                row, text = np.repeat(row, len(off)), np.repeat(text, len(off))
+            else:
+                row, first, text, exact = row[exact], first[exact], text[exact], exact[exact]
+            for k in range(1, size):
+                offset = rarer[row, k]
+                goal = rank[words[row, offset]] * self.n
+                at = first + offset
+                exact &= self._holds(goal + at, goal + at)
                 keep = exact
-                if k and slack:
+                if slack:
                     lowest = np.maximum(at - slack, self.base[text])
                     highest = np.minimum(at + slack, self.base[text + 1] - 1)
                     keep = exact | self._holds(goal + lowest, goal + highest)
-                elif slack:
-                    continue
                 row, first, text, exact = row[keep], first[keep], text[keep], exact[keep]
             out.append((windows[row], first, text, exact))
         return tuple(np.concatenate([part[k] for part in out]) for k in range(4))
@@ -259,8 +264,18 @@ def digest(found: DataFrame) -> DataFrame:
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-        (F.col("n_hit") > 0).alias("contaminated"),
-        F.size("near").cast("long").alias("n_near"))
+        (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def brute_force_near(doc: str, item: str, window: int, slack: int) -> bool:
+    """Whether some window of an item has a proximity match in a text; for tests."""
+    d, w = doc.split(), item.split()
+    size = min(window, len(w))
+    return any(
+        all(any(d[p] == w[a + j] for p in range(max(0, s + j - slack),
+                                                min(len(d), s + j + slack + 1)))
+            for j in range(size))
+        for a in range(len(w) - size + 1) for s in range(-size - slack, len(d) + slack))
 
 
 def brute_force(docs, tests, window: int = WINDOW):

@@ -33,7 +33,7 @@ def test_hits_match_brute_force(spark, window, part):
     found = D.search(D.build_index(df, path), tests, window=window, part_bytes=part)
     got = D.digest(found.withColumn("n_hit", D.hit_words()))
     want = D.brute_force(docs, items, window)
-    assert rows(got.drop("n_near")) == sorted(want, key=lambda r: tuple(map(str, r)))
+    assert rows(got) == sorted(want, key=lambda r: tuple(map(str, r)))
 
 
 def test_empty_tables(spark):
@@ -48,10 +48,26 @@ def test_empty_tables(spark):
 
 def test_proximity_matches(spark):
     docs = [(1, "one two three four five"), (2, "one two x three four five"),
-            (3, "one two x y z three four five"), (4, "two one three four five"),
-            (5, "one two three four six")]
+            (3, "one two x y z three four five"), (4, "two one three five four"),
+            (5, "one two three four six"), (6, "x x one two three five four")]
     df = spark.createDataFrame(docs, "doc_id long, text string")
     tests = spark.createDataFrame([(9, "ONE two three four five")], "item_id long, text string")
     found = {r["doc_id"]: (r["items"], r["near"])
              for r in D.contamination(df, tests, window=5, slack=1).collect()}
-    assert found == {1: (["9"], []), 2: ([], ["9"]), 3: ([], []), 4: ([], ["9"]), 5: ([], [])}
+    assert found == {1: (["9"], []), 2: ([], ["9"]), 3: ([], []), 4: ([], ["9"]), 5: ([], []),
+                     6: ([], ["9"])}
+
+
+@pytest.mark.parametrize("slack", [1, 2])
+def test_proximity_matches_brute_force_in_any_cut(spark, monkeypatch, slack):
+    rng = random.Random(slack)
+    words = ("a", "b", "c", "d", "e", "f")
+    docs = [(k, " ".join(rng.choice(words) for _ in range(rng.randint(0, 14)))) for k in range(60)]
+    items = [(k, " ".join(rng.choice(words) for _ in range(rng.randint(1, 6)))) for k in range(12)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(rng.choice([1, 3]))
+    tests = spark.createDataFrame(items, "item_id long, text string")
+    found = {r["doc_id"]: set(r["items"]) | set(r["near"])
+             for r in D.contamination(df, tests, window=4, slack=slack).collect()}
+    for doc_id, text in docs:
+        assert found[doc_id] == {str(i) for i, item in items
+                                 if D.brute_force_near(text, item, 4, slack)}, text
