@@ -83,16 +83,24 @@ def last_member_join(
     return fact.withColumn(dim_key, idlists.last_item(ids)).join(dim, dim_key, how)
 
 
+#: pieces the rows of a key are dealt into by :func:`many_left_join`
+SALTS = 32
+
+
 def many_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join to a side with many rows per key, one of which may be hot.
 
-    At run time Spark can split a hot key on the many side only in an inner join, so matches
-    come from an inner join and rows without a partner from an anti join on distinct keys.
+    Rows of the right side are dealt into ``SALTS`` pieces per key by a hash of their values.  A left
+    row learns which pieces its key has, is repeated once per piece (once in all, if there is
+    none), and meets each piece alone.  So a hot key is spread over many tasks, and both the left
+    side and the join stand once in the plan.
     """
     keys = list(keys)
-    matched = left.join(right, keys)
-    alone = without(left, right, keys)
-    return matched.unionByName(alone, allowMissingColumns=True)
+    salted = right.withColumn("__salt", F.pmod(F.xxhash64(*right.columns), F.lit(SALTS)))
+    pieces = salted.where(_known(keys)).groupBy(*keys).agg(
+        F.collect_set("__salt").alias("__salts"))
+    asked = left.join(pieces, keys, "left").withColumn("__salt", F.explode_outer("__salts"))
+    return asked.drop("__salts").join(salted, [*keys, "__salt"], "left").drop("__salt")
 
 
 def same_day_join(

@@ -42,8 +42,13 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder; never reused between runs."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, never reused between runs.
+
+    All paths of an application lie in one folder named after it, so that its owner can remove them
+    together once the results are read.
+    """
+    application = spark.sparkContext.applicationId
+    return f"{shared_dir(spark).rstrip('/')}/{application}/{label}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
