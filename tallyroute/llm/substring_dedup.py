@@ -157,10 +157,11 @@ def repeated_windows(docs: DataFrame, id_column: str = "doc_id", text: str = "te
     windows = map_arrow(
         named.join(marked, ["doc_id", "version"]), _window_rows(window, gram),
         "doc_id long, version int, anchor long, hash long, first int")
-    holders = (
+    # stored, so that the join below reads both sides from exchanges and can split a hot window
+    holders = stored(
         windows.groupBy("anchor", "hash")
         .agg(F.min("doc_id").alias("holder"), F.max("doc_id").alias("last"))
-        .where("holder < last").drop("last"))
+        .where("holder < last").drop("last"), "window-holders")
     single = (
         windows.join(holders, ["anchor", "hash"]).where("holder < doc_id")
         .groupBy("doc_id", "version").agg(F.collect_list("first").alias("singles")))
