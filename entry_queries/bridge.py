@@ -152,12 +152,11 @@ def tables(d: type[Spark] | type[Duck]) -> dict[str, tuple[str, str, dict[str, s
         + " || '\", \"page_url\": \"/p/' || " + txt(f"{o} % 6") + " || '\"}' END")
     who = {"created_by": _big("1"), "updated_by": _big("1")}
 
-    def master(first: int, last: int, key: str, label: str) -> tuple[str, str, dict[str, str]]:
-        return ("customer", f"c_custkey BETWEEN {first} AND {last}",
-                {key: _int("c_custkey"), "name": f"'{label} ' || {txt('c_custkey')}"})
+    def master(key: str, label: str, **more: str) -> tuple[str, str, dict[str, str]]:
+        """A master table with a row per part; facts use its first ids, it grows with the data."""
+        return ("part", "",
+                {key: _int("p_partkey"), "name": f"'{label} ' || {txt('p_partkey')}", **more})
 
-    sub_base, sub_rows, sub_cols = master(1, 30, "sub_product_id", "Plan")
-    product_base, product_rows, product_cols = master(1, 3, "product_id", "Product")
     return {
         "contact": ("customer", "", {
             "contact_id": "c_custkey", "full_name": "c_name",
@@ -347,24 +346,23 @@ def tables(d: type[Spark] | type[Duck]) -> dict[str, tuple[str, str, dict[str, s
             "department_id": "r_regionkey", "short_name": "r_name",
             "group_name": "CASE WHEN r_regionkey % 2 = 0 THEN 'Inside SALES'"
                           " ELSE 'Support' END"}),
-        "mst_status": master(1, 8, "status_id", "Status"),
-        "mst_substatus": master(1, 74, "substatus_id", "Substatus"),
-        "mst_lead_source": master(1, 5, "lead_source_id", "Source"),
-        "mst_product": (product_base, product_rows, {
-            **product_cols, "code": f"'PR' || {txt('c_custkey')}"}),
-        "mst_subproduct": (sub_base, sub_rows, {
-            **sub_cols, "code": f"'PL' || {txt('c_custkey')}",
-            "product_id": _int("CASE WHEN c_custkey <= 4 THEN 1 WHEN c_custkey <= 11 THEN 2"
-                               " ELSE 3 END"),
-            "is_active": "c_custkey % 10 <> 9"}),
-        "mst_comment": ("customer", "c_custkey IN (33, 36, 40, 61, 62)", {
-            "comment_id": _int("c_custkey"),
-            "name": "CASE c_custkey WHEN 33 THEN 'Detail conversation-Sales Pitch'"
+        "mst_status": master("status_id", "Status"),
+        "mst_substatus": master("substatus_id", "Substatus"),
+        "mst_lead_source": master("lead_source_id", "Source"),
+        "mst_product": master("product_id", "Product", code=f"'PR' || {txt('p_partkey')}"),
+        "mst_subproduct": master(
+            "sub_product_id", "Plan", code=f"'PL' || {txt('p_partkey')}",
+            product_id=_int("CASE WHEN p_partkey <= 4 THEN 1 WHEN p_partkey <= 11 THEN 2"
+                            " ELSE 3 END"),
+            is_active="p_partkey % 10 <> 9"),
+        "mst_comment": ("part", "", {
+            "comment_id": _int("p_partkey"),
+            "name": "CASE p_partkey WHEN 33 THEN 'Detail conversation-Sales Pitch'"
                     " WHEN 36 THEN 'Not Answered' WHEN 61 THEN 'Detail Conversation'"
                     " WHEN 62 THEN 'Had a Phone Conversation' ELSE 'Other note' END"}),
-        "mst_reason": ("customer", "c_custkey BETWEEN 1 AND 20", {
-            "reason_id": _int("c_custkey"),
-            "code": f"' Reason ' || {txt('c_custkey % 12')} || ' '"}),
+        "mst_reason": ("part", "", {
+            "reason_id": _int("p_partkey"),
+            "code": f"' Reason ' || {txt('p_partkey % 12')} || ' '"}),
     }
 
 
