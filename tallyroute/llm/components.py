@@ -3,9 +3,9 @@
 *Large star*: every node hands its smallest neighbour (or itself) to its larger neighbours.
 *Small star*: every node hands its smallest neighbour to its smaller ones and takes it itself.
 Both keep the components and flatten them towards stars around the smallest node; rounds go on
-until nothing changes, about the logarithm of the longest path.  Minima combine map-side, a node
-with very many edges meets them in a join that Spark can split, and each round is stored in the
-shared folder, so a lost executor never costs more than its own tasks.
+until nothing changes, about the logarithm of the longest path.  Minima combine map-side and are stored
+in the shared folder before they meet the edges, so that Spark can split the edges of a node with
+very many of them.  Each round is stored too; a lost executor never costs more than its own tasks.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from tallyroute.llm.store import stored
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("a", "b").union(edges.select("b", "a"))
-    least = both.groupBy("a").agg(F.min("b").alias("low"))
+    least = stored(both.groupBy("a").agg(F.min("b").alias("low")), "least")
     return (
         both.where("b > a").join(least, "a")
         .select(F.col("b").alias("a"), F.least("a", "low").alias("b")).distinct())
@@ -26,7 +26,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Edges point from the larger node ``a`` to the smaller ``b``."""
-    least = edges.groupBy("a").agg(F.min("b").alias("low"))
+    least = stored(edges.groupBy("a").agg(F.min("b").alias("low")), "least")
     across = edges.join(least, "a").where("b != low").select(F.col("b").alias("a"), "low")
     return across.union(least).select("a", F.col("low").alias("b")).distinct()
 
@@ -45,7 +45,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         "links")
     seen = _state(state)
     while seen[0]:
-        state = stored(_small_star(_large_star(state)), "links")
+        state = stored(_small_star(stored(_large_star(state), "links")), "links")
         now = _state(state)
         if now == seen:
             break
