@@ -140,8 +140,10 @@ def lead_types(crm: Crm) -> DataFrame:
 
 
 def birth_details(crm: Crm, as_of) -> DataFrame:
-    """Date of birth and completed years per contract, earliest detail row first."""
-    known = crm["onboarding_detail"].where(F.col("date_of_birth").isNotNull())
+    """Date of birth and completed years per paid contract, earliest detail row first."""
+    known = lookup.keyed_fetch(
+        crm["onboarding_detail"].where(F.col("date_of_birth").isNotNull()),
+        crm["payment"], "onboarding_id")
     return earliest_by(known, ["onboarding_id"], "onboarding_detail_id").select(
         "onboarding_id", F.to_date("date_of_birth").alias("date_of_birth"),
         dates.completed_years(
@@ -151,15 +153,20 @@ def birth_details(crm: Crm, as_of) -> DataFrame:
 
 
 def demography(crm: Crm) -> DataFrame:
-    known = crm["contact_demography"].where(F.col("gender").isNotNull())
+    """Gender and income of the contacts behind paid contracts."""
+    contracts = lookup.keyed_fetch(
+        crm["onboarding"].select("onboarding_id", "contact_id"), crm["payment"], "onboarding_id")
+    known = lookup.keyed_fetch(
+        crm["contact_demography"].where(F.col("gender").isNotNull()), contracts, "contact_id")
     return any_by(known, ["contact_id"], "contact_demography_id").select(
         "contact_id", "gender", "income"
     )
 
 
 def occupations(crm: Crm) -> DataFrame:
+    """Stated occupation per paid contract."""
     answers = (
-        crm["onboarding_api_response"]
+        lookup.keyed_fetch(crm["onboarding_api_response"], crm["payment"], "onboarding_id")
         .where(F.col("response").ilike("%occupation%"))
         .select("onboarding_id", "response_id", payload.occupation("response").alias("occupation"))
         .where(F.col("occupation").isNotNull())
@@ -168,8 +175,10 @@ def occupations(crm: Crm) -> DataFrame:
 
 
 def primary_addresses(crm: Crm) -> DataFrame:
+    """Latest primary address of the contacts that paid."""
+    primary = crm["contact_address_detail"].where(F.col("is_primary"))
     latest = latest_by(
-        crm["contact_address_detail"].where(F.col("is_primary")), ["contact_id"],
+        lookup.keyed_fetch(primary, crm["payment"], "contact_id"), ["contact_id"],
         "updated_at", "contact_address_detail_id",
     ).select("contact_id", "pin_code", "state_id", "city_id")
     return lookup.star(

@@ -95,7 +95,8 @@ def resolve_list(crm: Crm, requests: DataFrame, run: Run, location: int | None =
     if location is not None:
         at = crm["mst_user"].where(F.col("location_id") == location)
         pool = pool.join(at.select(F.col("user_id").alias("rm_id")), "rm_id", "left_semi")
-    newest = latest_by(pool.select("contact_id", "lead_id"), ["contact_id"], "lead_id")
+    asked = lookup.keyed_fetch(pool.select("contact_id", "lead_id"), checked, "contact_id")
+    newest = latest_by(asked, ["contact_id"], "lead_id")
     with_lead = checked.join(newest, "contact_id", "left")
     clean = F.size("errors") == 0
     missing = F.when(clean & F.col("lead_id").isNull(), F.array(F.lit("lead_not_found")))

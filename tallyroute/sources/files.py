@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyroute.functions.cleaning import one_line_header
 
@@ -25,6 +26,24 @@ def read_csv_text(
     return df.toDF(*[one_line_header(name) for name in df.columns])
 
 
+#: column that :func:`read_csv_checked` adds
+UNREAD = "unread_line"
+
+
+def read_csv_checked(spark: SparkSession, path: str, encoding: str = UTF8) -> DataFrame:
+    """As :func:`read_csv_text`, plus ``unread_line``: the text of a line that has more or fewer
+    fields than the header, else NULL.  Such a line keeps the fields it has."""
+    names = spark.read.option("header", True).option("encoding", encoding).option(
+        "escape", '"').csv(path).columns
+    fields = [T.StructField(name, T.StringType()) for name in (*names, UNREAD)]
+    df = (
+        spark.read.schema(T.StructType(fields)).option("header", True)
+        .option("encoding", encoding).option("mode", "PERMISSIVE").option("escape", '"')
+        .option("enforceSchema", False).option("columnNameOfCorruptRecord", UNREAD).csv(path)
+    )
+    return df.toDF(*[one_line_header(name) for name in names], UNREAD)
+
+
 def read_table(
     spark: SparkSession, path: str, fmt: str | None = None, encoding: str = UTF8
 ) -> DataFrame:

@@ -27,6 +27,14 @@ def test_row_id_is_dense_over_many_files(spark, tmp_path):
     assert [r[0] for r in rows(df.select(F.col("row_id")))] == sorted(range(100), key=str)
 
 
+def test_lines_with_other_field_counts_are_kept_in_sight(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text('id, Full Name\n1,a\n2,b,c\n3\n4,"d,e"\n')
+    df = files.read_csv_checked(spark, str(path))
+    assert df.columns == ["id", "Full Name", files.UNREAD]
+    assert rows(df) == [("1", "a", None), ("2", "b", "2,b,c"), ("3", None, "3"), ("4", "d,e", None)]
+
+
 def test_unknown_format_raises(spark):
     with pytest.raises(ValueError, match="xlsx"):
         files.read_table(spark, "/tmp/a.xlsx")
