@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entry_queries.registry import Source, day, query, ts
+from entry_queries.registry import ORACLES, Source, day, query, ts
 from tallyroute.functions import cleaning
 from tallyroute.operators import audit, changes, unions
 from tallyroute.operators.changes import Run
@@ -16,7 +16,7 @@ from tallyroute.session import cut_lineage, scratch_path
 from tallyroute.sources import dumps, files, ingest, schema
 
 AS_OF = datetime(2024, 2, 5, 12, 0, 0)
-RUN = Run(AS_OF)
+RUN, DELTA = Run(AS_OF), Run(AS_OF, delta=True)
 NOW = "TIMESTAMP '2024-02-05 12:00:00'"
 STAMP = "'2024-02-05 12:00:00'"
 
@@ -95,8 +95,8 @@ new_lead AS (SELECT l.lead_id, l.contact_id, coalesce(new_rm, l.rm_id) AS rm_id,
 TRANSFER_TABLES = ("lead", "contact_mapping", "follow_up", "contact_transfer_backup")
 
 
-def _round_robin(t: Source) -> transfers.TransferBatch:
-    return transfers.transfer_by_round_robin(t.crm, RUN, None, [3, 7, 9], None)
+def _round_robin(t: Source, run: Run = RUN) -> transfers.TransferBatch:
+    return transfers.transfer_by_round_robin(t.crm, run, None, [3, 7, 9], None)
 
 
 @query("transfer_apply", f"""
@@ -112,6 +112,33 @@ def transfer_apply(t: Source) -> DataFrame:
         "lead": lead_view(done.lead)})
 
 
+@query("transfer_delta", f"""
+WITH {ROUND_ROBIN_SQL}
+SELECT * FROM ({view_sql('mapping', 'new_mapping', *MAPPING_VIEW)}
+  UNION ALL {view_sql('follow_up', 'new_follow', *FOLLOW_VIEW)}) WHERE stamped
+UNION ALL {view_sql('lead', 'new_lead', 'lead_id', 'rm_id', 'status_id', 'is_active',
+                    f'coalesce(updated_at = {NOW}, FALSE)')} WHERE lead_id IN (SELECT lead_id FROM moves)""",
+       TRANSFER_TABLES)
+def transfer_delta(t: Source) -> DataFrame:
+    """Only the rows that a transfer adds or changes."""
+    done = _round_robin(t, DELTA).transfer
+    return unions.tagged({
+        "mapping": mapping_view(done.contact_mapping), "follow_up": follow_up_view(done.follow_up),
+        "lead": lead_view(done.lead)})
+
+
+@query("transfer_merged", ORACLES["transfer_apply"])
+def transfer_merged(t: Source) -> DataFrame:
+    """New and changed rows merged into the tables are the new tables."""
+    done = _round_robin(t, DELTA).transfer
+    return unions.tagged({
+        "mapping": mapping_view(changes.merged(
+            t.crm["contact_mapping"], done.contact_mapping, "mapping_id")),
+        "follow_up": follow_up_view(changes.merged(
+            t.crm["follow_up"], done.follow_up, "follow_up_id")),
+        "lead": lead_view(changes.merged(t.crm["lead"], done.lead, "lead_id"))})
+
+
 @query("transfer_backup", f"""
 WITH {ROUND_ROBIN_SQL}
 SELECT lead_id, new_rm AS rm_id, old_rm AS old_rm_id, status_id, substatus_id,

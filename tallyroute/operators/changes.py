@@ -1,7 +1,9 @@
 """Changes as table-to-table transforms: (current tables, requests, run) -> (new tables, audit).
 
 Nothing is updated in place.  Each function returns the complete new version of every table it
-touches, and the caller writes all of them to a new folder before publishing the run.  New ids
+touches, and the caller writes all of them to a new folder before publishing the run.  With
+``Run(delta=True)`` it returns only the rows that are new or changed instead; :func:`merged` makes the
+new version from them, or the caller's table format does.  New ids
 are ``max(id) + 1 + position`` along a unique request id.  Requests are unique per target; use
 :func:`last_request` first where a file may repeat one.
 """
@@ -18,6 +20,7 @@ from pyspark.sql import functions as F
 from tallyroute.operators.pick import latest_by, nth_by, preferred_by
 from tallyroute.operators.running import dense_index, running_by
 from tallyroute.operators.unions import stack
+from tallyroute.session import cut_lineage
 
 SALES, SERVICE = "Sales", "Customer Service"
 EXECUTE, DRY_RUN = "EXECUTE", "DRY_RUN"
@@ -25,12 +28,14 @@ EXECUTE, DRY_RUN = "EXECUTE", "DRY_RUN"
 
 @dataclass(frozen=True)
 class Run:
-    """Who changes what and when; ``mode`` DRY_RUN validates and audits only."""
+    """Who changes what and when; ``mode`` DRY_RUN validates and audits only, ``delta`` returns
+    new and changed rows instead of whole tables."""
 
     as_of: datetime
     actor: int = 1
     company: int = 1
     mode: str = EXECUTE
+    delta: bool = False
 
     @property
     def now(self) -> Column:
@@ -65,13 +70,16 @@ def update_rows(
     key: str | Sequence[str],
     updates: DataFrame,
     values: Mapping[str, Column],
+    changed_only: bool = False,
 ) -> DataFrame:
     """Set columns on rows whose key occurs in ``updates`` (unique there).
 
-    ``values`` may refer to columns of ``updates``; rows that do not match stay as they are.
+    ``values`` may refer to columns of ``updates``; rows that do not match stay as they are, or are
+    left out with ``changed_only``.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    joined = table.join(updates.withColumn("__hit", F.lit(True)), keys, "left")
+    joined = table.join(updates.withColumn("__hit", F.lit(True)), keys,
+                        "inner" if changed_only else "left")
     return joined.select(
         *[
             F.when(F.col("__hit"), values[name].cast(table.schema[name].dataType))
@@ -96,6 +104,16 @@ def append_rows(table: DataFrame, rows: DataFrame) -> DataFrame:
     )
 
 
+def kept_rows(table: DataFrame, run: Run) -> DataFrame:
+    """The rows a table keeps in the result of a run: all, or none in a delta."""
+    return table.limit(0) if run.delta else table
+
+
+def merged(table: DataFrame, delta: DataFrame, key: str) -> DataFrame:
+    """New version of a table from the new and changed rows of a run."""
+    return append_rows(table.join(delta.select(key), key, "left_anti"), delta)
+
+
 def last_request(requests: DataFrame, keys: Sequence[str], row_id: str) -> DataFrame:
     """When a file names a target twice, its last row counts."""
     return nth_by(requests, keys, [F.col(row_id).desc()])
@@ -173,6 +191,7 @@ def _closed(mapping: DataFrame, closing: DataFrame, run: Run) -> DataFrame:
         mapping, "mapping_id", closing.select("mapping_id"),
         {"end_date": run.now, "is_transferred": F.lit(True), "updated_at": run.now,
          "updated_by": F.lit(run.actor)},
+        changed_only=run.delta,
     )
 
 
@@ -195,10 +214,11 @@ def transfer_leads(
     completes the latest open follow-up and adds a new one if ``follow_up`` is given, and
     writes a backup row under the next session number.
     """
-    base = lead.join(moves.select("lead_id", "new_rm_id"), "lead_id").select(
+    # every table changes by these few rows: they are found once
+    base = cut_lineage(lead.join(moves.select("lead_id", "new_rm_id"), "lead_id").select(
         F.col("lead_id").alias("move_id"), "lead_id", "contact_id",
         F.col("rm_id").alias("old_rm_id"), "new_rm_id", "status_id", "substatus_id",
-    )
+    ))
     closing = closing_mappings(contact_mapping, base, SALES, match)
     closed = _closed(contact_mapping, closing, run)
 
@@ -211,6 +231,7 @@ def transfer_leads(
             F.max("mapping_id").alias("present_id")
         )
         base = base.join(present, ["contact_id", "new_rm_id"], "left")
+        base = cut_lineage(base)
         needed = nth_by(
             base.where(F.col("present_id").isNull()), ["contact_id", "new_rm_id"],
             [F.col("lead_id").asc()],
@@ -233,13 +254,14 @@ def transfer_leads(
     owner = {"rm_id": F.col("new_rm_id")}
     if touch_lead:
         owner["updated_at"] = run.now
-    new_lead = update_rows(lead, "lead_id", moves.select("lead_id", "new_rm_id"), owner)
+    new_lead = update_rows(
+        lead, "lead_id", moves.select("lead_id", "new_rm_id"), owner, changed_only=run.delta)
     audit = done.withColumn("session_id", next_number(backup, "session_id")).select(
         "lead_id", "contact_id", "old_rm_id", "new_rm_id", "status_id", "substatus_id",
         "new_mapping_id", "session_id",
     )
     new_backup = append_rows(
-        backup,
+        kept_rows(backup, run),
         audit.withColumnsRenamed({"new_rm_id": "rm_id", "new_mapping_id": "mapping_id"})
         .withColumn("created_at", run.now),
     )
@@ -261,6 +283,7 @@ def hand_over_follow_up(follow_up: DataFrame, moves: DataFrame, run: Run) -> Dat
     finished = update_rows(
         follow_up, "follow_up_id", latest.select("follow_up_id"),
         {"is_completed": F.lit(True), "completed_on": run.now, "updated_at": run.now},
+        changed_only=run.delta,
     )
     added = with_new_ids(
         moves.select(
@@ -335,7 +358,7 @@ def transfer_service(
     ``new_rm_id``.  Mappings change per row; the latest feedback and the latest follow-up
     change once per contact, the follow-up being completed and copied to an open one.
     """
-    moves = moves.withColumn("move_id", F.col("lead_id"))
+    moves = cut_lineage(moves.withColumn("move_id", F.col("lead_id")))
     closing = closing_mappings(contact_mapping, moves, SERVICE, "contact_id")
     opened = with_new_ids(
         _mapping_rows(moves, run, SERVICE), contact_mapping, "mapping_id", "move_id"
@@ -356,6 +379,7 @@ def transfer_service(
     new_feedback = update_rows(
         feedback, "feedback_response_id", picked.select("feedback_response_id", "new_rm_id"),
         {"assigned_to": F.col("new_rm_id"), "updated_at": run.now},
+        changed_only=run.delta,
     )
     return ServiceTransfer(
         mapping, new_feedback,
@@ -383,6 +407,7 @@ def copy_latest_follow_up(
     finished = update_rows(
         follow_up, "follow_up_id", done.select("follow_up_id"),
         {"is_completed": F.lit(True), "completed_on": run.now, "updated_at": run.now},
+        changed_only=run.delta,
     )
     copies = latest.withColumns(
         {
@@ -423,6 +448,7 @@ def reassign_by_copy(
         .select("feedback_response_id", "new_rm_id"),
         {"assigned_to": F.col("new_rm_id"), "updated_at": run.now,
          "updated_by": F.lit(run.actor)},
+        changed_only=run.delta,
     )
 
     owners = handled.select("lead_id", "new_rm_id")
@@ -435,6 +461,7 @@ def reassign_by_copy(
         follow_up, "follow_up_id", latest.select("follow_up_id"),
         {"is_completed": F.lit(True), "completed_on": run.now, "updated_at": run.now,
          "updated_by": F.lit(run.actor)},
+        changed_only=run.delta,
     )
     copies = latest.withColumns(
         {"rm_id": F.col("new_rm_id"), "is_completed": F.lit(False), "completed_on": F.lit(None)}
@@ -482,6 +509,7 @@ def upsert_feedback(
         feedback, "feedback_response_id", latest.drop("contact_id"),
         {"assigned_to": F.col("new_rm_id"), "updated_at": run.now,
          "updated_by": F.lit(run.actor)},
+        changed_only=run.delta,
     )
     created = with_new_ids(
         wanted.join(latest, "contact_id", "left_anti").select(
@@ -534,7 +562,10 @@ def create_leads(
         (F.col("lead_source_id") == source) & (F.col("status_id") == status)
         & (F.col("substatus_id") == substatus)
     )
-    retired = lead.join(contacts, "contact_id", "left").select(
+    known = lead.join(contacts, "contact_id", "left")
+    if run.delta:
+        known = known.where(F.col("__again") & waiting & F.col("is_active"))
+    retired = known.select(
         *[
             F.when(F.col("__again") & waiting, F.lit(False)).otherwise(F.col(name)).alias(name)
             if name == "is_active" else F.col(name)
@@ -570,8 +601,8 @@ def create_leads(
         .join(owners.select("row_id", "mapping_id"), "row_id")
     )
     return Created(
-        append_rows(retired, new_lead), append_rows(follow_up, tasks),
-        append_rows(contact_mapping, owners), ids,
+        append_rows(retired, new_lead), append_rows(kept_rows(follow_up, run), tasks),
+        append_rows(kept_rows(contact_mapping, run), owners), ids,
     )
 
 
@@ -692,10 +723,12 @@ def reassign_collections(
         follow_up, "follow_up_id", ready.select("follow_up_id", "new_rm_id"),
         {"rm_id": F.col("new_rm_id"), "is_completed": F.lit(False),
          "completed_on": F.lit(None)},
+        changed_only=run.delta,
     )
     new_collection = update_rows(
         collection, "payment_collection_id", ready.select("payment_collection_id", "new_rm_id"),
         {"assigned_to": F.col("new_rm_id"), "department_id": F.lit(department)},
+        changed_only=run.delta,
     )
     return new_follow_up, new_collection, audit
 

@@ -118,8 +118,9 @@ def running_by(
     if keys:
         marked = df.withColumns(held).join(F.broadcast(heavy), names, "left")
     else:  # all rows have the same bounds
-        marked = df.withColumns(held | {
-            name: heavy.select(name).scalar() for name in ("__bounds", "__steps")})
+        both = heavy.select(F.struct("__bounds", "__steps")).scalar()
+        marked = df.withColumns(held | {"__both": both}).withColumns(
+            {name: F.col(f"__both.{name}") for name in ("__bounds", "__steps")}).drop("__both")
     rows = (
         marked.withColumn("__cut", _piece(_sort_rank(df, order)))
         .withColumn("__hot", F.col("__bounds").isNotNull())

@@ -183,3 +183,18 @@ def test_restore_follows_open_mapping_or_reopens(spark, open_other):
     assert (state[1].end_date is None) is not open_other
     assert owners.first().rm_id == (6 if open_other else 4)
     assert report.first().outcome == ("restored" if open_other else "reopened")
+
+
+def test_a_delta_holds_the_new_and_changed_rows_only(spark):
+    """Merged into the tables it gives what a whole run gives."""
+    lead = spark.createDataFrame(
+        [(i, 100 + i, 1 + i % 2, 1, 2) for i in range(6)],
+        "lead_id BIGINT, contact_id BIGINT, rm_id BIGINT, status_id INT, substatus_id INT")
+    moves = spark.createDataFrame([(1, 9), (4, 8)], "lead_id BIGINT, new_rm_id BIGINT")
+    updated = changes.update_rows(lead, "lead_id", moves, {"rm_id": F.col("new_rm_id")})
+    delta = changes.update_rows(
+        lead, "lead_id", moves, {"rm_id": F.col("new_rm_id")}, changed_only=True)
+    assert delta.count() == 2 and delta.columns == lead.columns
+    assert rows(changes.merged(lead, delta, "lead_id")) == rows(updated)
+    run = changes.Run(datetime(2024, 1, 1), delta=True)
+    assert changes.kept_rows(lead, run).count() == 0
