@@ -139,14 +139,17 @@ def repeated_windows(docs: DataFrame, id_column: str = "doc_id", text: str = "te
         gram = window
     named = _named(docs, id_column, text).where(F.col("doc_id").isNotNull())
     runs = stored(map_arrow(named, _run_rows(window, gram), RUNS), "runs")
-    anchors = (
+    # sums are stored before they are joined: both sides then come from exchanges, and Spark can
+    # split a hot key
+    anchors = stored(
         runs.groupBy("anchor")
         .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"),
              F.min("content").alias("one"), F.max("content").alias("other"))
         .where("low < high")
-        .select("anchor", (F.col("one") != F.col("other")).alias("mixed")))
+        .select("anchor", (F.col("one") != F.col("other")).alias("mixed")), "shared-anchors")
     shared = stored(runs.join(anchors, "anchor"), "shared-runs")
-    holders = shared.groupBy("anchor", "content").agg(F.min("doc_id").alias("holder"))
+    holders = stored(
+        shared.groupBy("anchor", "content").agg(F.min("doc_id").alias("holder")), "run-holders")
     marked = (
         shared.join(holders, ["anchor", "content"])
         .withColumn("whole", F.col("holder") < F.col("doc_id"))
@@ -157,7 +160,6 @@ def repeated_windows(docs: DataFrame, id_column: str = "doc_id", text: str = "te
     windows = map_arrow(
         named.join(marked, ["doc_id", "version"]), _window_rows(window, gram),
         "doc_id long, version int, anchor long, hash long, first int")
-    # stored, so that the join below reads both sides from exchanges and can split a hot window
     holders = stored(
         windows.groupBy("anchor", "hash")
         .agg(F.min("doc_id").alias("holder"), F.max("doc_id").alias("last"))
