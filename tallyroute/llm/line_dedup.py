@@ -71,9 +71,10 @@ def _candidates(distinct: DataFrame) -> DataFrame:
     such half: first and last half by the own length, first and last half as the longer line."""
     halves = distinct.where("halves IS NOT NULL").select(
         "hash", F.posexplode("halves").alias("which", "half"))
-    shared = (
+    # stored, so that both sides of the join come from exchanges and a hot half can be split
+    shared = stored(
         halves.groupBy("half").agg(F.min("hash").alias("one"), F.max("hash").alias("other"))
-        .where("one <> other").select("half"))
+        .where("one <> other").select("half"), "shared-halves")
     return halves.join(shared, "half").groupBy("hash").agg(
         F.bit_or(F.expr("shiftleft(1, which)")).alias("agree"))
 
