@@ -156,8 +156,8 @@ def day_first_date(value: str | Column) -> Column:
     every row written in another spelling.
     """
     text = F.regexp_replace(F.lower(F.trim(_col(value))), TIME_SHAPE, "")
-    # a lambda keeps the many shapes out of the generated code of wide files
-    return F.transform(F.array(text), _read_day)[0]
+    # a lambda keeps the many shapes out of the generated code of wide files; no date is shorter
+    return F.when(F.length(text) >= 6, F.transform(F.array(text), _read_day)[0])
 
 
 def _read_day(text: Column) -> Column:

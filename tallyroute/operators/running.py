@@ -21,8 +21,6 @@ from pyspark.sql import types as T
 SAMPLE = 1 << 16
 #: sampled rows from which on a key is cut, and the most pieces it is cut into
 HEAVY, PIECES = 16, 1024
-#: bounds looked at in one step while the piece of a row is found
-FAN = 32
 _SCALE = 1 << 30
 
 
@@ -78,18 +76,21 @@ def _heavy_keys(source: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
         drawn.groupBy(*held).agg(F.collect_list("__rank").alias("__ranks"))
         .where(F.size("__ranks") >= HEAVY)
         .select(*held, F.filter(ranks, lambda _, i: i % step == 0).alias("__bounds"))
-        .withColumn("__steps", F.filter("__bounds", lambda _, i: i % FAN == 0))
     )
 
 
-def _piece(rank: Column) -> Column:
-    """Number of bounds up to the row, found in two steps; 0 for a key that is not cut."""
-    def upto(bounds: Column) -> Column:
-        return F.size(F.filter(bounds, lambda bound: bound <= rank))
+def _with_piece(df: DataFrame, rank: Column) -> DataFrame:
+    """Add ``__cut``, the number of bounds up to the row, by halving; 0 for a key that is not cut.
 
-    step = upto(F.col("__steps")) - 1
-    inside = upto(F.slice("__bounds", step * FAN + 1, F.lit(FAN)))
-    return F.when(F.col("__bounds").isNull() | (step < 0), 0).otherwise(step * FAN + inside)
+    Each step is a column of its own, so that it is generated code and evaluated once.
+    """
+    df = df.withColumns({"__rank": rank, "__cut": F.lit(0)})
+    step = 1 << (PIECES.bit_length() - 1)
+    while step:
+        passed = F.get("__bounds", F.col("__cut") + (step - 1)) <= F.col("__rank")
+        df = df.withColumn("__cut", F.col("__cut") + F.when(passed, step).otherwise(0))
+        step //= 2
+    return df.drop("__rank")
 
 
 def running_by(
@@ -118,13 +119,10 @@ def running_by(
     if keys:
         marked = df.withColumns(held).join(F.broadcast(heavy), names, "left")
     else:  # all rows have the same bounds
-        both = heavy.select(F.struct("__bounds", "__steps")).scalar()
-        marked = df.withColumns(held | {"__both": both}).withColumns(
-            {name: F.col(f"__both.{name}") for name in ("__bounds", "__steps")}).drop("__both")
+        marked = df.withColumns(held | {"__bounds": heavy.select("__bounds").scalar()})
     rows = (
-        marked.withColumn("__cut", _piece(_sort_rank(df, order)))
-        .withColumn("__hot", F.col("__bounds").isNotNull())
-        .drop("__bounds", "__steps")
+        _with_piece(marked, _sort_rank(df, order))
+        .withColumn("__hot", F.col("__bounds").isNotNull()).drop("__bounds")
     )
     window = Window.partitionBy(*names, "__cut").orderBy(
         *[F.col(name).asc_nulls_last() for name in order])

@@ -29,7 +29,6 @@ def test_running_matches_loop(spark, monkeypatch, sample, heavy, pieces):
     monkeypatch.setattr(running, "SAMPLE", sample)
     monkeypatch.setattr(running, "HEAVY", heavy)
     monkeypatch.setattr(running, "PIECES", pieces)
-    monkeypatch.setattr(running, "FAN", 3)
     rng = random.Random(7)
     # one key holds a third of all rows, one group has a NULL key, some days are NULL
     data = [(1 if n % 3 == 0 else rng.choice([None, 2, 3, 4, 5]),
