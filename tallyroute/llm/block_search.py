@@ -1,12 +1,13 @@
 """Exact top-k by inner product, block by block with score bounds.
 
-Vectors are made whole numbers, ``floor(scale * x)``.  They are dealt into ranges of ids, and each
-range into *blocks*; a stored row holds the forward index of a range: ids, components, and per
-block the smallest and largest component of every term.  The stated queries are packed into
-groups.  Every group meets every range once.  There, a query orders the blocks by the sum over its
-terms of the largest product a block can give, scores them from the best on, and stops when the
-bound falls below its k-th score.  Blocks are skipped only when no vector in them can enter, so the
-result is exact.  Each meeting hands on at most k rows per query; the last step ranks these.
+Vectors are made whole numbers, ``floor(scale * x)``.  They are dealt into ranges of ids, and
+each range into *blocks*; a stored row holds the forward index of a range: ids, components, and
+per block the smallest and largest component of every term.  The stated queries are packed into
+groups.  Every group meets every range once.  There, a query orders the blocks by the sum over
+its terms of the largest product a block can give, scores them from the best on, and stops when
+the bound falls below its k-th score.  Blocks are skipped only when no vector in them can enter,
+so the result is exact.  Each meeting hands on at most k rows per query; the last step ranks
+these.
 
 Products are summed in double precision, exact below 2**53; beyond that bound the sums are made
 with Python's whole numbers, and scores outside 64 bits are cut to the nearest 64-bit number.

@@ -2,11 +2,11 @@
 
 The template is a black box: any function from a list of (role, text) to a text.  For turn ``k``
 the first ``k`` turns are rendered and compared with the rendering of one turn less: if the
-longer text continues the shorter one, what was added is the span of the turn.  Two more renderings
-with one-letter texts in place of the turn's own show where its text begins and what follows it,
-whatever the text itself looks like.  If the longer text does not continue the shorter one, the
-template rewrites history: the turn is reported, and all spans are then located by such probes
-in the rendering of the whole conversation.
+longer text continues the shorter one, what was added is the span of the turn.  Two more
+renderings with one-letter texts in place of the turn's own show where its text begins and what
+follows it, whatever the text itself looks like.  If the longer text does not continue the
+shorter one, the template rewrites history: the turn is reported, and all spans are then located
+by such probes in the rendering of the whole conversation.
 
 The default template opens each turn with a control string and its role, and escapes control
 strings inside texts reversibly: a backslash before every backslash and inside every ``<|``.

@@ -3,9 +3,10 @@
 *Large star*: every node hands its smallest neighbour (or itself) to its larger neighbours.
 *Small star*: every node hands its smallest neighbour to its smaller ones and takes it itself.
 Both keep the components and flatten them towards stars around the smallest node; rounds go on
-until nothing changes, about the logarithm of the longest path.  Minima combine map-side and are stored
-in the shared folder before they meet the edges, so that Spark can split the edges of a node with
-very many of them.  Each round is stored too; a lost executor never costs more than its own tasks.
+until nothing changes, about the logarithm of the longest path.  Minima combine map-side and are
+stored in the shared folder before they meet the edges, so that Spark can split the edges of a
+node with very many of them.  Each round is stored too; a lost executor never costs more than its
+own tasks.
 """
 
 from __future__ import annotations

@@ -2,17 +2,17 @@
 
 *Index.*  Each task cuts its texts into blocks of about a megabyte and stores one row per block:
 the sorted hashes of its terms and, per term, the positions where it stands.  The table lies in
-the shared folder and serves any number of test sets.  Blocks hold whole texts, so no text, term or
-copy group is ever gathered from elsewhere: building and searching need no shuffle and have no
+the shared folder and serves any number of test sets.  Blocks hold whole texts, so no text, term
+or copy group is ever gathered from elsewhere: building and searching need no shuffle and have no
 hot key.
 
 *Search.*  The test set is a stated query set.  It is cut into parts of at most ``PART_BYTES``;
 each part is sent to all tasks and run against every block, so what is broadcast is bounded and
-the rest follows in further passes.  A window of consecutive words starts from the postings of its
-rarest term in the block; these places, shifted by the term's offset, are intersected with the
-postings of the other terms, rarer ones first.  What is left are exact phrases.  With ``slack``, a
-window also matches in proximity: there is a place from which on every term stands at most that many
-words off its own place, in any order.
+the rest follows in further passes.  A window of consecutive words starts from the postings of
+its rarest term in the block; these places, shifted by the term's offset, are intersected with
+the postings of the other terms, rarer ones first.  What is left are exact phrases.  With
+``slack``, a window also matches in proximity: there is a place from which on every term stands
+at most that many words off its own place, in any order.
 
 Words are runs of ASCII letters and digits and of all other characters beyond ASCII, A-Z in lower
 case; they are compared by a 64-bit hash.  Defined results: a NULL or empty text has no words and

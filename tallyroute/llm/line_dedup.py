@@ -5,23 +5,23 @@ word.  Lines are what line feeds separate, words what single spaces separate.  A
 if an equal or near line stands earlier, by document id, then by line number.  Blank lines stay,
 and lines of fewer than ``MIN_WORDS`` words are compared for equality only.
 
-*Deletion neighbourhood.*  Deleting the word at place ``i`` of a line gives a variant.  Two lines of
-the same length differ in at most the word at ``i`` if their variants at ``i`` are equal; a line
-becomes a shorter one by deleting a word if the variant is that line.  Variants are hashed keys:
-place, length and hash for replacements, the hash alone for deletions.  Under every key only the
-earliest holder is kept (and, for deletions, the earliest holder of either kind), a minimum that
-combines map-side; so no pairs are made and a key may have any number of lines.
-
-*Which lines are varied.*  Near lines agree in the first or the last half of their words.
-Every line gives the hashes of its halves, once by its own length and once as the longer of two
-lines.  Only lines that share one with a different line are varied, and only at the places and in the
-role that the shared half leaves open.  Nothing is lost by that.  The earliest near line found is verified: removing the word at the
-named place must leave exactly the same words on both sides.
+*Deletion neighbourhood.*  Deleting the word at place ``i`` of a line gives a variant.  Two lines
+of the same length differ in at most the word at ``i`` if their variants at ``i`` are equal; a
+line becomes a shorter one by deleting a word if the variant is that line.  Variants are hashed
+keys: place, length and hash for replacements, the hash alone for deletions.  Under every key
+only the earliest holder is kept (and, for deletions, the earliest holder of either kind), a
+minimum that combines map-side; so no pairs are made and a key may have any number of lines.
+
+*Which lines are varied.*  Near lines agree in the first or the last half of their words. Every
+line gives the hashes of its halves, once by its own length and once as the longer of two lines.
+Only lines that share one with a different line are varied, and only at the places and in the
+role that the shared half leaves open.  Nothing is lost by that.  The earliest near line found is
+verified: removing the word at the named place must leave exactly the same words on both sides.
 
 Hashes of variants combine by exclusive or, so that a line of ``n`` words costs ``n`` steps.
 
-Defined results: a NULL text has no lines and stays NULL.  Rows without an id take no part and keep
-their lines.  Rows that share an id are told apart by their text; equal rows are earlier or
+Defined results: a NULL text has no lines and stays NULL.  Rows without an id take no part and
+keep their lines.  Rows that share an id are told apart by their text; equal rows are earlier or
 later nowhere, so all of them keep or lose the same lines.
 """
 

@@ -1,22 +1,23 @@
 """Personal data: strict patterns, wider candidates, and boosted trees that choose among them.
 
-*Base spans* are the leftmost non-overlapping matches of one strict pattern per kind that pass its
-check; they always count.  *Candidates* come from wider patterns per kind (spelt-out addresses,
-other separators, numbers without prefix); they overlap freely, within a kind and between kinds.  Boosted
-trees score every candidate by its format and context, without what the strict patterns test
-(the plus sign, the checksum, the range of the parts).  They learn from the candidates themselves: one that
-overlaps a base span of its kind is a positive.  On texts kept out of training, a threshold per kind
-is set where ``PRECISION`` of the candidates above it are positives; candidates above it are
-added.  A kind with fewer than ``ENOUGH`` positives there gets no threshold and adds nothing.
+*Base spans* are the leftmost non-overlapping matches of one strict pattern per kind that pass
+its check; they always count.  *Candidates* come from wider patterns per kind (spelt-out
+addresses, other separators, numbers without prefix); they overlap freely, within a kind and
+between kinds.  Boosted trees score every candidate by its format and context, without what the
+strict patterns test (the plus sign, the checksum, the range of the parts).  They learn from the
+candidates themselves: one that overlaps a base span of its kind is a positive.  On texts kept
+out of training, a threshold per kind is set where ``PRECISION`` of the candidates above it are
+positives; candidates above it are added.  A kind with fewer than ``ENOUGH`` positives there gets
+no threshold and adds nothing.
 
 All of it is DataFrame functions and Spark's own tree learner.  Texts are read once; what is
 stored and shuffled afterwards are spans.  Spans and scores depend on the text alone, so they are
 grouped by a hash of the text, and copies of a text share one row.  The trees learn from at most
 ``SAMPLE`` candidates; thresholds are set by counts over all candidates kept out.
 
-Positions count code points, the end is exclusive.  Patterns are written so that Java's matcher neither
-recurses nor starts again inside a run, whatever the length of a text.  Defined results: a NULL or
-empty text has no spans.  Rows may repeat and may lack an id.
+Positions count code points, the end is exclusive.  Patterns are written so that Java's matcher
+neither recurses nor starts again inside a run, whatever the length of a text.  Defined results:
+a NULL or empty text has no spans.  Rows may repeat and may lack an id.
 """
 
 from __future__ import annotations
@@ -53,11 +54,15 @@ HINTS = {
     "email": r"@|[\[(]at[\])]", "ip": r"[0-9]\x20?[.,]\x20?[0-9]",
     "card": r"[0-9][0-9\x20./-]{9}", "phone": r"[0-9][0-9\x20()./-]{4}",
 }
-STRICT_HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][0-9\x20-]{11}", "phone": r"\+[0-9]"}
+STRICT_HINTS = {
+    "email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][0-9\x20-]{11}", "phone": r"\+[0-9]",
+}
 #: words before a candidate that speak for a kind
 NEARBY = {
-    "email": r"(?i)mail|contact|kontakt|correo|courriel|write", "ip": r"(?i)\bip\b|host|server|addr",
-    "card": r"(?i)card|karte|carte|tarjeta|visa|credit|pay", "phone": r"(?i)tel|phone|fon|call|fax|mobil|m[oó]vil",
+    "email": r"(?i)mail|contact|kontakt|correo|courriel|write",
+    "ip": r"(?i)\bip\b|host|server|addr",
+    "card": r"(?i)card|karte|carte|tarjeta|visa|credit|pay",
+    "phone": r"(?i)tel|phone|fon|call|fax|mobil|m[oó]vil",
 }
 
 SAMPLE, PRECISION, ENOUGH, BINS = 20_000, 0.98, 20, 500
@@ -121,7 +126,8 @@ def _luhn(digits: Column) -> Column:
 
     def value(d: Column, i: Column) -> Column:
         twice = d.cast("int") * 2
-        return F.when(i % 2 == 0, d.cast("int")).otherwise(twice - F.when(twice > 9, 9).otherwise(0))
+        folded = twice - F.when(twice > 9, 9).otherwise(0)
+        return F.when(i % 2 == 0, d.cast("int")).otherwise(folded)
 
     return _sum(F.transform(figures, value)) % 10 == 0
 

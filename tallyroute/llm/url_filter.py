@@ -1,11 +1,11 @@
 """Verdicts for pages by URL rules, carried over redirects and canonical links.
 
-A rule fits its host and all subdomains if the URL's path starts with the rule's path; the longest
-fitting rule decides.  A URL without a rule takes the verdict of its aliases: pages name aliases
-by ``<link rel=canonical>`` and by ``<meta http-equiv=refresh>``; these edges, and those of a
-redirect table if one is given, form a graph whose connected components hold equivalent URLs.
-In a component an explicit allow goes before an explicit block, and a block before nothing.  A URL
-whose own rule decides keeps that verdict.  Without any rule in reach a page is allowed.
+A rule fits its host and all subdomains if the URL's path starts with the rule's path; the
+longest fitting rule decides.  A URL without a rule takes the verdict of its aliases: pages name
+aliases by ``<link rel=canonical>`` and by ``<meta http-equiv=refresh>``; these edges, and those
+of a redirect table if one is given, form a graph whose connected components hold equivalent
+URLs. In a component an explicit allow goes before an explicit block, and a block before nothing.
+A URL whose own rule decides keeps that verdict.  Without any rule in reach a page is allowed.
 
 Everything is DataFrame functions; components are found by joins and minima in rounds stored in
 the shared folder.  The rules are a parameter of the plan, so only short lists belong there.

@@ -1,8 +1,8 @@
 """Words of many texts at once: byte spans, hashes and rolling hashes in numpy.
 
-Texts stay one UTF-8 byte buffer, as Arrow hands them over; no Python string is made per word.  All
-helpers take a *piece*: some whole texts whose bytes lie end to end.  Pieces hold about ``PIECE``
-bytes, so memory follows the longest text, not the batch.
+Texts stay one UTF-8 byte buffer, as Arrow hands them over; no Python string is made per word.
+All helpers take a *piece*: some whole texts whose bytes lie end to end.  Pieces hold about
+``PIECE`` bytes, so memory follows the longest text, not the batch.
 """
 
 from __future__ import annotations

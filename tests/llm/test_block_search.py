@@ -4,7 +4,6 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
 from tallyroute.llm import block_search
 
 SCHEMA = "vec_id long, embedding array<float>, rank int, part string"
@@ -33,7 +32,7 @@ def run(spark, data, **options):
                                                        **options).collect())
 
 
-def test_random_clustered_and_tied_vectors(spark, monkeypatch):
+def test_random_clustered_and_tied_vectors(spark):
     rng = np.random.default_rng(1)
     data = [(int(i), rng.normal(0, 0.3, 6).round(2).tolist()) for i in range(700)]
     data += [(1000 + i, [0.5, 0.5, 0, 0, 0, 0]) for i in range(120)]
@@ -79,4 +78,3 @@ def test_blocks_below_the_bound_are_not_scored():
     found, scores = block_search.best(asked, docs, 5, block)
     want = sorted((-5 * v, i) for i, v in enumerate(vectors[:, 0].tolist()))[:5]
     assert [(-s, i) for i, s in zip(found[0].tolist(), scores[0].tolist())] == want
-    assert rows is not None
