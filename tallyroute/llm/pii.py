@@ -4,11 +4,16 @@
 its check; they always count.  *Candidates* come from wider patterns per kind (spelt-out
 addresses, other separators, numbers without prefix); they overlap freely, within a kind and
 between kinds.  Boosted trees score every candidate by its format and context, without what the
-strict patterns test (the plus sign, the checksum, the range of the parts).  They learn from the
-candidates themselves: one that overlaps a base span of its kind is a positive.  On texts kept
-out of training, a threshold per kind is set where ``PRECISION`` of the candidates above it are
-positives; candidates above it are added.  A kind with fewer than ``ENOUGH`` positives there gets
-no threshold and adds nothing.
+strict patterns test (the plus sign, the checksum, the range of the parts).
+
+*Evidence* labels the candidates: one is evident if it overlaps a base span of its kind or passes
+the check of its kind once its separators, ``[at]`` and ``[dot]`` are made plain; other forms than
+the strict ones must also be grouped as such numbers are, or stand after a word that names them.
+The trees learn evident against failed.  On texts kept out of training, a threshold per kind is
+set where ``PRECISION`` of the candidates above it, without those of strict form, are right: a
+failed one counts for as many wrong ones as pass the check by ``CHANCE`` for each that fails.
+Evident candidates above it are added; what fails its check is never added.  A kind with fewer
+than ``ENOUGH`` evident candidates there gets no threshold and adds nothing.
 
 All of it is DataFrame functions and Spark's own tree learner.  Texts are read once; what is
 stored and shuffled afterwards are spans.  Spans and scores depend on the text alone, so they are
@@ -44,7 +49,7 @@ STRICT = {
 #: wider patterns
 WIDE = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++\x20?(?:@|\[at\]|\(at\))\x20?[A-Za-z0-9-]++"
-             r"(?:\x20?(?:\.|\[dot\]|\(dot\))\x20?[A-Za-z0-9-]++){0,8}+",
+             r"(?:(?:\.|\x20\.\x20|\x20?(?:\[dot\]|\(dot\))\x20?)[A-Za-z0-9-]++){0,8}+",
     "ip": r"(?<![0-9])[0-9]{1,5}+(?:\x20?[.,]\x20?[0-9]{1,5}+){3}+",
     "card": r"(?<![0-9])[0-9](?:[\x20./-]{0,2}+[0-9]){11,22}+(?![0-9])",
     "phone": r"(?<![0-9])[+(]?[0-9][0-9\x20()./-]{5,26}[0-9](?![0-9])",
@@ -65,6 +70,26 @@ NEARBY = {
     "phone": r"(?i)tel|phone|fon|call|fax|mobil|m[oó]vil",
 }
 
+#: words right before a candidate that name its kind
+NAMED = {
+    kind: rf"(?i)(?<!\p{{L}})(?:{words})\P{{L}}{{0,3}}"
+          r"(?:(?:at|is|us|me|no|on|to|nr|number)\P{L}{0,3})?$"
+    for kind, words in {
+        "ip": "ip|ips|host|server|addr|address|adresse",
+        "card": "card|cards|karte|kreditkarte|carte|tarjeta|visa|mastercard|amex",
+        "phone": "tel|telephone|telefon|teléfono|telefono|téléphone|phone|call|fax|cell|mobile?|"
+                 "m[oó]vil",
+    }.items()}
+#: how numbers of a kind are grouped when no word names them
+GROUPED = {
+    "card": r"^[0-9]{4}([\x20./-]{1,2})[0-9]{4}\1[0-9]{4}\1[0-9]{1,4}(\1[0-9]{1,3})?$|"
+            r"^[0-9]{4}([\x20./-]{1,2})[0-9]{6}\3[0-9]{4,5}$",
+    "phone": r"^(1[\x20.-]?)?(\([0-9]{3}\)[\x20.-]?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}$|"
+             r"^00[\x20.-]?[1-9][0-9]{0,2}[\x20./-].*$",
+}
+#: numbers that pass a check by chance for each one that fails it; 1 where that is not known
+CHANCE = {"email": 1.0, "ip": 1.0, "card": 1 / 9, "phone": 1.0}
+
 SAMPLE, PRECISION, ENOUGH, BINS = 20_000, 0.98, 20, 500
 ROUNDS, DEPTH = 12, 4
 CUT = 64
@@ -148,6 +173,22 @@ def _passes(kind: str, found: Column) -> Column:
     return _bind(_digits(found), counted)
 
 
+def _evident(kind: str, found: Column, left: Column) -> Column:
+    """Whether a candidate passes the check of its kind with plain separators, by form or name."""
+    if kind == "email":
+        plain = F.regexp_replace(found, r"\x20?(?:\[at\]|\(at\)|@)\x20?", "@")
+        plain = F.regexp_replace(plain, r"\x20?(?:\[dot\]|\(dot\)|\.)\x20?", ".")
+        return plain.rlike(r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24}$")
+    named = left.rlike(NAMED[kind])
+    if kind == "ip":
+        plain = F.regexp_replace(F.regexp_replace(found, r"\x20", ""), ",", ".")
+        return named & _passes(kind, plain)
+    numbers = _passes(kind, found)
+    if kind == "phone":
+        numbers = numbers & ~found.rlike(r"^\+|^[0-9]{1,5}(\.[0-9]{1,5}){3}$")
+    return numbers & (named | found.rlike(GROUPED[kind]))
+
+
 def _strict(n: int, kind: str, text: Column) -> Column:
     passing = F.filter(matches(text, STRICT[kind], STRICT_HINTS[kind]),
                        lambda m: _passes(kind, m["found"]))
@@ -209,7 +250,7 @@ class Found:
     """Stored results of one reading of the texts."""
 
     spans: DataFrame  # version, base
-    wide: DataFrame  # version, kind, start, end, positive, features
+    wide: DataFrame  # version, kind, start, end, positive, evident, formal, features
 
 
 def read_texts(docs: DataFrame, text: str = "text") -> Found:
@@ -226,7 +267,13 @@ def read_texts(docs: DataFrame, text: str = "text") -> Found:
         .select("version", "c.*", overlaps.alias("positive"))
         .dropDuplicates(["version", "kind", "start", "end"]))
     features = _features()
-    wide = wide.select("version", "kind", "start", "end", "positive",
+    evident, formal = F.col("positive"), F.lit(False)
+    for n, kind in enumerate(KINDS):
+        own = F.col("kind") == n
+        evident = evident | (own & _evident(kind, F.col("found"), F.col("left")))
+        formal = formal | (own & F.col("found").rlike(f"^(?:{STRICT[kind]})$"))
+    wide = wide.select("version", "kind", "start", "end", "positive", evident.alias("evident"),
+                       (F.col("positive") | formal).alias("formal"),
                        *[value.alias(name) for name, value in features.items()])
     return Found(read.select("version", "base"), stored(wide, "personal-candidates"))
 
@@ -235,7 +282,7 @@ def scored(wide: DataFrame) -> DataFrame | None:
     """Candidates with the trees' ``score``; ``kept_out`` marks the texts not learnt from."""
     names = list(_features())
     marked = wide.withColumns({"kept_out": F.pmod(F.col("version"), F.lit(4)) == 0,
-                               "label": F.col("positive").cast("double")})
+                               "label": F.col("evident").cast("double")})
     learnt = (
         marked.where("NOT kept_out")
         .orderBy(F.xxhash64("version", "kind", "start", "end"), "version", "kind", "start", "end")
@@ -247,23 +294,26 @@ def scored(wide: DataFrame) -> DataFrame | None:
     model = GBTClassifier(maxIter=ROUNDS, maxDepth=DEPTH, seed=7, stepSize=0.3).fit(rows)
     judged = model.transform(
         VectorAssembler(inputCols=names, outputCol="features").transform(marked))
-    return judged.select("version", "kind", "start", "end", "positive", "kept_out",
-                         vector_to_array("probability")[1].alias("score"))
+    return judged.select("version", "kind", "start", "end", "positive", "evident", "formal",
+                         "kept_out", vector_to_array("probability")[1].alias("score"))
 
 
 def thresholds(judged: DataFrame) -> dict[int, float]:
-    """Per kind the lowest score from which on enough of the kept-out candidates are positives."""
+    """Per kind the lowest score from which on enough of the kept-out candidates are right."""
     counts = (
         judged.where("kept_out")
         .groupBy("kind", F.floor(F.col("score") * BINS).cast("int").alias("bin"))
-        .agg(F.count(F.lit(1)).alias("all"), F.sum(F.col("positive").cast("int")).alias("right"))
+        .agg(F.count_if("evident").alias("seen"),
+             F.count_if(F.col("evident") & ~F.col("formal")).alias("right"),
+             F.count_if(~F.col("evident") & ~F.col("formal")).alias("wrong"))
         .collect())  # at most kinds times bins rows
     out = {}
-    for kind in range(len(KINDS)):
-        total = right = 0
+    for kind, name in enumerate(KINDS):
+        seen = right = wrong = 0
         for row in sorted((r for r in counts if r["kind"] == kind), key=lambda r: -r["bin"]):
-            total, right = total + row["all"], right + row["right"]
-            if right >= PRECISION * total and right >= ENOUGH:
+            seen, right = seen + row["seen"], right + row["right"]
+            wrong += CHANCE[name] * row["wrong"]
+            if right >= PRECISION * (right + wrong) and seen >= ENOUGH:
                 out[kind] = row["bin"] / BINS
     return out
 
@@ -278,7 +328,7 @@ def find(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> Data
         chosen = chosen | ((F.col("kind") == kind) & (F.col("score") >= least))
     if judged is None:
         judged = found.wide.withColumn("score", F.lit(0.0))
-    added = judged.where(~F.col("positive") & chosen).groupBy("version").agg(
+    added = judged.where("evident AND NOT positive").where(chosen).groupBy("version").agg(
         F.collect_set(F.struct("kind", "start", "end")).alias("more"))
     base = found.spans.dropDuplicates(["version"]).select("version", "base")
     all_spans = stored(base.join(added, "version", "left"), "personal-result")

@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -65,3 +66,48 @@ def test_redaction_joins_overlapping_spans(spark):
         "text string, spans array<struct<kind:int,start:int,end:int>>")
     assert [r[0] for r in df.select(pii.redact(F.col("text"), F.col("spans"))).collect()] == [
         "ab [phone] cd", "xy", "0[phone]8[email]"]
+
+
+def luhn_number(rng, fits=True):
+    body = [int(c) for c in "4"] + [rng.randint(0, 9) for _ in range(14)]
+    check = -sum(x if k % 2 else x * 2 - 9 * (x > 4) for k, x in enumerate(reversed(body))) % 10
+    return "".join(map(str, [*body, check if fits else (check + rng.randint(1, 9)) % 10]))
+
+
+def dealt(number, by):
+    return by.join(number[k:k + 4] for k in range(0, 16, 4))
+
+
+@pytest.mark.parametrize("share", [0.05, 0.3])
+def test_spans_of_other_form_are_added_whatever_their_share(spark, share):
+    rng = random.Random(int(share * 100))
+    texts, wanted = [], {}
+    for k in range(2400):
+        name, kind = f"u{k}", pii.KINDS[k % 4]
+        other, n = rng.random() < share, [rng.randint(1, 255) for _ in range(4)]
+        phone = f"({rng.randint(200, 999)}) {rng.randint(200, 999)}-{rng.randint(1000, 9999)}"
+        item, decoy = {
+            "email": (f"{name} [at] site{k} [dot] com" if other else f"{name}@site{k}.com",
+                      f"{name} @ noon"),
+            "ip": (("host " if other else "") + ("," if other else ".").join(map(str, n)),
+                   f"{n[0]}, {n[1]}, {n[2]}, {n[3]}"),
+            "card": (dealt(luhn_number(rng), "." if other else " "),
+                     luhn_number(rng, False)),
+            "phone": (("" if other else "+1 ") + phone, f"{rng.randint(10**6, 10**8 - 1)}"),
+        }[kind]
+        text = f"some words {'and more ' * rng.randint(0, 3)}{item} then what {decoy} of row"
+        texts.append((k, text))
+        if other:
+            plain = item.removeprefix("host ")
+            wanted[k] = (k % 4, text.index(plain), text.index(plain) + len(plain))
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    for r in pii.find(df).collect():
+        more = [tuple(s) for s in r["spans"] if s not in r["base"]]
+        assert more == ([wanted[r["doc_id"]]] if r["doc_id"] in wanted else []), texts[r["doc_id"]]
+
+
+def test_numbers_that_pass_by_chance_are_not_added(spark):
+    rng = random.Random(5)
+    texts = [(k, "order " + dealt(luhn_number(rng, k % 10 == 0), ".")) for k in range(1000)]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    assert pii.find(df).where("added > 0").count() == 0
