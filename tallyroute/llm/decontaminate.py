@@ -260,11 +260,15 @@ def contamination(docs: DataFrame, tests: DataFrame, id_column: str = "doc_id",
     return found.withColumn("n_hit", hit_words())
 
 
-def digest(found: DataFrame) -> DataFrame:
+def digest(found: DataFrame, near: bool = False) -> DataFrame:
+    """Counts and hashes of the exact matches; with ``near`` also those of the items that match in
+    proximity only (``n_near``, ``near_sha256``), which do not make a text contaminated."""
+    more = [F.size("near").cast("long").alias("n_near"),
+            F.sha2(F.array_join("near", ","), 256).alias("near_sha256")]
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-        (F.col("n_hit") > 0).alias("contaminated"))
+        (F.col("n_hit") > 0).alias("contaminated"), *(more if near else []))
 
 
 def brute_force_near(doc: str, item: str, window: int, slack: int) -> bool:

@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import pytest
@@ -58,6 +59,17 @@ def test_proximity_matches(spark):
                      6: ([], ["9"])}
 
 
+def test_digest_names_proximity_matches_beside_exact_ones(spark):
+    docs = [(1, "one two three four five"), (2, "one two x three four five"), (3, "six")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    tests = spark.createDataFrame([(9, "one two three four five")], "item_id long, text string")
+    found = D.contamination(df, tests, window=5, slack=1)
+    got = {r["doc_id"]: (r["n_items"], r["contaminated"], r["n_near"], r["near_sha256"])
+           for r in D.digest(found, near=True).collect()}
+    none, nine = (hashlib.sha256(s).hexdigest() for s in (b"", b"9"))
+    assert got == {1: (1, True, 0, none), 2: (0, False, 1, nine), 3: (0, False, 0, none)}
+
+
 @pytest.mark.parametrize("slack", [1, 2])
 def test_proximity_matches_brute_force_in_any_cut(spark, monkeypatch, slack):
     rng = random.Random(slack)
