@@ -12,8 +12,9 @@ the strict ones must also be grouped as such numbers are, or stand after a word
 The trees learn evident against failed.  On texts kept out of training, a threshold per kind is
 set where ``PRECISION`` of the candidates above it, without those of strict form, are right: a
 failed one counts for as many wrong ones as pass the check by ``CHANCE`` for each that fails.
-Evident candidates above it are added; what fails its check is never added.  A kind with fewer
-than ``ENOUGH`` evident candidates there gets no threshold and adds nothing.
+Evident candidates above it are added; what fails its check is never added.  The rule is the same
+at every count: a kind without right ones there takes the threshold of all kinds together, and
+where that has none either, or all candidates have one label, the evidence alone decides.
 
 All of it is DataFrame functions and Spark's own tree learner.  Texts are read once; what is
 stored and shuffled afterwards are spans.  Spans and scores depend on the text alone, so they are
@@ -90,7 +91,7 @@ GROUPED = {
 #: numbers that pass a check by chance for each one that fails it; 1 where that is not known
 CHANCE = {"email": 1.0, "ip": 1.0, "card": 1 / 9, "phone": 1.0}
 
-SAMPLE, PRECISION, ENOUGH, BINS = 20_000, 0.98, 20, 500
+SAMPLE, PRECISION, BINS = 20_000, 0.98, 500
 ROUNDS, DEPTH = 12, 4
 CUT = 64
 SPAN = "array<struct<kind:int,start:int,end:int>>"
@@ -278,8 +279,9 @@ def read_texts(docs: DataFrame, text: str = "text") -> Found:
     return Found(read.select("version", "base"), stored(wide, "personal-candidates"))
 
 
-def scored(wide: DataFrame) -> DataFrame | None:
-    """Candidates with the trees' ``score``; ``kept_out`` marks the texts not learnt from."""
+def scored(wide: DataFrame) -> DataFrame:
+    """Candidates with the trees' ``score``; ``kept_out`` marks the texts not learnt from.  If all
+    that is learnt from has one label, every score is 1."""
     names = list(_features())
     marked = wide.withColumns({"kept_out": F.pmod(F.col("version"), F.lit(4)) == 0,
                                "label": F.col("evident").cast("double")})
@@ -289,33 +291,41 @@ def scored(wide: DataFrame) -> DataFrame | None:
         .limit(SAMPLE))
     rows = VectorAssembler(inputCols=names, outputCol="features").transform(
         stored(learnt, "personal-sample").repartition(2)).select("features", "label")
+    kept = ("version", "kind", "start", "end", "positive", "evident", "formal", "kept_out")
     if rows.select("label").distinct().count() < 2:
-        return None
+        return marked.select(*kept, F.lit(1.0).alias("score"))
     model = GBTClassifier(maxIter=ROUNDS, maxDepth=DEPTH, seed=7, stepSize=0.3).fit(rows)
     judged = model.transform(
         VectorAssembler(inputCols=names, outputCol="features").transform(marked))
-    return judged.select("version", "kind", "start", "end", "positive", "evident", "formal",
-                         "kept_out", vector_to_array("probability")[1].alias("score"))
+    return judged.select(*kept, vector_to_array("probability")[1].alias("score"))
 
 
 def thresholds(judged: DataFrame) -> dict[int, float]:
-    """Per kind the lowest score from which on enough of the kept-out candidates are right."""
+    """Per kind the lowest score from which on enough of the kept-out candidates are right; above
+    1 if there is none.  A kind with no right one takes that of all kinds, or 0 without such."""
     counts = (
         judged.where("kept_out")
         .groupBy("kind", F.floor(F.col("score") * BINS).cast("int").alias("bin"))
-        .agg(F.count_if("evident").alias("seen"),
-             F.count_if(F.col("evident") & ~F.col("formal")).alias("right"),
+        .agg(F.count_if(F.col("evident") & ~F.col("formal")).alias("right"),
              F.count_if(~F.col("evident") & ~F.col("formal")).alias("wrong"))
         .collect())  # at most kinds times bins rows
-    out = {}
-    for kind, name in enumerate(KINDS):
-        seen = right = wrong = 0
-        for row in sorted((r for r in counts if r["kind"] == kind), key=lambda r: -r["bin"]):
-            seen, right = seen + row["seen"], right + row["right"]
-            wrong += CHANCE[name] * row["wrong"]
-            if right >= PRECISION * (right + wrong) and seen >= ENOUGH:
-                out[kind] = row["bin"] / BINS
-    return out
+
+    def least(kinds: set[int]) -> float | None:
+        right = wrong = 0
+        out = None
+        for bin_ in sorted({r["bin"] for r in counts if r["kind"] in kinds}, reverse=True):
+            for row in (r for r in counts if r["bin"] == bin_ and r["kind"] in kinds):
+                right += row["right"]
+                wrong += CHANCE[KINDS[row["kind"]]] * row["wrong"]
+            if right and right >= PRECISION * (right + wrong):
+                out = bin_ / BINS
+        return out if right == 0 or out is not None else 2.0
+
+    pooled = least(set(range(len(KINDS))))
+    own = [least({kind}) for kind in range(len(KINDS))]
+    if pooled is None or pooled > 1:  # what one kind gets wrong says nothing against the others
+        pooled = 0.0
+    return {kind: pooled if mine is None else mine for kind, mine in enumerate(own)}
 
 
 def find(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -324,10 +334,8 @@ def find(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> Data
     found = read_texts(docs, text)
     judged = scored(found.wide)
     chosen = F.lit(False)
-    for kind, least in (thresholds(judged) if judged is not None else {}).items():
+    for kind, least in thresholds(judged).items():
         chosen = chosen | ((F.col("kind") == kind) & (F.col("score") >= least))
-    if judged is None:
-        judged = found.wide.withColumn("score", F.lit(0.0))
     added = judged.where("evident AND NOT positive").where(chosen).groupBy("version").agg(
         F.collect_set(F.struct("kind", "start", "end")).alias("more"))
     base = found.spans.dropDuplicates(["version"]).select("version", "base")

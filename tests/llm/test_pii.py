@@ -106,6 +106,18 @@ def test_spans_of_other_form_are_added_whatever_their_share(spark, share):
         assert more == ([wanted[r["doc_id"]]] if r["doc_id"] in wanted else []), texts[r["doc_id"]]
 
 
+@pytest.mark.parametrize("extra", [0, 3, 300])
+def test_a_rare_form_is_added_at_every_count(spark, extra):
+    rng = random.Random(extra)
+    texts = [(0, "write jane [at] site [dot] com"), (1, "call (826) 555-4081 now")]
+    texts += [(k + 2, f"call (826) 555-{rng.randint(1000, 9999)} or lot {k + 10**6}")
+              for k in range(extra)]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    found = {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in pii.find(df).collect()}
+    assert found[0] == [(0, 6, 30)] and found[1] == [(3, 5, 19)]
+    assert all(found[k + 2] == [(3, 5, 19)] for k in range(extra))
+
+
 def test_numbers_that_pass_by_chance_are_not_added(spark):
     rng = random.Random(5)
     texts = [(k, "order " + dealt(luhn_number(rng, k % 10 == 0), ".")) for k in range(1000)]
