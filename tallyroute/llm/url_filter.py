@@ -57,12 +57,29 @@ def fitting(host: Column, path: Column, rules: Rules, value: int | None = None)
     return picked
 
 
+def _reduced(path: Column) -> Column:
+    """A path without the segments ``.`` and ``..``."""
+    def step(kept: Column, part: Column) -> Column:
+        up = F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(1)))
+        return F.when(part == ".", kept).when(part == "..", up).otherwise(
+            F.concat(kept, F.array(part)))
+
+    none = F.array().cast("array<string>")
+    parts = F.aggregate(F.split(path, "/", -1), none, step)
+    last = F.when(path.rlike(r"/\.\.?$"), F.array(F.lit(""))).otherwise(none)
+    return F.when(path.rlike(r"/\.\.?(/|$)"),
+                  F.array_join(F.concat(parts, last), "/")).otherwise(path)
+
+
 def node_of(url: Column) -> Column:
-    """A URL as a node: scheme and host in lower case, without the fragment."""
+    """A URL as a node: scheme and host in lower case, without dot segments and the fragment."""
     scheme = _lower(F.substring_index(url, "://", 1))
+    path = path_of(url)
     rest = F.regexp_replace(
-        F.substring(_after_scheme(url), F.length(host_of(url)) + 1, F.length(url)), r"(?s)#.*$", "")
-    return F.when(F.instr(url, "://") > 0, F.concat(scheme, F.lit("://"), host_of(url), rest))
+        F.substring(_after_scheme(url), F.length(host_of(url)) + F.length(path) + 1, F.length(url)),
+        r"(?s)#.*$", "")
+    return F.when(F.instr(url, "://") > 0,
+                  F.concat(scheme, F.lit("://"), host_of(url), _reduced(path), rest))
 
 
 def resolve(target: Column, base: Column) -> Column:
@@ -92,11 +109,17 @@ def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     """``a`` and ``b``: the page's URL and each alias its text names."""
     tags = pages.select(
         F.col(f"`{url}`").alias("url"),
-        F.regexp_extract(F.col(f"`{html}`"), CANONICAL, 0).alias("canonical"),
-        F.regexp_extract(F.col(f"`{html}`"), REFRESH, 0).alias("refresh"))
-    href = F.concat(*[F.regexp_extract("canonical", HREF, group) for group in (1, 2, 3)])
-    named = tags.where("canonical <> '' OR refresh <> ''").select(
-        "url", F.explode(F.array(href, F.regexp_extract("refresh", GOES_TO, 1))).alias("target"))
+        F.regexp_extract_all(F.col(f"`{html}`"), F.lit(CANONICAL), F.lit(0)).alias("canonical"),
+        F.regexp_extract_all(F.col(f"`{html}`"), F.lit(REFRESH), F.lit(0)).alias("refresh"))
+
+    def href(tag: Column) -> Column:
+        return F.concat(*[F.regexp_extract(tag, HREF, group) for group in (1, 2, 3)])
+
+    named = tags.where("size(canonical) > 0 OR size(refresh) > 0").select(
+        "url", F.explode(F.array_distinct(F.concat(
+            F.transform("canonical", href),
+            F.transform("refresh", lambda tag: F.regexp_extract(tag, GOES_TO, 1)))))
+        .alias("target"))
     return named.select(node_of(F.col("url")).alias("a"),
                         node_of(resolve(F.col("target"), F.col("url"))).alias("b")).where("a <> b")
 

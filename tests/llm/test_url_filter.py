@@ -54,6 +54,20 @@ def test_blocks_reach_aliases_and_explicit_allow_goes_first(spark):
     assert found[1]["by_alias"] and not found[7]["by_alias"] and found[1]["rule"] is None
 
 
+def test_every_tag_and_dot_segments_count(spark):
+    blocked, refresh = "https://example.org/es/9", '<meta http-equiv=refresh content="0; URL={}">'
+    found = run(spark, [
+        (1, "https://a.net/1", canonical("https://q.net/1") + canonical(blocked)),
+        (2, "https://a.net/2", "<link rel=canonical>" + canonical(blocked)),
+        (3, "https://a.net/3", refresh.format("https://q.net/3") + refresh.format(blocked)),
+        (4, "https://a.net/x/y/4", canonical("../../1")), (5, "https://a.net/./x/../2?q", ""),
+        (6, "https://a.net/5", canonical("/x/./../../2?q")), (7, "https://b.net/2?q", ""),
+        (8, "https://a.net/8", canonical("/2?q#z")), (9, "https://a.net/2?q", canonical(blocked)),
+        (10, "https://a.net/..", ""), (11, "https://a.net/", canonical(blocked))])
+    assert {k for k, r in found.items() if r["by_alias"] and r["verdict"] == "block"} == {
+        1, 2, 3, 4, 5, 6, 8, 9, 10, 11}
+
+
 def test_redirect_table(spark):
     found = run(spark, [(1, "http://r.net/a", ""), (2, "http://r.net/b", "")],
                 [("http://r.net/a", "http://mid.net/"), ("http://mid.net/", "http://x.com/de/")])
