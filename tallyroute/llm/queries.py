@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyroute.llm import (
     block_search, bpe, chat_format, decontaminate, line_dedup, pii, simhash_dedup,
-    substring_dedup, toxicity, url_filter,
+    substring_dedup, toxicity, url_filter, vector_codes,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -222,3 +222,55 @@ FROM docs LEFT JOIN cuts USING (doc_id) LEFT JOIN kept USING (doc_id)""")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.digest(
         substring_dedup.remove_repeated(table(spark, folder, "documents")))
+
+
+def lloyd_sql(rounds: int = 4, parts: int = 4, entries: int = 256) -> str:
+    """SQL of ``op13``: the rounds written out one after the other."""
+    def nearest(n: int) -> str:
+        return f"""
+near{n} AS MATERIALIZED (
+  SELECT k, p, CAST(min(entries_of * (own - 2 * list_inner_product(v, e) + size) + j) AS BIGINT) AS m
+  FROM (SELECT k, p, v, list_inner_product(v, v) AS own, {entries} AS entries_of FROM cut)
+  JOIN book{n} USING (p) GROUP BY k, p)"""
+
+    def moved(n: int) -> str:
+        return f"""
+mean{n} AS (
+  SELECT p, j, i, floor(sum(x) / count(*)) AS x
+  FROM (SELECT k, p, m % {entries} AS j FROM near{n}) JOIN places USING (k, p) GROUP BY p, j, i),
+book{n + 1} AS MATERIALIZED (
+  SELECT p, j, coalesce(new.e, b.e) AS e, list_inner_product(coalesce(new.e, b.e), coalesce(new.e, b.e)) AS size
+  FROM book{n} b LEFT JOIN (SELECT p, j, list(x ORDER BY i) AS e FROM mean{n} GROUP BY p, j) new
+    USING (p, j))"""
+
+    steps = ",".join(nearest(n) + "," + moved(n) for n in range(rounds))
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT *, row_number() OVER (ORDER BY vec_id, embedding) - 1 AS k
+  FROM (SELECT vec_id, label, embedding,
+    list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS w FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)),
+cut AS MATERIALIZED (
+  SELECT k, p, w[p * len(w) // {parts} + 1:(p + 1) * len(w) // {parts}] AS v
+  FROM kept, unnest(range({parts})) t(p)),
+places AS MATERIALIZED (SELECT k, p, unnest(v) AS x, unnest(range(len(v))) AS i FROM cut),
+book0 AS MATERIALIZED (
+  SELECT p, k AS j, v AS e, list_inner_product(v, v) AS size FROM cut WHERE k < {entries}),
+{steps},{nearest(rounds)},
+found AS (
+  SELECT k, string_agg(printf('%02x', CAST(m % {entries} AS INTEGER)), '' ORDER BY p) AS code,
+    CAST(sum(m // {entries}) AS BIGINT) AS error
+  FROM near{rounds} GROUP BY k),
+books AS (
+  SELECT sha256(string_agg(array_to_string(list_transform(e, lambda x: CAST(x AS BIGINT)), ','), ','
+    ORDER BY p, j)) AS codebooks_sha256
+  FROM book{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  codebooks_sha256
+FROM kept JOIN found USING (k), books"""
+
+
+@query("op13_vector_codes", lloyd_sql())
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.digest(*vector_codes.compress(table(spark, folder, "embeddings")))
