@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyroute.llm import (
-    block_search, bpe, chat_format, decontaminate, line_dedup, pii, simhash_dedup,
+    block_search, bpe, chat_format, decontaminate, line_dedup, pii, simhash_dedup, spelling,
     substring_dedup, toxicity, url_filter, vector_codes,
 )
 
@@ -224,6 +224,55 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
         substring_dedup.remove_repeated(table(spark, folder, "documents")))
 
 
+@query("op12_spelling_variants", r"""
+WITH RECURSIVE runs AS MATERIALIZED (
+  SELECT id, w, count(*) AS n FROM (
+    SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(translate(text,
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS w
+    FROM documents)
+  WHERE length(w) >= 6 GROUP BY id, w),
+bytes AS (
+  SELECT id, w, n, flatten(list_transform(string_split(id || ':' || w, ''),
+    lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)] ELSE [195, unicode(c) - 64] END)) AS b
+  FROM runs),
+checked AS (
+  SELECT id, w, n, xor(list_reduce(b, lambda c, x: xor(c >> 8,
+    list_reduce(range(8), lambda t, k: xor(t >> 1, 3988292384 * (t & 1)), xor(c, x) & 255)),
+    CAST(4294967295 AS BIGINT)), 4294967295) AS h
+  FROM (SELECT id, w, n, list_transform(b, lambda x: CAST(x AS BIGINT)) AS b FROM bytes)),
+words AS MATERIALIZED (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT n, CASE WHEN h % 199 = 0
+      THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word
+    FROM checked)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+cuts AS MATERIALIZED (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM words, unnest(range(1, length(word) + 1)) t(i)),
+pairs AS MATERIALIZED (
+  SELECT a.word, a.n, b.word AS other, b.n AS m FROM cuts a JOIN cuts b USING (i, rest)
+  WHERE a.word <> b.word AND length(a.word) = length(b.word)
+  UNION SELECT c.word, c.n, w.word, w.n FROM cuts c JOIN words w ON w.word = c.rest
+  UNION SELECT w.word, w.n, c.word, c.n FROM cuts c JOIN words w ON w.word = c.rest),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY word ORDER BY m DESC, other) AS r,
+    count(*) OVER (PARTITION BY word) AS n_near
+  FROM pairs),
+best AS MATERIALIZED (
+  SELECT word, n_near, CASE WHEN m >= 5 * n THEN other END AS form,
+    CASE WHEN m >= 5 * n THEN m END AS form_n
+  FROM ranked WHERE r = 1),
+way AS (
+  SELECT word, word AS tip, 0 AS step FROM words
+  UNION ALL SELECT way.word, best.form, step + 1 FROM way JOIN best ON best.word = tip
+  WHERE best.form IS NOT NULL),
+ends AS (SELECT word, arg_max(tip, step) AS root FROM way GROUP BY word)
+SELECT word, form, root, n, coalesce(n_near, 0) AS n_near, form_n
+FROM words JOIN ends USING (word) LEFT JOIN best USING (word)""")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))
+
+
 def lloyd_sql(rounds: int = 4, parts: int = 4, entries: int = 256) -> str:
     """SQL of ``op13``: the rounds written out one after the other."""
     def nearest(n: int) -> str:
