@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyroute.llm import (
-    block_search, bpe, chat_format, decontaminate, line_dedup, pii, simhash_dedup, spelling,
-    substring_dedup, toxicity, url_filter, vector_codes,
+    block_search, bpe, chat_format, decontaminate, line_dedup, multi_index, pii, simhash_dedup,
+    spelling, substring_dedup, toxicity, url_filter, vector_codes,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -224,6 +224,11 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
         substring_dedup.remove_repeated(table(spark, folder, "documents")))
 
 
+@query("op11_multi_index")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return multi_index.search(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @query("op12_spelling_variants", r"""
 WITH RECURSIVE runs AS MATERIALIZED (
   SELECT id, w, count(*) AS n FROM (
