@@ -13,11 +13,11 @@ the near word, if that prefix ends at least as late in the order.  Hence a near
 where the pivots of the word whose prefix ends first are looked up among the prefixes of the others.
 
 *Position limits.*  The one edit lies before or behind the pivot that is left.  In the first case
-the letters behind it are the same, in the second those before it, so a pivot is looked up under its
-bigram, one of the two sides, a checksum of that side's letters and one of the three lengths the
-other word can have.  Its place then differs by one at most.  What meets is verified by its edit
-distance.  All of it are joins by equality; common bigrams are pivots only of words that have no
-rarer ones.
+the letters behind it are the same, in the second those before it; its place differs by one at most.
+Of the side with the edit, the letters at its beginning or those at its end are the same too, for
+as many as fit in twice.  So a pivot is looked up under its bigram, the side and the end that are the
+same, their letters, and one of the three lengths the other word can have: a join by equality, in
+which words meet that are near or almost.  What meets is verified by its edit distance.
 
 Defined results: NULL texts hold no words, a NULL id counts as empty text in the checksum.  Rows that
 share an id are rows of their own.  Texts are read in segments cut behind other characters, so
@@ -48,6 +48,9 @@ SEGMENT = 1 << 20
 #: distinct words a task counts before it hands them on
 HELD = 1 << 16
 LOWER = bytes(W.LOWER)
+#: modulus and base of the hashes of letters, odd multipliers that join hashes to keys
+PRIME, BASE = (1 << 61) - 1, 0x5851F42D4C957F2D
+MIX = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xBF58476D1CE4E5B9)
 #: bigrams in a prefix: two for the edit and one more; bigrams chosen among them
 PREFIX, PIVOTS = 3, 2
 
@@ -157,20 +160,37 @@ def pivots_of(places: list[int], weights: list[int]) -> list[int]:
     return list(best[PIVOTS][1])
 
 
-def _sides(word: str) -> tuple[list[int], list[int]]:
-    """Checksums of the letters before each place and of those from it on."""
-    letters = [c.encode() for c in word]
-    before, behind = [0], [0]
-    for letter in letters:
-        before.append(zlib.crc32(letter, before[-1]))
-    for letter in reversed(letters):
-        behind.append(zlib.crc32(letter, behind[-1]))
-    return before, behind[::-1]
+class Letters:
+    """Hashes of any letters of a word that stand in a row."""
 
+    def __init__(self, word: str) -> None:
+        self.sums, self.powers = [0], [1]
+        for letter in word:
+            self.sums.append((self.sums[-1] * BASE + ord(letter)) % PRIME)
+            self.powers.append(self.powers[-1] * BASE % PRIME)
 
-def _key(rank: int, side: int, check: int, length: int) -> int:
-    key = (rank << 1 | side) << 50 | (length & 0x3FFFF) << 32 | check
-    return key - (1 << 64) if key >> 63 else key
+    def hash(self, start: int, stop: int) -> int:
+        return (self.sums[stop] - self.sums[start] * self.powers[stop - start]) % PRIME
+
+
+def keys_of(letters: Letters, n: int, place: int, rank: int, length: int) -> list[int]:
+    """Keys of the bigram at ``place`` in a word of ``n`` letters for a near word of ``length``.
+
+    One side of the bigram has to be the same; of the other side, which has ``m`` letters in the
+    near word, the first ``(m - 1) // 2`` or as many last ones, since one edit spares one of them.
+    """
+    found = []
+    for side, same, other in ((0, (0, place), (place + 2, n)), (1, (place + 2, n), (0, place))):
+        m = other[1] - other[0] + length - n
+        if m < 0:
+            continue
+        half = max(0, m - 1) // 2
+        kept = letters.hash(*same)
+        for end, at in ((0, other[0]), (1, other[1] - half)):
+            kind = ((rank * 2 + side) * 2 + end) * MIX[0] + length * MIX[1]
+            key = (kind + kept * MIX[2] + letters.hash(at, at + half) * MIX[3]) & W.MASK
+            found.append(key - (1 << 64) if key >> 63 else key)
+    return found
 
 
 def signature(word: str, ranks: dict[str, tuple[int, int]]) -> tuple[int, list[int], list[int]]:
@@ -178,15 +198,10 @@ def signature(word: str, ranks: dict[str, tuple[int, int]]) -> tuple[int, list[i
     known = [ranks[gram] for gram in map("".join, zip(word, word[1:]))]
     places = prefix_of([rank for rank, _ in known])
     chosen = pivots_of(places, [known[p][1] for p in places])
-    before, behind = _sides(word)
-    n = len(word)
-
-    def keys(place: int, length: int) -> tuple[int, int]:
-        rank = known[place][0]
-        return (_key(rank, 0, before[place], length), _key(rank, 1, behind[place + 2], length))
-
-    asked = [key for p in chosen for length in (n - 1, n, n + 1) for key in keys(p, length)]
-    found = [key for p in places for key in keys(p, n)]
+    letters, n = Letters(word), len(word)
+    asked = [key for p in chosen for length in (n - 1, n, n + 1)
+             for key in keys_of(letters, n, p, known[p][0], length)]
+    found = [key for p in places for key in keys_of(letters, n, p, known[p][0], n)]
     return max(known[p][0] for p in places), asked, found
 
 
