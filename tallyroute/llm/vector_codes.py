@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from tallyroute.llm.store import map_arrow, stored
 
 #: vectors in a stored row, parts in a leaf
-CHUNK, LEAF = 2048, 32
+CHUNK, LEAF = 2048, 64
 EXACT = 1 << 53
 LIMIT = np.iinfo(np.int64)
 
@@ -200,16 +200,26 @@ def _kind(*arrays: np.ndarray) -> type:
     return float if 4 * width * most * most < EXACT else object
 
 
-def _trees(row: dict, width: int, codebook: np.ndarray):
-    """Per part position: the tree over a stored row's parts, and the book."""
-    count, size = len(row["ids"]), codebook.shape[2]
-    matrix = np.frombuffer(row["vectors"], "<i8").reshape(count, width)
-    orders = np.frombuffer(row["orders"], "<u2").reshape(codebook.shape[0], count)
-    for position, entries in enumerate(codebook):
-        part = matrix[:, position * size:(position + 1) * size]
-        kind = _kind(part, entries)
-        yield (Tree(part.astype(kind), LEAF, orders[position].astype(np.int64)),
-               Book(entries.astype(kind)))
+class Books:
+    """The codebooks of all part positions; their trees are built once in a task."""
+
+    def __init__(self, codebook: np.ndarray) -> None:
+        self.codebook = codebook
+        self.built: dict[tuple[int, type], Book] = {}
+
+    def trees(self, row: dict) -> Iterator[tuple[Tree, Book]]:
+        """Per part position: the tree over a stored row's parts, and the book."""
+        parts, _, size = self.codebook.shape
+        count = len(row["ids"])
+        matrix = np.frombuffer(row["vectors"], "<i8").reshape(count, parts * size)
+        orders = np.frombuffer(row["orders"], "<u2").reshape(parts, count)
+        for position, entries in enumerate(self.codebook):
+            part = matrix[:, position * size:(position + 1) * size]
+            kind = _kind(part, entries)
+            if (position, kind) not in self.built:
+                self.built[position, kind] = Book(entries.astype(kind))
+            yield (Tree(part.astype(kind), LEAF, orders[position].astype(np.int64)),
+                   self.built[position, kind])
 
 
 def whole_numbers(vectors: list, width: int, scale: int) -> np.ndarray:
@@ -261,9 +271,10 @@ def _sums(codebook: np.ndarray):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros((parts, entries, size), object)
         counts = np.zeros((parts, entries), np.int64)
+        books = Books(codebook)
         for batch in batches:
             for row in batch.to_pylist():
-                for position, (tree, book) in enumerate(_trees(row, parts * size, codebook)):
+                for position, (tree, book) in enumerate(books.trees(row)):
                     labels, whole, single = assign(tree, book, book.order)
                     counts[position] += np.bincount(labels, minlength=entries)
                     into = np.zeros((entries, size), tree.points.dtype)
@@ -290,14 +301,15 @@ def _whole(values: np.ndarray) -> np.ndarray:
 
 
 def _codes(codebook: np.ndarray):
-    parts, entries, size = codebook.shape
+    parts, entries, _ = codebook.shape
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        books = Books(codebook)
         for batch in batches:
             for row in batch.to_pylist():
                 count = len(row["ids"])
                 codes, errors = np.zeros((count, parts), np.int64), np.zeros(count, object)
-                for position, (tree, book) in enumerate(_trees(row, parts * size, codebook)):
+                for position, (tree, book) in enumerate(books.trees(row)):
                     labels, _, _ = assign(tree, book, book.order)
                     codes[tree.order, position] = labels
                     off = tree.points - book.by_number[labels]
