@@ -9,7 +9,13 @@ bits of the chosen blocks, and fingerprints that meet are verified by their Hamm
 Equal fingerprints are one row from the start, so exact copies cost nothing.  Inside a meeting
 group a search goes from fingerprint to fingerprint and emits one link per fingerprint reached:
 a spanning forest of all links, never all pairs.  No link between groups is lost, because every
-close pair meets at least once and the search of that meeting joins the two.
+close pair meets at least once and the search of that meeting joins the two.  A pair meets in every
+choice of blocks it agrees in; only the first of these emits its link.
+
+Tasks take the rows of a meeting as they come.  One of more than ``MEETING`` fingerprints is handed
+on and dealt out again by the bits that its own choice left open: these are cut into ``distance + 2``
+blocks, of which a close pair agrees in two.  Fingerprints that still meet differ in 25 bits at most,
+so no task ever holds more than 2**25 of them.
 
 Defined results: a NULL text or one without words has fingerprint zero, linked like any other.
 Rows without an id get a fingerprint and no component.  Rows that share an id are rows of their
@@ -18,8 +24,8 @@ own.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from itertools import combinations
+from collections.abc import Callable, Iterator
+from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +41,10 @@ from tallyroute.llm.store import map_arrow, stored
 SHINGLE, SEED, DISTANCE = 4, 42, 4
 #: blocks of the 64 bits; pairs agree in ``BLOCKS - DISTANCE`` of them, 27 bits or more
 BLOCKS = 7
+#: fingerprints that are searched together as they meet; larger meetings are dealt out again
+MEETING = 4096
+#: a key holds the number of its choice above a hash of the chosen bits
+HASHED = 48
 
 
 def _normal(piece: W.Piece) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
@@ -108,15 +118,31 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     return map_arrow(named, _fingerprints(size, seed), "doc_id long, fingerprint long")
 
 
-def block_keys(blocks: int, distance: int) -> list[Column]:
-    """One key per choice of blocks: the number of the choice, then the chosen bits."""
-    edges = [64 * k // blocks for k in range(blocks + 1)]
+class Choices:
+    """Choices of ``take`` out of ``blocks`` equal blocks of the bits in ``mask``, in order."""
+
+    def __init__(self, blocks: int, take: int, mask: int = W.MASK) -> None:
+        bits = [1 << k for k in range(64) if mask >> k & 1]
+        edges = [len(bits) * k // blocks for k in range(blocks + 1)]
+        self.blocks = [sum(bits[a:b]) for a, b in zip(edges, edges[1:])]
+        self.chosen = list(combinations(range(blocks), take))
+        self.masks = [sum(self.blocks[k] for k in chosen) for chosen in self.chosen]
+
+    def first(self, differing: np.ndarray) -> np.ndarray:
+        """Number of the first choice in which none of the ``differing`` bits lie."""
+        found = np.full(len(differing), len(self.masks))
+        for number in reversed(range(len(self.masks))):
+            found[differing & np.uint64(self.masks[number]) == 0] = number
+        return found
+
+
+def block_keys(choices: Choices) -> list[Column]:
+    """One key per choice of blocks: the number of the choice, then a hash of the chosen bits."""
     keys = []
-    for number, chosen in enumerate(combinations(range(blocks), blocks - distance)):
-        mask = sum((1 << edges[k + 1]) - (1 << edges[k]) for k in chosen)
-        mask -= (1 << 64) if mask >> 63 else 0
-        bits = F.col("fingerprint").bitwiseAND(F.lit(mask).cast("long"))
-        keys.append(F.xxhash64(F.lit(number), bits))
+    for number, mask in enumerate(choices.masks):
+        bits = F.col("fingerprint").bitwiseAND(F.lit(mask - (mask >> 63 << 64)).cast("long"))
+        low = F.xxhash64(F.lit(number), bits).bitwiseAND(F.lit((1 << HASHED) - 1))
+        keys.append(low.bitwiseOR(F.lit(number << HASHED).cast("long")))
     return keys
 
 
@@ -136,45 +162,112 @@ def _forest(members: np.ndarray, distance: int) -> list[tuple[int, int]]:
     return links
 
 
-def _links(distance: int):
-    """Rows come sorted by key; groups of one are passed over, groups of two go in one step."""
+def _rows(a: np.ndarray, b: np.ndarray | None, key: np.ndarray | None) -> pa.RecordBatch:
+    """Links ``a`` and ``b``, or fingerprints ``a`` that are handed on with their ``key``."""
+    none = pa.nulls(len(a), pa.int64())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(W.signed(np.ascontiguousarray(a))),
+         none if b is None else pa.array(W.signed(np.ascontiguousarray(b))),
+         none if key is None else pa.array(key)], names=["a", "b", "key"])
+
+
+def _links(distance: int, first: Callable[[np.ndarray, np.ndarray], np.ndarray],
+           most: float = float("inf")):
+    """Rows come sorted by key; groups of one are passed over, groups of two go in one step.
+
+    ``first`` tells, by the numbers of choices and the differing bits, which links are emitted.
+    """
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, value = np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        for batch in (*batches, None):
+        passing = None  # the key of a meeting that is handed on
+        for batch in chain(batches, [None]):
             if batch is not None:
                 key = np.concatenate([key, batch["key"].to_numpy()])
                 value = np.concatenate([value, batch["fingerprint"].to_numpy().view(np.uint64)])
+            if passing is not None and len(key) and key[0] == passing:
+                cut = int(np.searchsorted(key, passing, "right"))
+                yield _rows(value[:cut], None, key[:cut])
+                key, value = key[cut:], value[cut:]
             if not len(key):
                 continue
             heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
             bounds = np.append(heads, len(key))
-            if batch is not None:  # the last group may go on
+            if batch is not None and len(key) - heads[-1] <= most:  # the last group may go on
                 bounds = bounds[:-1]
             sizes = np.diff(bounds)
             twos = bounds[:-1][sizes == 2]
             one, other = value[twos], value[twos + 1]
             near = np.bitwise_count(one ^ other) <= distance
-            found = [np.stack([one[near], other[near]], 1)]
-            for start, size in zip(bounds[:-1][sizes > 2].tolist(), sizes[sizes > 2].tolist()):
+            found, choice = [np.stack([one[near], other[near]], 1)], [key[twos[near]]]
+            large = (sizes > 2) & (sizes <= most)
+            for start, size in zip(bounds[:-1][large].tolist(), sizes[large].tolist()):
                 linked = _forest(value[start:start + size], distance)
                 if linked:
                     found.append(np.array(linked, np.uint64))
-            pairs = np.concatenate(found)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(W.signed(np.ascontiguousarray(pairs[:, k]))) for k in (0, 1)],
-                names=["a", "b"])
+                    choice.append(np.full(len(linked), key[start]))
+            pairs, choice = np.concatenate(found), np.concatenate(choice)
+            kept = first(choice >> HASHED, pairs[:, 0] ^ pairs[:, 1])
+            yield _rows(pairs[kept, 0], pairs[kept, 1], None)
+            for start, size in zip(bounds[:-1][sizes > most].tolist(), sizes[sizes > most].tolist()):
+                passing = key[start]
+                yield _rows(value[start:start + size], None, key[start:start + size])
             done = bounds[-1]
             key, value = key[done:], value[done:]
     return rows
 
 
-def near_links(distinct: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS) -> DataFrame:
+class Again:
+    """Choices within the bits that a choice of the first deal left open."""
+
+    def __init__(self, choices: Choices, distance: int) -> None:
+        self.outer = choices
+        self.inner = [Choices(distance + 2, 2, W.MASK ^ mask) for mask in choices.masks]
+        self.count = len(self.inner[0].masks)
+
+    def deal(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Every handed-on fingerprint once per inner choice."""
+        for batch in batches:
+            key = batch["key"].to_numpy()
+            value = batch["a"].to_numpy().view(np.uint64)
+            for number in np.unique(key >> HASHED).tolist():
+                mine = key >> HASHED == number
+                for k, mask in enumerate(self.inner[number].masks):
+                    bits = W.mix(value[mine] & np.uint64(mask)) ^ key[mine].view(np.uint64)
+                    low = W.mix(bits) & np.uint64((1 << HASHED) - 1)
+                    dealt = low.astype(np.int64) | (number * self.count + k << HASHED)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(W.signed(value[mine])), pa.array(dealt)],
+                        names=["fingerprint", "key"])
+
+    def first(self, numbers: np.ndarray, differing: np.ndarray) -> np.ndarray:
+        outer, inner = np.divmod(numbers, self.count)
+        kept = self.outer.first(differing) == outer
+        for number in np.unique(outer).tolist():
+            mine = outer == number
+            kept[mine] &= self.inner[number].first(differing[mine]) == inner[mine]
+        return kept
+
+
+def near_links(distinct: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS,
+               most: int = MEETING) -> DataFrame:
     """Pairs of distinct fingerprints that hold all groups of close ones together."""
-    dealt = distinct.select("fingerprint", F.explode(F.array(*block_keys(blocks, distance)))
-                            .alias("key"))
+    choices = Choices(blocks, blocks - distance)
+    again = Again(choices, distance)
+    if len(choices.masks) * again.count >= 1 << 63 - HASHED:
+        raise ValueError("too many choices of blocks")
     parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    met = dealt.repartition(parts, "key").sortWithinPartitions("key", "fingerprint")
-    return map_arrow(met, _links(distance), "a long, b long").distinct()
+
+    def meet(dealt: DataFrame, function: Callable) -> DataFrame:
+        met = dealt.repartition(parts, "key").sortWithinPartitions("key", "fingerprint")
+        return map_arrow(met, function, "a long, b long, key long")
+
+    dealt = distinct.select("fingerprint", F.explode(F.array(*block_keys(choices))).alias("key"))
+    found = stored(meet(dealt, _links(
+        distance, lambda numbers, bits: choices.first(bits) == numbers, most)), "met")
+    large = map_arrow(found.where("key IS NOT NULL").select("a", "key"), again.deal,
+                      "fingerprint long, key long")
+    return found.where("key IS NULL").select("a", "b").union(
+        meet(large, _links(distance, again.first)).select("a", "b"))
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text",

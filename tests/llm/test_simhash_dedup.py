@@ -52,6 +52,10 @@ def test_a_large_group_gives_a_forest_only():
     assert all((a ^ b).bit_count() <= 4 for a, b in links)
 
 
+def everything(numbers, differing):
+    return np.ones(len(numbers), bool)
+
+
 def test_links_survive_any_cut_into_batches():
     import pyarrow as pa
 
@@ -60,10 +64,47 @@ def test_links_survive_any_cut_into_batches():
     whole = pa.RecordBatch.from_arrays([pa.array(keys), pa.array(values)],
                                        names=["key", "fingerprint"])
 
-    def linked(batches):
-        out = [tuple(sorted(p)) for b in S._links(4)(iter(batches))
-               for p in zip(b["a"].to_pylist(), b["b"].to_pylist())]
-        return {x for p in out for x in p}, len(out)
+    def linked(batches, most=float("inf")):
+        out, handed = [], []
+        for b in S._links(4, everything, most)(iter(batches)):
+            for one, other, key in zip(*(b[n].to_pylist() for n in ("a", "b", "key"))):
+                (out if key is None else handed).append((one, other) if key is None else (key, one))
+        return {x for p in out for x in p}, len(out), sorted(handed)
 
     for cut in range(11):
-        assert linked([whole[:cut], whole[cut:]]) == linked([whole])
+        for later in range(cut, 11):
+            batches = [whole[:cut], whole[cut:later], whole[later:]]
+            assert linked(batches) == linked([whole])
+            assert linked(batches, 2) == linked([whole], 2)
+    assert linked([whole], 2)[2] == [(1, 0), (1, 1), (1, 2**40 - 1), (4, 8), (4, 9), (4, 10), (4, 11)]
+
+
+@pytest.mark.parametrize("most", [2, 50, 10**6])
+def test_large_meetings_are_dealt_out_again(spark, most):
+    rng = np.random.default_rng(2)
+    centre = rng.integers(0, 2**63, 3, dtype=np.uint64)
+    prints = set()
+    for k in range(1500):  # three groups of near copies, and prints of their own
+        flips = sum(1 << int(b) for b in set(rng.integers(0, 64, int(rng.integers(0, 6))).tolist()))
+        prints.add(int(centre[k % 3]) ^ flips)
+    prints |= {int(x) for x in rng.integers(0, 2**63, 300, dtype=np.uint64)}
+    values = sorted(p - (p >> 63 << 64) for p in prints)
+    df = spark.createDataFrame([(v,) for v in values], "fingerprint long")
+    links = [tuple(r) for r in S.near_links(df, most=most).collect()]
+    assert len(links) == len({frozenset(p) for p in links})
+    group = {v: v for v in values}
+
+    def root(v):
+        while group[v] != v:
+            group[v] = group[group[v]]
+            v = group[v]
+        return v
+
+    for a, b in links:
+        assert ((a ^ b) & (1 << 64) - 1).bit_count() <= 4
+        group[max(root(a), root(b))] = min(root(a), root(b))
+    found = [root(v) for v in values]
+    array = np.array(values).view(np.uint64)
+    for k, v in enumerate(values):
+        near = np.flatnonzero(np.bitwise_count(array ^ array[k]) <= 4)
+        assert {found[n] for n in near} == {found[k]}
