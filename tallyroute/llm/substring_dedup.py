@@ -10,7 +10,8 @@ its words, and Spark counts the windows across documents.  Two steps keep the co
 * Equal runs are settled as a whole by their hash: the smallest document id keeps them.  Only the
   windows of different runs with a common anchor are counted one by one.
 
-A window is identified by its anchor and its own hash, 128 bits together.  Removed windows merge
+A window is identified by its anchor and its own hash, which come from two independent hashes of
+its words.  Removed windows merge
 into maximal intervals per document.  All groupings are sums or minima that combine map-side, so
 a passage found in a third of all documents costs each task one row.
 
@@ -34,14 +35,14 @@ from tallyroute.llm.store import map_arrow, stored
 #: words in the smallest unit that anchors a window; shorter ones anchor more by chance
 GRAM = 16
 
-RUNS = "doc_id long, version int, anchor long, content long, first int, windows int"
+RUNS = "doc_id long, version long, anchor long, content long, first int, windows int"
 MARKS = "array<struct<first:int,windows:int,whole:boolean>>"
 
 
 def _named(df: DataFrame, id_column: str, text: str) -> DataFrame:
     """Id, text, and a hash that tells rows with one id but different texts apart."""
     return df.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"),
-                     F.hash(F.col(f"`{text}`")).alias("version"), F.col(f"`{text}`").alias("text"))
+                     F.xxhash64(F.col(f"`{text}`")).alias("version"), F.col(f"`{text}`").alias("text"))
 
 
 class _Windows:
@@ -49,8 +50,7 @@ class _Windows:
 
     def __init__(self, piece: W.Piece, window: int, gram: int) -> None:
         starts, ends, self.word_text = W.spans(piece, W.NOT_SPACE)
-        words = W.word_hashes(piece.data, starts, ends)
-        self.spans = (starts, ends)
+        words, others = (W.word_hashes(piece.data, starts, ends, which) for which in (0, 1))
         self.counts = np.bincount(self.word_text, minlength=len(piece))
         self.base = np.concatenate([[0], np.cumsum(self.counts)])
         self.window = window
@@ -60,7 +60,7 @@ class _Windows:
             return
         inside = self.word_text[:len(words) - window + 1] == self.word_text[window - 1:]
         self.at = np.flatnonzero(inside)
-        self.anchor = W.sliding_min(W.rolling(words, gram, 1), window - gram + 1)[self.at]
+        self.anchor = W.sliding_min(W.rolling(others, gram, 1), window - gram + 1)[self.at]
         self.hash = W.rolling(words, window)[self.at]
 
     def runs(self) -> tuple[np.ndarray, ...]:
@@ -159,7 +159,7 @@ def repeated_windows(docs: DataFrame, id_column: str = "doc_id", text: str = "te
     marked = stored(marked.select("doc_id", "version", F.col("marks").cast(MARKS)), "marks")
     windows = map_arrow(
         named.join(marked, ["doc_id", "version"]), _window_rows(window, gram),
-        "doc_id long, version int, anchor long, hash long, first int")
+        "doc_id long, version long, anchor long, hash long, first int")
     holders = stored(
         windows.groupBy("anchor", "hash")
         .agg(F.min("doc_id").alias("holder"), F.max("doc_id").alias("last"))

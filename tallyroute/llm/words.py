@@ -18,6 +18,9 @@ PIECE = 1 << 18
 #: odd multipliers of the two rolling hashes over words, and of the hash over bytes
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 BYTE_BASE = 0xA0761D6478BD642F
+#: odd multipliers of the two hashes of words, and the bytes they take at a time
+BYTE_KEYS = (0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)
+SLICE = 1 << 18
 MASK = (1 << 64) - 1
 
 SPACES = b"\t\n\x0b\x0c\r "
@@ -116,14 +119,45 @@ def byte_prefix(data: np.ndarray) -> np.ndarray:
 
 
 def span_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte span; equal spans hash alike wherever they stand."""
+    """64-bit hash of each byte span; equal spans hash alike wherever they stand.
+
+    A sum of powers: good for buckets of features.  Long spans can be made to collide, so words that
+    have to be told apart take :func:`word_hashes`."""
     _, down = _BYTES.upto(len(prefix))
     return mix((prefix[ends] - prefix[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each word."""
-    return span_hash(byte_prefix(data), starts, ends)
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray,
+                which: int = 0) -> np.ndarray:
+    """64-bit hash of each word, the first or second of two independent ones.
+
+    Every byte is mixed with its place in the word and with a key before the sums are taken, so that
+    no arrangement of bytes cancels out.  Bytes are worked on ``SLICE`` at a time."""
+    sizes = ends - starts
+    out = np.zeros(len(starts), np.uint64)
+    done = np.concatenate([[0], np.cumsum(sizes)])
+    first = 0
+    while first < len(starts):
+        last = max(first + 1, int(np.searchsorted(done, done[first] + SLICE, "right")) - 1)
+        size = sizes[first:last]
+        if last == first + 1:
+            for low in range(0, int(size[0]), SLICE):
+                high = min(low + SLICE, int(size[0]))
+                held = data[starts[first] + low:starts[first] + high]
+                out[first:last] += _byte_values(held, np.arange(low, high), which).sum()
+        else:
+            heads = done[first:last] - done[first]
+            place = np.arange(done[last] - done[first]) - np.repeat(heads, size)
+            held = data[place + np.repeat(starts[first:last], size)]
+            out[first:last] = np.add.reduceat(_byte_values(held, place, which), heads)
+        first = last
+    return mix(out + sizes.astype(np.uint64) * np.uint64(BASES[which]))
+
+
+def _byte_values(data: np.ndarray, place: np.ndarray, which: int) -> np.ndarray:
+    """A number for each byte at its place, as good as drawn at random."""
+    spot = place.astype(np.uint64) << np.uint64(8) | data
+    return mix((spot + np.uint64(1)) * np.uint64(BYTE_KEYS[which]))
 
 
 def rolling(hashes: np.ndarray, length: int, which: int = 0) -> np.ndarray:

@@ -83,3 +83,13 @@ def test_proximity_matches_brute_force_in_any_cut(spark, monkeypatch, slack):
     for doc_id, text in docs:
         assert found[doc_id] == {str(i) for i, item in items
                                  if D.brute_force_near(text, item, 4, slack)}, text
+
+
+def test_words_that_mirror_each_other_are_different_words(spark):
+    from llm.test_words import twins
+
+    docs = [(k, f"a b c {word} d e f g h i") for k, word in enumerate(twins(1024))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    tests = spark.createDataFrame([(9, docs[0][1])], "item_id long, text string")
+    got = rows(D.digest(D.contamination(df, tests)))
+    assert [(r[0], r[2]) for r in got] == [(0, 10), (1, 0)]

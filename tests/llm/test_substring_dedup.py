@@ -43,3 +43,22 @@ def test_intervals_are_maximal(spark):
 
 def test_empty_table(spark):
     assert S.remove_repeated(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_words_that_mirror_each_other_are_different_words(spark):
+    from llm.test_words import twins
+
+    common = " ".join(f"w{k}" for k in range(49))
+    data = [(k, f"{word} {common}") for k, word in enumerate(twins(512))]
+    assert [r[2] for r in run(spark, data, 50)] == [0, 0]
+
+
+def test_texts_of_one_id_with_equal_short_hashes(spark):
+    from pyspark.sql import functions as F
+
+    words = F.expr("transform(sequence(1, 50), k -> concat(id, 'x', k))")
+    texts = spark.range(400_000).select(F.array_join(words, " ").alias("text"))
+    same = texts.groupBy(F.hash("text")).agg(F.min("text").alias("a"), F.max("text").alias("b"))
+    a, b = same.where("a != b").select("a", "b").first()
+    data = [(1, a), (5, a), (5, b)]
+    assert run(spark, data, 50) == want(data, 50)

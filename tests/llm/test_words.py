@@ -61,3 +61,30 @@ def test_sliding_min(width):
     values = np.random.default_rng(4).integers(0, 99, 60)
     assert W.sliding_min(values, width).tolist() == [
         values[k:k + width].min() for k in range(len(values) - width + 1)]
+
+
+def twins(size):
+    """Two words that no sum of byte values times powers of an odd base tells apart."""
+    one = "".join("ab"[k.bit_count() % 2] for k in range(size))
+    return one, one.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("size", [512, 1024, 2048])
+def test_words_that_mirror_each_other_hash_differently(size):
+    piece = next(W.pieces(pa.array([" ".join(twins(size))]), 1 << 20))
+    starts, ends, _ = W.spans(piece, W.NOT_SPACE)
+    for which in (0, 1):
+        one, other = W.word_hashes(piece.data, starts, ends, which)
+        assert one != other
+
+
+def test_hashes_do_not_depend_on_slices(monkeypatch):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abé") for _ in range(rng.randint(1, 90))) for _ in range(200)]
+    piece = next(W.pieces(pa.array([" ".join(words), "x" * 700]), 1 << 20))
+    starts, ends, _ = W.spans(piece, W.NOT_SPACE)
+    whole = [W.word_hashes(piece.data, starts, ends, k) for k in (0, 1)]
+    assert not set(whole[0].tolist()) & set(whole[1].tolist())
+    for size in (1, 7, 100):
+        monkeypatch.setattr(W, "SLICE", size)
+        assert all((W.word_hashes(piece.data, starts, ends, k) == whole[k]).all() for k in (0, 1))
