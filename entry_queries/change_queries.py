@@ -969,6 +969,51 @@ def values_dump_ingest(t: Source) -> DataFrame:
         dumps.failed_lines(stored, DUMP_COLUMNS).select(failed), allowMissingColumns=True)
 
 
+@query("dump_over_lines", """
+SELECT CAST(c_custkey AS VARCHAR) AS id, 'O''Neil, "' || c_name AS full_name,
+  CASE WHEN c_custkey % 3 > 0 THEN 'a (b), c;' || chr(10) || '(''' || c_mktsegment || '),' || chr(10) || '-- (' END AS note,
+  CAST(floor(c_acctbal)::BIGINT AS VARCHAR) AS balance, NULL AS failed FROM customer WHERE c_custkey % 50 <> 7
+UNION ALL SELECT NULL, NULL, NULL, NULL, '(' || c_custkey || ', ''one' || chr(10) || 'two'')' FROM customer WHERE c_custkey % 50 = 7""")
+def dump_over_lines(t: Source) -> DataFrame:
+    """A dump whose tuples run over several lines in one half of its files and which has no line
+    ends between tuples in the other half, read from as many splits as there are."""
+    key = F.col("c_custkey")
+    note = F.when(key % 3 > 0, F.concat(
+        F.lit("'a (b), c;\n(\\'"), F.col("c_mktsegment"), F.lit("),\n-- ('"))).otherwise("NULL")
+    good = F.concat(
+        F.lit("("), key.cast("string"), F.lit(",\n  'O''Neil, \""), F.col("c_name"), F.lit("',\n  "),
+        note, F.lit(",\n"), F.floor("c_acctbal").cast("string"), F.lit("\n)"))
+    bad = F.concat(F.lit("("), key.cast("string"), F.lit(", 'one\ntwo')"))
+    head = F.when(key % 20 == 0, "; INSERT INTO c (id, full_name, note, balance) VALUES ")
+    rows = t.customer.select(key, F.concat(
+        head.otherwise(""), F.when(key % 50 == 7, bad).otherwise(good)).alias("value"))
+    folder = scratch_path(t.spark, "dump")
+    for half, separator in ((0, ","), (1, ",\n")):
+        rows.where(F.floor(key / 100) % 2 == half).select("value").write.option(
+            "lineSep", separator).text(f"{folder}/half={half}")
+    good_rows, failed = dumps.read_dump_checked(t.spark, f"{folder}/*", DUMP_COLUMNS)
+    plain = F.regexp_replace("text", r"^[\s,;]*(?:INSERT.*?VALUES )?", "").alias("failed")
+    return good_rows.unionByName(failed.select(plain), allowMissingColumns=True)
+
+
+@query("csv_over_lines", """
+SELECT o_orderkey AS row_key, 'one' || chr(10) || '"two", ' || o_custkey || CASE WHEN o_orderkey % 4 = 0 THEN chr(10) || chr(10) || ',Zoë' ELSE '' END AS remark,
+  CASE WHEN o_orderkey % 5 > 0 THEN o_orderpriority END AS priority, 1::BIGINT AS copies FROM orders""")
+def csv_over_lines(t: Source) -> DataFrame:
+    """Quoted fields with line breaks through CSV files that Spark reads in splits."""
+    path = scratch_path(t.spark, "lines")
+    key = F.col("o_orderkey")
+    t.orders.select(
+        key.alias("Row\nKey"),
+        F.concat(F.lit('one\n"two", '), F.col("o_custkey").cast("string"),
+                 F.when(key % 4 == 0, "\n\n,Zoë").otherwise("")).alias("Remark"),
+        F.when(key % 5 > 0, F.col("o_orderpriority")).alias("Priority")).write.option(
+            "header", True).option("escape", '"').csv(path)
+    read = cleaning.normalise_headers(files.read_csv_records(t.spark, path), cleaning.snake_header)
+    return read.groupBy(F.col("row_key").cast("bigint").alias("row_key"), "remark", "priority").agg(
+        F.count(F.lit(1)).alias("copies"))
+
+
 @query("file_round_trip", """
 WITH clean AS (SELECT o_orderkey, CASE WHEN o_orderkey % 7 > 1 THEN 'user' || o_custkey || '@x.org' END AS email,
   CASE WHEN o_orderkey % 8 > 0 THEN floor(o_totalprice) + 0.5 END AS amount,

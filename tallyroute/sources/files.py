@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyroute.functions.cleaning import one_line_header
+from tallyroute.sources.records import csv_records
 
 LATIN, UTF8 = "ISO-8859-1", "UTF-8"
 
@@ -16,7 +17,8 @@ def read_csv_text(
 ) -> DataFrame:
     """Every field as STRING, headers on one line and free of a byte-order mark.
 
-    ``multi_line`` is needed only for fields with line breaks; it keeps a file in one split.
+    ``multi_line`` reads fields with line breaks in one split per file; :func:`read_csv_records`
+    reads them from as many splits as there are.
     """
     df = (
         spark.read.option("header", True).option("inferSchema", False)
@@ -26,6 +28,19 @@ def read_csv_text(
     return df.toDF(*[one_line_header(name) for name in df.columns])
 
 
+def read_csv_records(spark: SparkSession, path: str, encoding: str = UTF8) -> DataFrame:
+    """As :func:`read_csv_text` for files whose quoted fields hold line breaks, without keeping a
+    file in one split.  Every file begins with the header."""
+    names = spark.read.option("header", True).option("encoding", encoding).option(
+        "escape", '"').option("multiLine", True).csv(path).columns
+    text = F.regexp_replace("text", "\\r$", "")
+    rows = csv_records(spark, path, encoding).where("record > 1").select(text.alias("text"))
+    schema = ", ".join(f"c{k} STRING" for k in range(len(names)))
+    fields = F.from_csv("text", schema, {"mode": "PERMISSIVE", "escape": '"'})
+    return rows.where("text != ''").select(fields.alias("row")).select("row.*").toDF(
+        *[one_line_header(name) for name in names])
+
+
 #: column that :func:`read_csv_checked` adds
 UNREAD = "unread_line"
 
