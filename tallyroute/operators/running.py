@@ -1,11 +1,14 @@
 """Row numbers, previous values and running sums per key, safe for a hot key.
 
-A plain window puts each key into one task.  Here a bounded sample of the data tells which keys
-hold many rows and where, along the order, such a key can be cut into pieces of like size.  Each
-piece is one window group, and a small summary per piece carries the count, the sums and the last
-row over to the next one.  There is one way for every size: a key with few rows is one piece.
-
-The sample is drawn by a hash of the order columns, and its bounds are values of the data, so a
+A plain window puts each key into one task.  Here a sample of the data tells which keys hold many
+rows and where, along the order, such a key can be cut into pieces of like size.  Each piece is one
+window group, and a small summary per piece carries the count, the sums and the last row over to the
+next one.  There is one way for every size: a key with few rows is one piece.
+
+The sample is drawn in one pass over the key and order columns: of all rows one in ``RATE`` by a hash
+of the order columns, and of these the one with the smallest hash in each of some slots.  There are
+as many pieces as shuffle partitions, or more, so pieces stay of bounded size where partitions do,
+and what is broadcast follows that setting and not the data.  The bounds are values of the data, so a
 retried task sees the same pieces.  Nothing runs while the plan is built.
 """
 
@@ -17,11 +20,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: rows, on average, the pieces are found from; what is broadcast is bounded by it
-SAMPLE = 1 << 16
-#: sampled rows from which on a key is cut, and the most pieces it is cut into
-HEAVY, PIECES = 16, 1024
-_SCALE = 1 << 30
+#: one in so many rows takes part in the sample
+RATE = 64
+#: least slots of the sample, and slots for each piece
+SAMPLE, SLOTS = 1 << 14, 16
+#: sampled rows from which on a key is cut, as many in each piece at least
+HEAVY = 16
+#: least number of pieces that a key may be cut into
+PIECES = 1024
 
 
 def _non_null(df: DataFrame, name: str) -> list[tuple[str, Column]]:
@@ -56,22 +62,30 @@ def _stand_ins(df: DataFrame, keys: Sequence[str]) -> dict[str, Column]:
     return dict(pair for key in keys for pair in _non_null(df, key)) or {"__k": F.lit(0)}
 
 
+def _pieces(df: DataFrame) -> int:
+    """Pieces a key may be cut into."""
+    return max(PIECES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _heavy_keys(source: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Keys with many sampled rows and the sorted bounds of their pieces.
 
-    At most as many bounds as sampled rows, so the result may be broadcast.
+    At most as many bounds as slots, so the result may be broadcast.
     """
     held = _stand_ins(source, keys)
-    total = source.agg(F.count(F.lit(1)).cast("double")).scalar()
-    draw = F.pmod(F.xxhash64(*order), F.lit(_SCALE)).cast("double")
+    pieces = _pieces(source)
+    slots = max(SAMPLE, SLOTS * pieces)
+    draw = F.xxhash64(*order)
     drawn = (
-        source.where(draw * total < float(SAMPLE) * _SCALE)
-        .select(*[column.alias(name) for name, column in held.items()],
-                _sort_rank(source, order).alias("__rank"))
-        .distinct()
+        source.where(F.pmod(draw, F.lit(RATE)) == 0)
+        .select(F.pmod(F.xxhash64(draw), F.lit(slots)).alias("__slot"), F.struct(
+            F.xxhash64(F.lit(1), draw).alias("__hash"),
+            *[column.alias(name) for name, column in held.items()],
+            _sort_rank(source, order).alias("__rank")).alias("__row"))
+        .groupBy("__slot").agg(F.min("__row").alias("__row")).select("__row.*")
     )
     ranks = F.sort_array("__ranks")
-    step = F.ceil(F.size("__ranks") / PIECES)
+    step = F.greatest(F.ceil(F.size("__ranks") / pieces), F.lit(HEAVY))
     return (
         drawn.groupBy(*held).agg(F.collect_list("__rank").alias("__ranks"))
         .where(F.size("__ranks") >= HEAVY)
@@ -79,13 +93,13 @@ def _heavy_keys(source: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     )
 
 
-def _with_piece(df: DataFrame, rank: Column) -> DataFrame:
+def _with_piece(df: DataFrame, rank: Column, pieces: int) -> DataFrame:
     """Add ``__cut``, the number of bounds up to the row, by halving; 0 for a key that is not cut.
 
     Each step is a column of its own, so that it is generated code and evaluated once.
     """
     df = df.withColumns({"__rank": rank, "__cut": F.lit(0)})
-    step = 1 << (PIECES.bit_length() - 1)
+    step = 1 << (pieces.bit_length() - 1)
     while step:
         passed = F.get("__bounds", F.col("__cut") + (step - 1)) <= F.col("__rank")
         df = df.withColumn("__cut", F.col("__cut") + F.when(passed, step).otherwise(0))
@@ -121,7 +135,7 @@ def running_by(
     else:  # all rows have the same bounds
         marked = df.withColumns(held | {"__bounds": heavy.select("__bounds").scalar()})
     rows = (
-        _with_piece(marked, _sort_rank(df, order))
+        _with_piece(marked, _sort_rank(df, order), _pieces(df))
         .withColumn("__hot", F.col("__bounds").isNotNull()).drop("__bounds")
     )
     window = Window.partitionBy(*names, "__cut").orderBy(

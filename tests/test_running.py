@@ -63,3 +63,35 @@ def test_dense_index_of_sparse_ids(spark, n):
     df = spark.createDataFrame([(i,) for i in rng.sample(ids, n)], "id BIGINT")
     assert sorted(tuple(r) for r in dense_index(df, "id", "n").select("n", "id").collect()) == list(
         enumerate(ids))
+
+
+@pytest.mark.parametrize("heavy,pieces,slots", [(2, 5, 1 << 14), (3, 40, 60), (1, 300, 1 << 14)])
+def test_cut_keys_match_loop(spark, monkeypatch, heavy, pieces, slots):
+    """Every row may be a bound, so that keys are cut into many pieces."""
+    monkeypatch.setattr(running, "RATE", 1)
+    monkeypatch.setattr(running, "SLOTS", 1)
+    monkeypatch.setattr(running, "SAMPLE", slots)
+    monkeypatch.setattr(running, "HEAVY", heavy)
+    monkeypatch.setattr(running, "PIECES", pieces)
+    rng = random.Random(heavy)
+    data = [(1 if n % 3 == 0 else rng.choice([None, 2, 3]), rng.choice([None, *range(20)]), n,
+             rng.randrange(9)) for n in range(400)]
+    df = spark.createDataFrame(data, "k BIGINT, day INT, id BIGINT, v BIGINT")
+    held = running._heavy_keys(df, ["k"], ["day", "id"]).select(F.size("__bounds")).collect()
+    assert max(r[0] for r in held) >= 5
+    found = running_by(df, ["k"], ["day", "id"], number="n",
+                       previous={"last": "v"}, sums={"before": "v"})
+    assert rows(found) == brute(data)
+
+
+def test_more_partitions_allow_more_pieces(spark, monkeypatch):
+    monkeypatch.setattr(running, "RATE", 1)
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    df = spark.range(120_000).select(F.lit(1).alias("k"), "id")
+    try:
+        spark.conf.set(name, "3000")
+        plan = running._heavy_keys(df, ["k"], ["id"])
+    finally:
+        spark.conf.set(name, before)
+    assert 1500 < plan.select(F.size("__bounds")).first()[0] <= 3000
