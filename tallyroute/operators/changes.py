@@ -110,7 +110,8 @@ def kept_rows(table: DataFrame, run: Run) -> DataFrame:
 
 
 def merged(table: DataFrame, delta: DataFrame, key: str) -> DataFrame:
-    """New version of a table from the new and changed rows of a run."""
+    """New version of a table from the new and changed rows of a run; see ``sources/versions.py`` for
+    one that reads and writes the touched part of a table only."""
     return append_rows(table.join(delta.select(key), key, "left_anti"), delta)
 
 
@@ -120,14 +121,17 @@ def last_request(requests: DataFrame, keys: Sequence[str], row_id: str) -> DataF
 
 
 def matched_update(
-    table: DataFrame, requests: DataFrame, keys: Sequence[str], values: Sequence[str]
+    table: DataFrame, requests: DataFrame, keys: Sequence[str], values: Sequence[str],
+    delta: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """Keyed update on the full key; returns the new table and each request with ``matched``."""
+    """Keyed update on the full key; returns the new table, or its changed rows with ``delta``, and
+    each request with ``matched``."""
     renamed = requests.select(*keys, *[F.col(name).alias(f"__new_{name}") for name in values])
     new_table = update_rows(
-        table, keys, renamed, {name: F.col(f"__new_{name}") for name in values}
+        table, keys, renamed, {name: F.col(f"__new_{name}") for name in values},
+        changed_only=delta,
     )
-    present = table.select(*keys).distinct().withColumn("matched", F.lit(True))
+    present = table.select(*keys).join(renamed.select(*keys), list(keys), "left_semi").distinct().withColumn("matched", F.lit(True))
     audit = requests.join(present, list(keys), "left").withColumn(
         "matched", F.coalesce("matched", F.lit(False))
     )
@@ -633,11 +637,13 @@ def restore_mappings(
     lead: DataFrame,
     broken: DataFrame,
     cutoff: datetime,
+    delta: bool = False,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Bring broken mappings back to their last log entry before ``cutoff``.
 
     The lead then follows its open mapping; where none is open, the restored mapping with the
-    highest id is reopened and gives the owner.  Returns (mapping, lead, audit).
+    highest id is reopened and gives the owner.  Returns (mapping, lead, audit); with ``delta`` only
+    the changed rows of the two tables.
     """
     columns = ["rm_id", "end_date", "is_transferred", "updated_at", "updated_by"]
     edge = F.lit(cutoff).cast("timestamp_ntz")
@@ -646,12 +652,11 @@ def restore_mappings(
         .where(F.col("log_timestamp") < edge),
         ["mapping_id"], "log_timestamp", "log_id",
     ).select("mapping_id", *[F.col(name).alias(f"__old_{name}") for name in columns])
-    restored = update_rows(
-        contact_mapping, "mapping_id", entry,
-        {name: F.col(f"__old_{name}") for name in columns},
-    )
+    before = {name: F.col(f"__old_{name}") for name in columns}
+    restored = update_rows(contact_mapping, "mapping_id", entry, before, changed_only=delta)
     leads = broken.join(entry, "mapping_id").select("lead_id", "mapping_id")
-    state = restored.join(leads.select("lead_id").distinct(), "lead_id", "left_semi")
+    of_leads = contact_mapping.join(leads.select("lead_id").distinct(), "lead_id", "left_semi")
+    state = update_rows(of_leads, "mapping_id", entry, before)
     open_now = latest_by(
         state.where(F.col("end_date").isNull()), ["lead_id"], "mapping_id"
     ).select("lead_id", F.col("rm_id").alias("__open_rm"))
@@ -665,7 +670,7 @@ def restore_mappings(
     )
     new_lead = update_rows(
         lead, "lead_id", stack(open_now, reopen.select("lead_id", "__open_rm")),
-        {"rm_id": F.col("__open_rm")},
+        {"rm_id": F.col("__open_rm")}, changed_only=delta,
     )
     audit = broken.join(entry.select("mapping_id", "__old_rm_id"), "mapping_id", "left").join(
         reopen.select("mapping_id", F.lit(True).alias("__reopened")), "mapping_id", "left"
