@@ -13,7 +13,7 @@ from tallyroute.operators import audit, changes, unions
 from tallyroute.operators.changes import Run
 from tallyroute.plans import collections, offline_payments, refunds, service, transfers
 from tallyroute.session import cut_lineage, scratch_path
-from tallyroute.sources import dumps, files, ingest, schema
+from tallyroute.sources import dumps, file_index, files, ingest, schema
 
 AS_OF = datetime(2024, 2, 5, 12, 0, 0)
 RUN, DELTA = Run(AS_OF), Run(AS_OF, delta=True)
@@ -936,6 +936,26 @@ def appended_rows(t: Source) -> DataFrame:
                            [F.col("l_orderkey").asc()])
 
 
+@query("indexed_import", """
+SELECT s_suppkey * 5 AS o_orderkey, CASE WHEN s_suppkey * 5 IN (SELECT o_orderkey FROM orders) THEN 'skipped' ELSE 'inserted' END AS outcome,
+  (SELECT count(DISTINCT o_orderkey // 5000) FROM orders)::BIGINT AS files,
+  (SELECT count(DISTINCT o_orderkey // 5000) FROM orders) > (SELECT count(DISTINCT o_orderkey // 5000) FROM orders
+    WHERE o_orderkey IN (SELECT s_suppkey * 5 FROM supplier)) AS spared FROM supplier""")
+def indexed_import(t: Source) -> DataFrame:
+    """Few keys against a table of many files: the files that cannot hold one of them are not read."""
+    folder, index_path = scratch_path(t.spark, "orders"), scratch_path(t.spark, "orders-index")
+    t.orders.select("o_orderkey", F.expr("o_orderkey div 5000").alias("slice")).repartition(
+        "slice").write.partitionBy("slice").parquet(folder)
+    index = file_index.build_index(t.spark, folder, "o_orderkey", index_path)
+    asked = t.supplier.select((F.col("s_suppkey") * 5).alias("o_orderkey"))
+    known = file_index.keys_known(t.spark, folder, index, asked, ["o_orderkey"])
+    files = index.agg(F.countDistinct("file")).scalar()
+    read = file_index.possible_files(index, asked, "o_orderkey").agg(F.count(F.lit(1))).scalar()
+    return asked.join(known.withColumn("known", F.lit(True)), "o_orderkey", "left").select(
+        "o_orderkey", F.when(F.col("known"), "skipped").otherwise("inserted").alias("outcome"),
+        files.alias("files"), (read < files).alias("spared"))
+
+
 DUMP_COLUMNS = ["id", "full_name", "note", "balance"]
 
 
