@@ -11,7 +11,8 @@ from tallyroute.functions import catalog, dates, payload
 from tallyroute.operators import lookup, measures, unions
 from tallyroute.operators.pick import any_by, earliest_by, latest_by
 from tallyroute.operators.running import running_by
-from tallyroute.session import cut_lineage
+from tallyroute.plans.shared import Need, ReadOnce
+from tallyroute.session import cut_lineage, stored
 
 Crm = Mapping[str, DataFrame]
 
@@ -366,6 +367,9 @@ def noted_activities(activities: DataFrame) -> DataFrame:
     return activities.withColumn("comment_id", F.explode_outer(members))
 
 
+OUTCOMES = ("called", "detail_conversation", "phone_conversation")
+
+
 def _outcomes() -> list[Column]:
     conditions = catalog.call_outcome_conditions("comment_id", "activity_type_id",
                                                  "call_duration")
@@ -373,21 +377,67 @@ def _outcomes() -> list[Column]:
     return [*measures.counts_where(conditions), total.alias("call_duration")]
 
 
-OUTCOMES = ("called", "detail_conversation", "phone_conversation")
+def _is_call() -> Column:
+    return F.col("activity_type_id").isin(catalog.CALL_ACTIVITY, catalog.NOTE_ACTIVITY)
 
 
-def call_activity(crm: Crm) -> DataFrame:
-    """Call outcomes per (owner, moment, lead); only groups with an outcome."""
-    calls = crm["activity"].where(
-        F.col("activity_type_id").isin(catalog.CALL_ACTIVITY, catalog.NOTE_ACTIVITY)
-    ).select("lead_id", "contact_id", "rm_id", "activity_type_id", "call_duration",
-             "comment_ids", "created_at")
-    counted = measures.any_positive(
+def _is_recent(as_of, days: int) -> Column:
+    """Calls of the last days, and whatever was done with a lead that is far along."""
+    return (_is_call() & dates.since_days("created_at", as_of, days)) | (F.col("status_id") >= 5)
+
+
+def call_outcomes(crm: Crm) -> DataFrame:
+    """Outcomes per (owner, moment, lead) of the calls with known contacts, if there is one."""
+    calls = crm["activity"].where(_is_call()).select(
+        "lead_id", "contact_id", "rm_id", "activity_type_id", "call_duration", "comment_ids",
+        "created_at")
+    return measures.any_positive(
         noted_activities(
             calls.join(crm["contact"].select("contact_id"), "contact_id", "left_semi")
         ).groupBy("rm_id", "created_at", "lead_id").agg(*_outcomes()),
         OUTCOMES,
     )
+
+
+def recent_outcomes(crm: Crm, as_of, days: int) -> DataFrame:
+    """Outcomes per (lead, owner, moment) of recent activity."""
+    return noted_activities(
+        crm["activity"].where(_is_recent(as_of, days)).select(
+            "lead_id", "rm_id", "activity_type_id", "call_duration", "comment_ids", "created_at")
+    ).groupBy("lead_id", "rm_id", "created_at").agg(*_outcomes())
+
+
+def both_outcomes(crm: Crm, as_of, days: int) -> tuple[DataFrame, DataFrame]:
+    """:func:`call_outcomes` and :func:`recent_outcomes` from one pass over the activities, which
+    are counted for both by one aggregate."""
+    known = crm["contact"].select("contact_id").distinct().withColumn("__known", F.lit(True))
+    kinds = {"call": _is_call() & F.coalesce("__known", F.lit(False)),
+             "recent": F.coalesce(_is_recent(as_of, days), F.lit(False))}
+    conditions = catalog.call_outcome_conditions("comment_id", "activity_type_id",
+                                                 "call_duration")
+    marked = noted_activities(
+        crm["activity"].where(_is_call() | _is_recent(as_of, days))
+        .join(known, "contact_id", "left").withColumns(kinds).where("call OR recent"))
+    counted: list[Column] = []
+    for kind in kinds:
+        counted.append(F.bool_or(kind).alias(f"is_{kind}"))
+        counted += [F.count_if(F.col(kind) & F.expr(text)).alias(f"{kind}_{name}")
+                    for name, text in conditions.items()]
+        counted.append(F.sum(F.when(F.col(kind), F.col("call_duration").cast("decimal(18,6)")))
+                       .cast("double").alias(f"{kind}_call_duration"))
+    both = stored(marked.groupBy("lead_id", "rm_id", "created_at").agg(*counted), "outcomes")
+
+    def of(kind: str) -> DataFrame:
+        return both.where(F.col(f"is_{kind}")).select(
+            "lead_id", "rm_id", "created_at",
+            *[F.col(f"{kind}_{name}").alias(name) for name in (*OUTCOMES, "call_duration")])
+
+    return measures.any_positive(of("call"), OUTCOMES), of("recent")
+
+
+def call_activity(crm: Crm, counted: DataFrame | None = None) -> DataFrame:
+    """Call outcomes per (owner, moment, lead); only groups with an outcome."""
+    counted = call_outcomes(crm) if counted is None else counted
     lead = crm["lead"].where("is_active").select("lead_id", "status_id", "substatus_id")
     rows = lookup.star(
         counted.join(lead, "lead_id"),
@@ -406,26 +456,17 @@ def call_activity(crm: Crm) -> DataFrame:
 
 def lead_activity_payment(
     crm: Crm, as_of, scenarios: DataFrame | None = None, days: int = 91,
-    names: Mapping[str, str] = catalog.FAMILY_NAMES,
+    names: Mapping[str, str] = catalog.FAMILY_NAMES, counted: DataFrame | None = None,
 ) -> DataFrame:
     """Active leads with their owner's recent activity and their payments side by side.
 
     Outcomes are counted per (lead, owner, moment) before plans and payments multiply the rows.
     """
     scenarios = payment_scenarios(crm, names) if scenarios is None else scenarios
-    recent = (
-        F.col("activity_type_id").isin(catalog.CALL_ACTIVITY, catalog.NOTE_ACTIVITY)
-        & dates.since_days("created_at", as_of, days)
-    ) | (F.col("status_id") >= 5)
-    counted = (
-        noted_activities(
-            crm["activity"].where(recent).select(
-                "lead_id", "rm_id", "activity_type_id", "call_duration", "comment_ids",
-                F.col("created_at").alias("activity_at"))
-        )
-        .groupBy("lead_id", "rm_id", "activity_at").agg(*_outcomes())
-        .withColumnRenamed("rm_id", "owner_id").withColumn("activity_lead_id", F.col("lead_id"))
-    )
+    counted = recent_outcomes(crm, as_of, days) if counted is None else counted
+    counted = counted.withColumnsRenamed(
+        {"rm_id": "owner_id", "created_at": "activity_at"}).withColumn(
+            "activity_lead_id", F.col("lead_id"))
     plan_names = named(crm["mst_subproduct"], "sub_product_id", "sub_product_id",
                        sub_product="name")
     lead_plans = lookup.array_member_join(
@@ -505,6 +546,28 @@ def lead_details(crm: Crm) -> DataFrame:
     )
 
 
+#: days of activity the combined branch looks back
+ACTIVITY_DAYS = 91
+
+
+def payment_facts() -> dict[str, Need]:
+    """What the seven branches read of each fact table."""
+    return {
+        "payment": Need(("payment_id", "sub_product_id", "contact_id", "onboarding_id", "lead_id",
+                         "payment_date", "payment_provider", "payment_method", "created_by")),
+        "instalment": Need(("payment_id", "sub_product_id", "instalment_number", "created_at",
+                            "instalment_id", "amount"), F.size("payment_id") > 0),
+        "onboarding": Need(("onboarding_id", "lead_id", "contact_id", "adjustment_amount", "rm_id",
+                            "status_id", "substatus_id", "created_by",
+                            "subscription_expiry_date")),
+        "lead": Need(("lead_id", "contact_id", "rm_id", "product_id", "sub_product_ids",
+                      "lead_source_id", "utm_source", "utm_campaign", "utm_medium", "created_at",
+                      "is_active", "status_id", "substatus_id")),
+        "lead_log": Need(("lead_id", "rm_id", "log_id", "created_at", "substatus_id")),
+        "contact": Need(("contact_id", "full_name", "email_address")),
+    }
+
+
 def payments_report(
     crm: Crm,
     as_of,
@@ -513,16 +576,21 @@ def payments_report(
     names: Mapping[str, str] = catalog.FAMILY_NAMES,
     excluded_owner: int = 1518,
 ) -> DataFrame:
-    """All seven branches, each marked in ``flag``; scenarios are computed once and stored."""
+    """All seven branches, each marked in ``flag``.
+
+    Every fact table is read once: what the branches need of it is stored, activities are counted for
+    both of their branches together, and scenarios are computed once."""
+    crm = ReadOnce(crm, payment_facts())
     scenarios = cut_lineage(payment_scenarios(crm, names))
+    calls, recent = both_outcomes(crm, as_of, ACTIVITY_DAYS)
     return unions.tagged(
         {
             "Payment": payments_detail(crm, as_of, scenarios, excluded_owner),
             "Payment (none)": owners_without_payment(crm, as_of, user_ids),
             "Counsellor Details": owner_directory(crm, as_of, user_ids, names),
             "Lead Taken": lead_pickups(crm, pickups_since, user_ids, names),
-            "Activity": call_activity(crm),
-            "Combine": lead_activity_payment(crm, as_of, scenarios, names=names),
+            "Activity": call_activity(crm, calls),
+            "Combine": lead_activity_payment(crm, as_of, scenarios, ACTIVITY_DAYS, names, recent),
             "Lead Details": lead_details(crm),
         }
     ).withColumn("flag", F.regexp_replace("flag", r" \(none\)$", ""))

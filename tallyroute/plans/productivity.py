@@ -12,8 +12,7 @@ from tallyroute.functions import catalog, cleaning, dates, durations, payload
 from tallyroute.operators import lookup, measures, unions
 from tallyroute.operators.pick import any_by, earliest_by, latest_by
 from tallyroute.plans.payments import Crm, managers, named, people
-
-
+from tallyroute.plans.shared import Need, ReadOnce
 
 # --- calls --------------------------------------------------------------------------------
 
@@ -483,6 +482,35 @@ def enrich(crm: Crm, rows: DataFrame, directory: DataFrame) -> DataFrame:
     return rows.withColumns(values).drop(*spare)
 
 
+def productivity_facts(other_channels: bool) -> dict[str, Need]:
+    """What the branches read of each fact table that more than one of them needs."""
+    links = tuple(APPOINTMENT_LINKS)
+    channels = ("origin", "meta_info") if other_channels else ("origin",)
+    noted = F.size(F.array_intersect(F.col("comment_ids").cast("array<int>"), F.array(
+        *[F.lit(c) for c in catalog.NOTE_COMMENTS]))) > 0
+    losing = F.col("substatus_id").isin(list(catalog.LOSS_SUBSTATUS))
+    return {
+        "lead": Need(("lead_id", "contact_id", "rm_id", "status_id", "substatus_id", "is_active",
+                      "created_at", "updated_at", "utm_source", "utm_medium", "utm_campaign",
+                      "utm_content", "page_url")),
+        "contact": Need(("contact_id", "full_name", "mobile_number", "email_address",
+                         "is_active")),
+        "activity": Need(
+            ("activity_id", "lead_id", "rm_id", "created_by", "activity_type_id", "call_duration",
+             "comment_ids", "additional_comments", "created_at", "status_id", "substatus_id",
+             *channels),
+            noted | losing | contact_attempts(other_channels)),
+        "status_log": Need(("status_log_id", "lead_id", "rm_id", "status_id", "substatus_id",
+                            "created_at", "updated_at")),
+        "lead_log": Need(("log_id", "lead_id", "rm_id", "status_id", "substatus_id", "product_id",
+                          "sub_product_ids", "log_timestamp", "created_at", "updated_at", *links)),
+        "follow_up": Need(("follow_up_id", "lead_id", "contact_id", "follow_up", "is_completed",
+                           "completed_on", "created_at", "updated_at", "source", "source_info")),
+        "contact_mapping": Need(("contact_id", "rm_id", "type", "end_date"),
+                                F.col("end_date").isNull() & (F.col("type") == "Sales")),
+    }
+
+
 def productivity_report(
     crm: Crm,
     as_of,
@@ -493,8 +521,10 @@ def productivity_report(
     """Six branches, marked in ``flag``, enriched from the owner directory.
 
     ``february`` selects the variant: other channels count as touching a lead, one feedback per
-    lead, logins of phone users only, and the first pool entry whoever took it.
+    lead, logins of phone users only, and the first pool entry whoever took it.  Every fact table that
+    several branches need is read once.
     """
+    crm = ReadOnce(crm, productivity_facts(february))
     branches: Mapping[str, DataFrame] = {
         "Sales Calling": sales_calling(crm, one_feedback_per_lead=february),
         "Funnel Management": funnel_snapshot(crm, as_of, other_channels=february),
