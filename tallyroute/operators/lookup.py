@@ -1,7 +1,7 @@
 """Joins of requests and facts to their dimensions.
 
-No join here forces a broadcast: Spark broadcasts a dimension when its measured size allows it
-and otherwise sorts and merges, splitting a hot key at run time.
+Dimensions are broadcast by Spark when their measured size allows it and otherwise sorted and merged,
+a hot key being split at run time.  Forced is only the broadcast of hot keys, whose number is bounded.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyroute.functions import cleaning, idlists
+from tallyroute.session import stored
 
 
 def keyed_fetch(dim: DataFrame, requests: DataFrame, key: str) -> DataFrame:
@@ -83,24 +84,49 @@ def last_member_join(
     return fact.withColumn(dim_key, idlists.last_item(ids)).join(dim, dim_key, how)
 
 
-#: pieces the rows of a key are dealt into by :func:`many_left_join`
-SALTS = 32
+#: most keys of the right side that are dealt into pieces, and items the sketch of them tracks
+HOT_KEYS, TRACKED = 1024, 16384
+#: pieces the whole right side would be dealt into, per shuffle partition
+SPREAD = 2
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys that hold more rows than a piece should, with the number of ``__pieces`` each needs.
+
+    A frequency sketch names the candidates in one pass over the keys; they alone are counted.  There
+    are ``HOT_KEYS`` of them at most, so the result may be broadcast.
+    """
+    wanted = SPREAD * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.where(_known(keys)).select(*keys, F.xxhash64(*keys).alias("__h"))
+    seen = rows.agg(F.expr(f"approx_top_k(__h, {HOT_KEYS}, {TRACKED})").alias("__top"),
+                    F.count(F.lit(1)).alias("__total"))
+    often = seen.select("__total", F.explode("__top").alias("__top")).where(
+        F.col("__top.count") * wanted > F.col("__total")).select(
+            F.col("__top.item").alias("__h"), "__total")
+    counted = rows.join(F.broadcast(often), "__h").groupBy(*keys).agg(
+        F.ceil(F.count(F.lit(1)) * wanted / F.max("__total")).cast("int").alias("__pieces"))
+    return counted.where("__pieces > 1")
 
 
 def many_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join to a side with many rows per key, one of which may be hot.
 
-    Rows of the right side are dealt into ``SALTS`` pieces per key by a hash of their values.  A left
-    row learns which pieces its key has, is repeated once per piece (once in all, if there is
-    none), and meets each piece alone.  So a hot key is spread over many tasks, and both the left
-    side and the join stand once in the plan.
+    The right side is stored once.  Its hot keys are dealt into as many pieces as their rows ask for,
+    row by row, so that equal rows are spread too; left rows of such a key are repeated once per piece
+    and meet each piece alone.  All other keys are joined as they are.
     """
     keys = list(keys)
-    salted = right.withColumn("__salt", F.pmod(F.xxhash64(*right.columns), F.lit(SALTS)))
-    pieces = salted.where(_known(keys)).groupBy(*keys).agg(
-        F.collect_set("__salt").alias("__salts"))
-    asked = left.join(pieces, keys, "left").withColumn("__salt", F.explode_outer("__salts"))
-    return asked.drop("__salts").join(salted, [*keys, "__salt"], "left").drop("__salt")
+    right = stored(right, "many-side")
+    hot = F.broadcast(hot_keys(right, keys))
+    dealt = right.withColumn("__row", F.monotonically_increasing_id()).join(
+        hot, keys, "left").select(
+            *right.columns, F.lit(True).alias("__met"),
+            F.coalesce(F.pmod("__row", F.col("__pieces")), F.lit(0)).cast("int").alias("__salt"))
+    asked = left.join(hot, keys, "left").withColumn("__salt", F.explode(
+        F.sequence(F.lit(0), F.coalesce("__pieces", F.lit(1)) - 1)))
+    joined = asked.join(dealt, [*keys, "__salt"], "left")
+    # a hot key has rows: a piece of it without any adds nothing
+    return joined.where("__pieces IS NULL OR __met").drop("__pieces", "__salt", "__met")
 
 
 def same_day_join(
