@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from entry_queries.registry import ORACLES, Source, day, query, ts
 from tallyroute.functions import cleaning
-from tallyroute.operators import audit, changes, unions
+from tallyroute.operators import audit, changes, measures, unions
 from tallyroute.operators.changes import Run
 from tallyroute.plans import collections, offline_payments, refunds, service, transfers
 from tallyroute.session import cut_lineage, scratch_path
@@ -1102,6 +1103,24 @@ def audit_sink(t: Source) -> DataFrame:
     return read.select(F.col("run_id").alias("run"), "id", "leads")
 
 
+@query("published_report", """
+SELECT n_name, count(*)::BIGINT AS customers, sum(CAST(c_acctbal AS DECIMAL(18,2)))::DOUBLE AS balance, 'v2' AS version
+FROM customer JOIN nation ON n_nationkey = c_nationkey GROUP BY n_name""")
+def published_report(t: Source) -> DataFrame:
+    """A report published under a name, replaced by its next version, and read by another session."""
+    name, folder = f"report_{uuid.uuid4().hex}", scratch_path(t.spark, "published")
+    rows = t.customer.join(t.nation, F.col("n_nationkey") == F.col("c_nationkey"))
+    first = rows.groupBy("n_name").agg(F.count(F.lit(1)).alias("customers"))
+    second = rows.groupBy("n_name").agg(
+        F.count(F.lit(1)).alias("customers"), measures.money("c_acctbal").alias("balance"))
+    files.publish_version(first, name, "v1", folder)
+    files.publish_version(second, name, "v2", folder)
+    files.publish_version(first, name, "v2", folder)  # known already
+    other = t.spark.newSession()
+    version = files.published_version(other, name)
+    return t.spark.table(name).withColumn("version", F.lit(version))
+
+
 @query("schema_facts", """
 SELECT 'nation' AS table_name, name AS column_name, ordinal, kind AS data_type, (SELECT count(*) FROM nation) AS total,
   (SELECT count(*) FROM region) AS regions

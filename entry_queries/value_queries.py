@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from entry_queries import expected
-from entry_queries.registry import Source, clock, day, ids, query, ts
+from entry_queries.registry import ORACLES, Source, clock, day, ids, query, ts
 from tallyroute.functions import (
     catalog, cleaning, dates, durations, idlists, payload, rules,
 )
@@ -16,6 +16,7 @@ from tallyroute.operators import audit, measures
 from tallyroute.operators.validate import (
     Check, all_failures, first_failure, last_failure, remark_text,
 )
+from tallyroute.session import scratch_path
 from tallyroute.sources import schema
 
 AS_OF = datetime(2001, 7, 15, 12, 0, 0)
@@ -571,6 +572,16 @@ def run_summary(t: Source) -> DataFrame:
     return audit.run_summary(lines, "run-1")
 
 
+@query("run_summary_written", ORACLES["run_summary"])
+def run_summary_written(t: Source) -> DataFrame:
+    """The same figures from the pass that writes the audit."""
+    judged = all_failures(cleaned_rows(t), _checks())
+    status = F.when(F.size("errors") == 0, "success").otherwise("failed")
+    lines = audit.audit_frame(judged.withColumn("transfer_status", status),
+                              ["o_orderkey", "remarks", "transfer_status"], "errors")
+    return audit.write_with_summary(lines, scratch_path(t.spark, "audit"), "run-1")[1]
+
+
 @query("status_counts", f"""
 WITH {CLEAN_SQL} SELECT coalesce({_case(CLEAN_CHECKS)}, 'none') AS remarks, count(*)::BIGINT AS rows
 FROM clean GROUP BY 1""")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallyroute.operators.changes import EXECUTE, Run
@@ -63,3 +63,21 @@ def write_audit(audit: DataFrame, folder: str, run_id: str, fmt: str = "csv") ->
         )
     audit.write.mode("overwrite").option("header", True).format(fmt).save(path)
     return path
+
+
+def write_with_summary(
+    audit: DataFrame, folder: str, run_id: str, status: str = "transfer_status", fmt: str = "csv",
+) -> tuple[str, DataFrame]:
+    """Write an audit and return its folder and its :func:`run_summary`, counted by the pass that
+    writes.  The counts belong to the tasks of the last stage, each of which counts once however
+    often it is tried."""
+    seen = Observation()
+    counted = audit.observe(
+        seen, F.count(F.lit(1)).alias("total"),
+        F.count_if(F.lower(status) == "success").alias("succeeded"),
+        F.count_if(F.lower(status) == "failed").alias("failed"))
+    path = write_audit(counted, folder, run_id, fmt)
+    found = seen.get
+    return path, audit.sparkSession.createDataFrame(
+        [(run_id, found["total"], found["succeeded"], found["failed"])],
+        "run_id STRING, total BIGINT, succeeded BIGINT, failed BIGINT")

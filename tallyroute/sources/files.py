@@ -102,11 +102,45 @@ def with_file_row_id(df: DataFrame, name: str = "row_id", first: int = 0) -> Dat
 
 
 def publish_view(df: DataFrame, name: str) -> DataFrame:
-    """Make a report readable by name in SQL."""
+    """Make a report readable by name in SQL, in this session; see :func:`publish_version`."""
     df.createOrReplaceTempView(name)
     return df
 
 
+VERSION = "version"
+
+
+def published_version(spark: SparkSession, name: str) -> str | None:
+    """Version a published name stands for; None if nothing is published under it."""
+    if not spark.catalog.tableExists(name):
+        return None
+    held = {row["key"]: row["value"] for row in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    return held.get(VERSION)
+
+
+def publish_version(df: DataFrame, name: str, version: str, folder: str) -> bool:
+    """Publish a report in the catalog, for every session that shares it, under a plain name.
+
+    The rows are written to a folder of their version first; then the name is pointed to it in one
+    step, so readers see the old report or the new one.  A version that is published already is left
+    alone (False).  Columns may be added; a report that lacks a column of the one before, or has it
+    with another type, is refused.
+    """
+    spark = df.sparkSession
+    if published_version(spark, name) == version:
+        return False
+    if spark.catalog.tableExists(name):
+        kinds = dict(df.dtypes)
+        lost = [c for c, kind in spark.table(name).dtypes if kinds.get(c) != kind]
+        if lost:
+            raise ValueError(f"{name} would lose or change columns: {', '.join(lost)}")
+    path = f"{folder.rstrip('/')}/{name}/version={version}"
+    df.write.mode("overwrite").parquet(path)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{VERSION}' = '{version}') AS"
+              f" SELECT * FROM parquet.`{path}`")
+    return True
+
+
 def write_run(df: DataFrame, folder: str, run_id: str, fmt: str = "parquet") -> str:
     path = f"{folder.rstrip('/')}/run_id={run_id}"
     df.write.mode("overwrite").option("header", True).format(fmt).save(path)

@@ -143,3 +143,33 @@ def test_lineage_is_cut_in_the_shared_folder(spark):
     assert shared_dir(spark)
     plan = cut_lineage(spark.range(5))._jdf.queryExecution().executedPlan().toString()
     assert "Range" not in plan
+
+
+def test_summary_comes_from_the_pass_that_writes(spark, tmp_path):
+    df = spark.range(10).select("id", F.when(F.col("id") % 3 == 0, "SUCCESS").otherwise(
+        "failed").alias("transfer_status"), F.array("id").alias("ids"))
+    path, summary = audit.write_with_summary(df, str(tmp_path), "r1")
+    assert rows(summary) == [("r1", 10, 4, 6)]
+    assert rows(audit.run_summary(df, "r1")) == rows(summary)
+    assert spark.read.option("header", True).csv(path).count() == 10
+    assert rows(audit.write_with_summary(df.limit(0), str(tmp_path), "r2")[1]) == [("r2", 0, 0, 0)]
+
+
+def test_published_versions(spark, tmp_path):
+    name = "report_of_tests"
+    first = spark.createDataFrame([(1, "a")], "id INT, who STRING")
+    try:
+        assert files.published_version(spark, name) is None
+        assert files.publish_version(first, name, "v1", str(tmp_path))
+        assert not files.publish_version(first.limit(0), name, "v1", str(tmp_path))
+        other = spark.newSession()
+        assert rows(other.table(name)) == [(1, "a")]
+        assert files.publish_version(first.withColumn("n", F.lit(2)), name, "v2", str(tmp_path))
+        assert rows(other.table(name)) == [(1, "a", 2)]
+        assert files.published_version(other, name) == "v2"
+        for worse in (first, first.withColumn("n", F.lit("2"))):
+            with pytest.raises(ValueError, match="n"):
+                files.publish_version(worse, name, "v3", str(tmp_path))
+        assert files.published_version(spark, name) == "v2"
+    finally:
+        spark.sql(f"DROP VIEW IF EXISTS {name}")
