@@ -16,7 +16,9 @@ aliases of its own.  Rows may repeat, each gets its verdict; several pages may s
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable
+
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -71,6 +73,11 @@ def _reduced(path: Column) -> Column:
                   F.array_join(F.concat(parts, last), "/")).otherwise(path)
 
 
+def _bound(value: Column, function: Callable[[Column], Column]) -> Column:
+    """``function`` of a value that is worked out once, however often the function names it."""
+    return F.get(F.transform(F.array(value), function), 0)
+
+
 def node_of(url: Column) -> Column:
     """A URL as a node: scheme and host in lower case, without dot segments and the fragment."""
     scheme = _lower(F.substring_index(url, "://", 1))
@@ -84,44 +91,57 @@ def node_of(url: Column) -> Column:
 
 def resolve(target: Column, base: Column) -> Column:
     """Absolute form of a link found on page ``base``."""
-    clean = F.trim(F.regexp_replace(target, "&amp;", "&"))
-    scheme = F.substring_index(base, "://", 1)
-    root = F.concat(scheme, F.lit("://"), host_of(base))
-    folder = F.regexp_replace(path_of(base), r"(?s)[^/]*$", "")
-    folder = F.concat(root, F.when(folder == "", "/").otherwise(folder))
-    return (
-        F.when(clean == "", None)
-        .when(clean.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), clean)
-        .when(F.startswith(clean, F.lit("//")), F.concat(scheme, F.lit(":"), clean))
-        .when(F.startswith(clean, F.lit("/")), F.concat(root, clean))
-        .when(clean.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), None)
-        .otherwise(F.concat(folder, clean)))
-
-
-#: tags that name an alias, and the alias in them
-CANONICAL = r"""(?is)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>"""
-REFRESH = r"""(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>"""
-HREF = r"""(?is)\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-GOES_TO = r"""(?is)\bcontent\s*=\s*["']?[^"'>]*?\burl\s*=\s*["']?([^"'>\s]+)"""
+    def from_page(clean: Column) -> Column:
+        scheme = F.substring_index(base, "://", 1)
+        root = F.concat(scheme, F.lit("://"), host_of(base))
+        folder = F.regexp_replace(path_of(base), r"(?s)[^/]*$", "")
+        folder = F.concat(root, F.when(folder == "", "/").otherwise(folder))
+        return (
+            F.when(clean == "", None)
+            .when(clean.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), clean)
+            .when(F.startswith(clean, F.lit("//")), F.concat(scheme, F.lit(":"), clean))
+            .when(F.startswith(clean, F.lit("/")), F.concat(root, clean))
+            .when(clean.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), None)
+            .otherwise(F.concat(folder, clean)))
+
+    return _bound(F.trim(F.regexp_replace(target, "&amp;", "&")), from_page)
+
+
+def _tag(name: str, attribute: str, word: str) -> str:
+    """Pattern of a tag whose attribute has ``word`` among the words of its value."""
+    quoted = [rf"{q}(?:[^{q}]*\s)?{word}(?:\s[^{q}]*)?{q}" for q in ("\"", "'")]
+    value = "|".join([*quoted, rf"{word}(?=[\s/>])"])
+    return rf"(?is)<{name}(?=\s)(?=[^>]*\s{attribute}\s*=\s*(?:{value}))[^>]*>"
+
+
+#: tags that name an alias, the base of a page's links, and what such tags point to
+CANONICAL = _tag("link", "rel", "canonical")
+REFRESH = _tag("meta", "http-equiv", "refresh")
+BASE = r"(?is)<base(?=\s)[^>]*>"
+HREF = r"""(?is)\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+GOES_TO = r"""(?is)\scontent\s*=\s*["']?[^"'>]*?\burl\s*=\s*["']?([^"'>\s]+)"""
 
 
 def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """``a`` and ``b``: the page's URL and each alias its text names."""
+    """``a`` and ``b``: the page's URL and each alias its text names, relative ones read from the
+    page's base."""
+    text = F.col(f"`{html}`")
     tags = pages.select(
-        F.col(f"`{url}`").alias("url"),
-        F.regexp_extract_all(F.col(f"`{html}`"), F.lit(CANONICAL), F.lit(0)).alias("canonical"),
-        F.regexp_extract_all(F.col(f"`{html}`"), F.lit(REFRESH), F.lit(0)).alias("refresh"))
+        F.col(f"`{url}`").alias("url"), F.regexp_extract(text, BASE, 0).alias("base"),
+        F.regexp_extract_all(text, F.lit(CANONICAL), F.lit(0)).alias("canonical"),
+        F.regexp_extract_all(text, F.lit(REFRESH), F.lit(0)).alias("refresh"))
 
     def href(tag: Column) -> Column:
         return F.concat(*[F.regexp_extract(tag, HREF, group) for group in (1, 2, 3)])
 
     named = tags.where("size(canonical) > 0 OR size(refresh) > 0").select(
-        "url", F.explode(F.array_distinct(F.concat(
+        "url", F.coalesce(resolve(href(F.col("base")), F.col("url")), F.col("url")).alias("base"),
+        F.explode(F.array_distinct(F.concat(
             F.transform("canonical", href),
             F.transform("refresh", lambda tag: F.regexp_extract(tag, GOES_TO, 1)))))
         .alias("target"))
     return named.select(node_of(F.col("url")).alias("a"),
-                        node_of(resolve(F.col("target"), F.col("url"))).alias("b")).where("a <> b")
+                        _bound(resolve(F.col("target"), F.col("base")), node_of).alias("b")).where("a <> b")
 
 
 def judge(pages: DataFrame, rules: Rules, redirects: DataFrame | None = None,

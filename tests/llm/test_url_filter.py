@@ -88,3 +88,26 @@ def test_links_are_resolved(spark):
     df = spark.createDataFrame(cases, "target string, base string, want string")
     for found, want in df.select(U.resolve(F.col("target"), F.col("base")), "want").collect():
         assert found == want
+
+
+TAGS = [
+    ('<link rel="nofollow canonical" href="{}">', "block"),
+    ("<link href='{}' REL='Canonical next'/>", "block"),
+    ("<link\nrel=canonical\nhref={}>", "block"),
+    ('<link data-rel="canonical" href="{}">', "allow"),
+    ('<link rel="noncanonical" href="{}">', "allow"),
+    ('<link rel=canonical-x href="{}">', "allow"),
+    ('<link rel="canonical" data-href="{}">', "allow"),
+    ('<linkrel rel="canonical" href="{}">', "allow"),
+    ('<meta http-equiv="refresh" data-content="0; url={}">', "allow"),
+    ('<meta data-http-equiv="refresh" content="0; url={}">', "allow"),
+    ('<base href="https://example.org/es/a/"><link rel=canonical href="../9">', "block"),
+    ('<base target=_blank><base href="//x.com/de/"><link rel=canonical href="1">', "allow"),
+    ('<base href="/q/"><link rel=canonical href="{}">', "block"),
+]
+
+
+def test_tags_are_read_by_attribute_and_word(spark):
+    found = run(spark, [(k, f"https://a{k}.net/1", tag.format("https://example.org/es/9"))
+                        for k, (tag, _) in enumerate(TAGS)])
+    assert [found[k]["verdict"] for k in range(len(TAGS))] == [verdict for _, verdict in TAGS]
