@@ -1,14 +1,15 @@
 """Find test passages in training texts through a positional inverted index.
 
-*Index.*  Each task cuts its texts into blocks of about a megabyte and stores one row per block:
+*Index.*  Each task cuts its texts into blocks of about 256 KB and stores one row per block:
 the sorted hashes of its terms and, per term, the positions where it stands.  The table lies in
 the shared folder and serves any number of test sets.  Blocks hold whole texts, so no text, term
 or copy group is ever gathered from elsewhere: building and searching need no shuffle and have no
 hot key.
 
-*Search.*  The test set is a stated query set.  It is cut into parts of at most ``PART_BYTES``;
-each part is sent to all tasks and run against every block, so what is broadcast is bounded and
-the rest follows in further passes.  A window of consecutive words starts from the postings of
+*Search.*  The test set is a stated query set.  Its different rows are cut into parts of about
+``PART_BYTES``; each part is sent to all tasks and run against every block.  Parts follow one another:
+the matches of one are stored and its broadcast is given up before the next is sent, so neither the
+driver nor a task ever holds more than one.  A window of consecutive words starts from the postings of
 its rarest term in the block; these places, shifted by the term's offset, are intersected with
 the postings of the other terms, rarer ones first.  What is left are exact phrases.  With
 ``slack``, a window also matches in proximity: there is a place from which on every term stands
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyroute.llm import words as W
-from tallyroute.llm.store import importable, map_arrow
+from tallyroute.llm.store import importable, map_arrow, stored
 from tallyroute.session import scratch_path
 
 #: bytes of test texts sent to all tasks at a time
@@ -222,7 +223,8 @@ def search(index: DataFrame, tests: DataFrame, item: str = "item_id", text: str
     (ids with an exact phrase) and ``near`` (ids with a proximity match only)."""
     spark = importable(index.sparkSession)
     asked = tests.select(F.col(f"`{item}`").cast("string").alias("item"),
-                         F.col(f"`{text}`").cast("string").alias("text")).where("item IS NOT NULL")
+                         F.col(f"`{text}`").cast("string").alias("text")).where(
+                             "item IS NOT NULL").distinct()
     total = asked.agg(F.sum(F.octet_length("text") + F.octet_length("item"))).first()[0] or 0
     parts = total // part_bytes + 1
     found = None
@@ -231,6 +233,9 @@ def search(index: DataFrame, tests: DataFrame, item: str = "item_id", text: str
         prepared = spark.sparkContext.broadcast(
             test_set([(row["item"], row["text"]) for row in rows], window))
         one = map_arrow(index, _found(prepared, slack), FOUND)
+        if parts > 1:
+            one = stored(one, "matches")
+            prepared.destroy()
         found = one if found is None else found.union(one)
     return (
         found.groupBy("block", "row")
