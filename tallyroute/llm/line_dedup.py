@@ -44,6 +44,24 @@ def _named(docs: DataFrame, id_column: str, text: str) -> DataFrame:
                        F.xxhash64(body).alias("version"), body.alias("text"))
 
 
+#: lines of a text that one bitmap covers
+BITMAP = 32768
+#: whether the bit of line number ``k`` is set in the bitmaps ``__marks``
+_MARKED = (f"coalesce(shiftright(CAST(conv(hex(substring(element_at(__marks, CAST(k div {BITMAP} AS INT)),"
+           f" CAST(k % {BITMAP} div 8 AS INT) + 1, 1)), 16, 10) AS INT), CAST(k % 8 AS INT)) & 1 = 1, false)")
+
+
+def _marked(places: DataFrame) -> DataFrame:
+    """Line numbers per text as ``__marks``, bitmaps in a map by their number, with their count
+    ``__n``: whether a line is marked is then told at once, however many lines a text has."""
+    bits = places.groupBy("doc_id", "version", F.expr(f"CAST(line div {BITMAP} AS INT)").alias("part"))
+    return bits.agg(
+        F.bitmap_construct_agg(F.expr(f"CAST(line % {BITMAP} AS BIGINT)")).alias("bitmap")
+    ).groupBy("doc_id", "version").agg(
+        F.map_from_entries(F.collect_list(F.struct("part", "bitmap"))).alias("__marks"),
+        F.sum(F.bitmap_count("bitmap")).alias("__n"))
+
+
 def _half_keys(words: Column, n: Column) -> Column:
     """Hashes of the first and last half, as a line of ``n`` words and as one a word longer."""
     def keys(length: Column) -> list[Column]:
@@ -165,35 +183,30 @@ def _verified(near: DataFrame, varied: DataFrame) -> DataFrame:
 
 
 def removed_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id``, ``version`` and ``gone``, the numbers of the removed lines from 0, of the
-    texts that lose lines."""
+    """``doc_id``, ``version`` and the removed lines, as bitmaps and their number, of the texts that
+    lose lines."""
     lines = stored(line_table(docs, id_column, text), "lines")
     first = stored(
         lines.groupBy(*LINE).agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("copies"),
                                  F.first("halves").alias("halves")), "distinct-lines")
-    asked = first.join(_candidates(first), "hash").select(
-        *LINE, "agree", F.col("first.doc_id").alias("doc_id"), F.col("first.version").alias("version"),
-        F.col("first.line").alias("line"))
-    by_text = asked.groupBy("doc_id", "version").agg(
-        F.collect_list(F.struct("line", "agree", *LINE)).alias("asked"))
-    bodies = F.split("text", "\n", -1)
+    asked = stored(first.join(_candidates(first), "hash").select(
+        *LINE, "agree", "first.doc_id", "first.version", "first.line"), "asked-lines")
+    # every text is cut into lines once, and only the asked ones travel
+    texts = _named(docs, id_column, text).dropDuplicates(["doc_id", "version"]).join(
+        _marked(asked), ["doc_id", "version"])
+    bodies = texts.select(
+        "doc_id", "version", "__marks", F.posexplode(F.split("text", "\n", -1)).alias("k", "body")
+    ).where(_MARKED).select("doc_id", "version", F.col("k").alias("line"), "body")
     varied = stored(
-        _named(docs, id_column, text).dropDuplicates(["doc_id", "version"])
-        .join(by_text, ["doc_id", "version"])
-        .select("doc_id", "version", F.explode(F.transform(
-            "asked", lambda a: F.struct(a.alias("at"), F.split(bodies[a["line"]], " ", -1)
-                                        .alias("words")))).alias("one"))
-        .select(*[F.col(f"one.at.{name}").alias(name) for name in (*LINE, "agree")],
-                F.struct("doc_id", "version", "one.at.line").alias("place"), "one.words"),
-        "varied-lines")
+        asked.join(bodies, ["doc_id", "version", "line"]).select(
+            *LINE, "agree", F.struct("doc_id", "version", "line").alias("place"),
+            F.split("body", " ", -1).alias("words")), "varied-lines")
     later = _verified(_near(varied), varied)
     copies = first.where("copies > 1").select(*LINE, "first")
     gone = (
         lines.join(copies, list(LINE)).where("place > first").select("place")
         .union(later))
-    return (
-        gone.select("place.doc_id", "place.version", "place.line")
-        .groupBy("doc_id", "version").agg(F.collect_set("line").alias("gone")))
+    return _marked(gone.select("place.doc_id", "place.version", "place.line"))
 
 
 def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
@@ -202,22 +215,20 @@ def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     by ``added``: the number of lines before and of lines removed.  Columns of ``docs`` with
     these names are replaced."""
     gone = removed_lines(docs, id_column, text).select(
-        F.col("doc_id").alias("__doc"), F.col("version").alias("__version"),
-        F.col("gone").alias("__gone"))
+        F.col("doc_id").alias("__doc"), F.col("version").alias("__version"), "__marks", "__n")
     body = F.col(f"`{text}`").cast("string")
-    joined = docs.join(
+    joined = docs.withColumn("__body", body).join(
         gone, (F.col(f"`{id_column}`").cast("long") == F.col("__doc"))
-        & (F.xxhash64(body) == F.col("__version")), "left")
-    kept = F.array_join(F.filter(
-        F.split(body, "\n", -1), lambda line, k: ~F.array_contains("__gone", k)), "\n")
-    columns = [F.when(F.col("__gone").isNull(), body).otherwise(kept).alias(name)
+        & (F.xxhash64("__body") == F.col("__version")), "left")
+    kept = F.expr(f"array_join(filter(split(__body, '\n', -1), (x, k) -> NOT {_MARKED}), '\n')")
+    columns = [F.when(F.col("__n").isNull(), F.col("__body")).otherwise(kept).alias(name)
                if name == text else F.col(f"`{name}`") for name in docs.columns
                if name not in added]
     return joined.select(
         *columns,
-        F.when(body.isNull(), 0).otherwise(F.size(F.split(body, "\n", -1))).cast("long")
-        .alias(added[0]),
-        F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias(added[1]))
+        F.when(F.col("__body").isNull(), 0).otherwise(F.size(F.split("__body", "\n", -1)))
+        .cast("long").alias(added[0]),
+        F.coalesce("__n", F.lit(0)).cast("long").alias(added[1]))
 
 
 def digest(deduped: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:

@@ -51,3 +51,30 @@ def test_columns_stay(spark):
     out = L.dedup_lines(df, added=("before", "gone"))
     assert out.columns == ["doc_id", "text", "lang", "n_chars", "before", "gone"]
     assert rows(out) == [(1, "a", "en", 3, 2, 1)]
+
+
+def test_many_lines_in_one_text(spark):
+    """The time of a text follows its lines, not their square."""
+    import time
+
+    def text(n, start):
+        return "\n".join(f"line {k % (n // 2)} of a text {start + k % 7}" for k in range(n))
+
+    took = []
+    for n in (2_000, 100_000):
+        df = spark.createDataFrame([(1, text(n, 0)), (2, text(n // 10, 3))], "doc_id long, text string")
+        started = time.time()
+        found = {r["doc_id"]: (r["lines_read"], r["lines_gone"]) for r in L.dedup_lines(df).collect()}
+        took.append(time.time() - started)
+        assert found[1][0] == n and found[1][1] > n // 3
+    assert took[1] < 60
+
+
+def test_lines_beyond_one_bitmap(spark):
+    lines = [f"w{k} x y z v{k}" for k in range(70_000)]
+    lines[40_000], lines[69_999], lines[33_000] = lines[3], lines[5], ""
+    df = spark.createDataFrame([(1, "\n".join(lines)), (2, None)], "doc_id long, text string")
+    out = {r["doc_id"]: r for r in L.dedup_lines(df).collect()}
+    kept = [x for k, x in enumerate(lines) if k not in (40_000, 69_999)]
+    assert out[1]["text"] == "\n".join(kept) and out[1]["lines_gone"] == 2
+    assert out[2]["text"] is None and out[2]["lines_gone"] == 0
