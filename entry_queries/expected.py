@@ -21,6 +21,14 @@ def by_family(lists: dict[str, list[tuple[str, str]]], default: str) -> str:
     ) + f" ELSE '{default}' END"
 
 
+#: what a noted comment tells of a call, and what the length of a call itself tells
+OUTCOME_OF_COMMENT = {36: "called", 33: "detail_conversation", 61: "detail_conversation",
+                      62: "phone_conversation"}
+OUTCOME_OF_LENGTH = {"none": "called", "short": "phone_conversation",
+                     "long": "detail_conversation"}
+#: a call without length counts by itself only if it is logged as a call
+LOGGED_CALL, LONG_SECONDS = 1, 600
+
 _SWITCH = "opening AND prior_opening AND (refunded OR (other_plan AND in_force))"
 
 PAYMENT_STATUS = by_family({

@@ -173,3 +173,20 @@ def test_published_versions(spark, tmp_path):
         assert files.published_version(spark, name) == "v2"
     finally:
         spark.sql(f"DROP VIEW IF EXISTS {name}")
+
+
+def test_a_cluster_names_the_file_system_of_its_shared_folder():
+    from types import SimpleNamespace
+
+    def session(master, conf, held=None):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: held)
+        return SimpleNamespace(
+            sparkContext=context, conf=SimpleNamespace(get=lambda name, default: conf))
+
+    for folder in ("hdfs://nn/x", "file:/shared/x", "s3a://b/x"):
+        assert shared_dir(session("yarn", folder)) == folder
+        assert shared_dir(session("yarn", None, folder)) == folder
+    assert shared_dir(session("local[2]", "/tmp/x")) == "/tmp/x"
+    for master, conf in (("yarn", "/tmp/x"), ("local-cluster[2,1,512]", "x"), ("yarn", None)):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_dir(session(master, conf))
