@@ -44,22 +44,22 @@ def _named(docs: DataFrame, id_column: str, text: str) -> DataFrame:
                        F.xxhash64(body).alias("version"), body.alias("text"))
 
 
-#: lines of a text that one bitmap covers
-BITMAP = 32768
-#: whether the bit of line number ``k`` is set in the bitmaps ``__marks``
-_MARKED = (f"coalesce(shiftright(CAST(conv(hex(substring(element_at(__marks, CAST(k div {BITMAP} AS INT)),"
-           f" CAST(k % {BITMAP} div 8 AS INT) + 1, 1)), 16, 10) AS INT), CAST(k % 8 AS INT)) & 1 = 1, false)")
+#: whether line number ``k`` is marked in ``__marks``, which has a number of 64 bits for 64 lines
+_MARKED = "coalesce(getbit(get(__marks, CAST(k div 64 AS INT)), CAST(k % 64 AS INT)) = 1, false)"
 
 
 def _marked(places: DataFrame) -> DataFrame:
-    """Line numbers per text as ``__marks``, bitmaps in a map by their number, with their count
-    ``__n``: whether a line is marked is then told at once, however many lines a text has."""
-    bits = places.groupBy("doc_id", "version", F.expr(f"CAST(line div {BITMAP} AS INT)").alias("part"))
-    return bits.agg(
-        F.bitmap_construct_agg(F.expr(f"CAST(line % {BITMAP} AS BIGINT)")).alias("bitmap")
-    ).groupBy("doc_id", "version").agg(
-        F.map_from_entries(F.collect_list(F.struct("part", "bitmap"))).alias("__marks"),
-        F.sum(F.bitmap_count("bitmap")).alias("__n"))
+    """Line numbers per text as ``__marks``, bits in an array, with their count ``__n``: whether a line
+    is marked is then told at once, however many lines a text has."""
+    bits = places.groupBy("doc_id", "version", F.expr("CAST(line div 64 AS INT)").alias("part")).agg(
+        F.bit_or(F.expr("shiftleft(1L, CAST(line % 64 AS INT))")).alias("bits"))
+    held = bits.groupBy("doc_id", "version").agg(
+        F.map_from_entries(F.collect_list(F.struct("part", "bits"))).alias("held"),
+        F.max("part").alias("last"), F.sum(F.bit_count("bits")).alias("__n"))
+    return held.select("doc_id", "version", F.transform(
+        F.sequence(F.lit(0), "last"),
+        lambda part: F.coalesce(F.try_element_at("held", part), F.lit(0).cast("long")))
+        .alias("__marks"), "__n")
 
 
 def _half_keys(words: Column, n: Column) -> Column:
@@ -183,7 +183,7 @@ def _verified(near: DataFrame, varied: DataFrame) -> DataFrame:
 
 
 def removed_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id``, ``version`` and the removed lines, as bitmaps and their number, of the texts that
+    """``doc_id``, ``version`` and the marks and number of the removed lines, of the texts that
     lose lines."""
     lines = stored(line_table(docs, id_column, text), "lines")
     first = stored(

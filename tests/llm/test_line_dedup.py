@@ -70,7 +70,7 @@ def test_many_lines_in_one_text(spark):
     assert took[1] < 60
 
 
-def test_lines_beyond_one_bitmap(spark):
+def test_marks_of_many_lines(spark):
     lines = [f"w{k} x y z v{k}" for k in range(70_000)]
     lines[40_000], lines[69_999], lines[33_000] = lines[3], lines[5], ""
     df = spark.createDataFrame([(1, "\n".join(lines)), (2, None)], "doc_id long, text string")
