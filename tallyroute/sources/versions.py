@@ -17,7 +17,6 @@ import json
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,15 +49,12 @@ class VersionedTables:
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root.rstrip("/")
+        # a folder of entries is there from the beginning; one with entries stays as it is
+        spark.createDataFrame([], ENTRY).write.mode("ignore").json(f"{self.root}/entries")
 
     def entries(self) -> DataFrame:
         """One row per run and table, as published."""
-        try:
-            return self.spark.read.schema(ENTRY).json(f"{self.root}/entries")
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], ENTRY)
+        return self.spark.read.schema(ENTRY).json(f"{self.root}/entries")
 
     def _state(self) -> tuple[int, set[str], dict[str, dict]]:
         """Last place, known runs, and per table its key, layout and the run of every bucket.

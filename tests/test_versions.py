@@ -76,3 +76,8 @@ def test_empty_tables_and_empty_runs(spark, tables):
     assert rows(tables.table("c")) == [(1, "q")]
     with pytest.raises(ValueError, match="already"):
         tables.create("r4", {"a": (empty, "id")})
+
+
+def test_a_second_reader_leaves_the_entries(spark, tables):
+    again = VersionedTables(spark, tables.root)
+    assert again.entries().count() == 2 and again.table("a").count() == 100
