@@ -4,17 +4,23 @@
 its check; they always count.  *Candidates* come from wider patterns per kind (spelt-out
 addresses, other separators, numbers without prefix); they overlap freely, within a kind and
 between kinds.  Boosted trees score every candidate by its format and context, without what the
-strict patterns test (the plus sign, the checksum, the range of the parts).
-
-*Evidence* labels the candidates: one is evident if it overlaps a base span of its kind or passes
-the check of its kind once its separators, ``[at]`` and ``[dot]`` are made plain; other forms than
-the strict ones must also be grouped as such numbers are, or stand after a word that names them.
-The trees learn evident against failed.  On texts kept out of training, a threshold per kind is
-set where ``PRECISION`` of the candidates above it, without those of strict form, are right: a
-failed one counts for as many wrong ones as pass the check by ``CHANCE`` for each that fails.
-Evident candidates above it are added; what fails its check is never added.  The rule is the same
-at every count: a kind without right ones there takes the threshold of all kinds together, and
-where that has none either, or all candidates have one label, the evidence alone decides.
+checks test alone (the plus sign, the checksum, the range of the parts).
+
+A candidate is *valid* if it passes the check of its kind once its separators, ``[at]`` and
+``[dot]`` are made plain; what fails it, such as a number with a wrong checksum, is never added.
+*Evidence* labels the candidates: one is evident if it overlaps a base span of its kind, or is
+valid and is grouped as such numbers are or stands after a word that names them.  Evidence does
+not gate: the trees learn it, and select by their score alone.  In half of the rows learnt from the
+words around the candidate are hidden, so that the form must do; a valid candidate without
+evidence is added if its form speaks for it, and an evident one is refused if its form is mostly
+that of wrong ones.
+
+The *threshold* of a kind is set on texts kept out of training: the lowest score, ``EVEN`` at
+least, from which on ``PRECISION`` of the candidates, without those of strict form, are evident.
+One right candidate is put on top beforehand, so the same rule holds at every count: what is wrong
+raises the threshold, what is right lowers it, and a threshold above 1 adds nothing.  A failed
+candidate counts for as many wrong ones as pass the check by ``CHANCE`` for each that fails.  A
+kind without right ones there takes the threshold of all kinds together.
 
 All of it is DataFrame functions and Spark's own tree learner.  Texts are read once; what is
 stored and shuffled afterwards are spans.  Spans and scores depend on the text alone, so they are
@@ -91,7 +97,9 @@ GROUPED = {
 #: numbers that pass a check by chance for each one that fails it; 1 where that is not known
 CHANCE = {"email": 1.0, "ip": 1.0, "card": 1 / 9, "phone": 1.0}
 
-SAMPLE, PRECISION, BINS = 20_000, 0.98, 500
+SAMPLE, PRECISION, EVEN, BINS = 20_000, 0.98, 0.5, 500
+#: beginnings of the names of features that are words around a candidate
+AROUND = ("near_", "named_")
 ROUNDS, DEPTH = 12, 4
 CUT = 64
 SPAN = "array<struct<kind:int,start:int,end:int>>"
@@ -174,20 +182,25 @@ def _passes(kind: str, found: Column) -> Column:
     return _bind(_digits(found), counted)
 
 
-def _evident(kind: str, found: Column, left: Column) -> Column:
-    """Whether a candidate passes the check of its kind with plain separators, by form or name."""
+def _valid(kind: str, found: Column) -> Column:
+    """Whether a candidate passes the check of its kind with plain separators."""
     if kind == "email":
         plain = F.regexp_replace(found, r"\x20?(?:\[at\]|\(at\)|@)\x20?", "@")
         plain = F.regexp_replace(plain, r"\x20?(?:\[dot\]|\(dot\)|\.)\x20?", ".")
         return plain.rlike(r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24}$")
-    named = left.rlike(NAMED[kind])
     if kind == "ip":
-        plain = F.regexp_replace(F.regexp_replace(found, r"\x20", ""), ",", ".")
-        return named & _passes(kind, plain)
-    numbers = _passes(kind, found)
+        return _passes(kind, F.regexp_replace(F.regexp_replace(found, r"\x20", ""), ",", "."))
     if kind == "phone":
-        numbers = numbers & ~found.rlike(r"^\+|^[0-9]{1,5}(\.[0-9]{1,5}){3}$")
-    return numbers & (named | found.rlike(GROUPED[kind]))
+        return _passes(kind, found) & ~found.rlike(r"^\+|^[0-9]{1,5}(\.[0-9]{1,5}){3}$")
+    return _passes(kind, found)
+
+
+def _backed(kind: str, found: Column, left: Column) -> Column:
+    """Whether a valid candidate's grouping or the word before it speaks for its kind."""
+    if kind == "email":
+        return F.lit(True)
+    named = left.rlike(NAMED[kind])
+    return named | found.rlike(GROUPED[kind]) if kind in GROUPED else named
 
 
 def _strict(n: int, kind: str, text: Column) -> Column:
@@ -228,6 +241,7 @@ def _features() -> dict[str, Column]:
         return F.regexp_count(of, F.lit(pattern))
 
     near = {f"near_{kind}": left.rlike(pattern) for kind, pattern in NEARBY.items()}
+    near |= {f"named_{kind}": left.rlike(pattern) for kind, pattern in NAMED.items()}
     plain = {
         "kind_of": F.col("kind"), "size": F.length(found), "digits": F.length(digits),
         "letters": count("[A-Za-z]"), "groups": F.size(groups),
@@ -251,7 +265,7 @@ class Found:
     """Stored results of one reading of the texts."""
 
     spans: DataFrame  # version, base
-    wide: DataFrame  # version, kind, start, end, positive, evident, formal, features
+    wide: DataFrame  # version, kind, start, end, positive, valid, evident, formal, features
 
 
 def read_texts(docs: DataFrame, text: str = "text") -> Found:
@@ -268,32 +282,38 @@ def read_texts(docs: DataFrame, text: str = "text") -> Found:
         .select("version", "c.*", overlaps.alias("positive"))
         .dropDuplicates(["version", "kind", "start", "end"]))
     features = _features()
-    evident, formal = F.col("positive"), F.lit(False)
+    valid, backed, formal = F.lit(False), F.lit(False), F.lit(False)
     for n, kind in enumerate(KINDS):
         own = F.col("kind") == n
-        evident = evident | (own & _evident(kind, F.col("found"), F.col("left")))
+        valid = valid | (own & _valid(kind, F.col("found")))
+        backed = backed | (own & _backed(kind, F.col("found"), F.col("left")))
         formal = formal | (own & F.col("found").rlike(f"^(?:{STRICT[kind]})$"))
-    wide = wide.select("version", "kind", "start", "end", "positive", evident.alias("evident"),
-                       (F.col("positive") | formal).alias("formal"),
+    evident = F.col("positive") | (valid & backed)
+    wide = wide.select("version", "kind", "start", "end", "positive", valid.alias("valid"),
+                       evident.alias("evident"), (F.col("positive") | formal).alias("formal"),
                        *[value.alias(name) for name, value in features.items()])
     return Found(read.select("version", "base"), stored(wide, "personal-candidates"))
 
 
 def scored(wide: DataFrame) -> DataFrame:
     """Candidates with the trees' ``score``; ``kept_out`` marks the texts not learnt from.  If all
-    that is learnt from has one label, every score is 1."""
+    that is learnt from has one label, that label is every score."""
     names = list(_features())
+    hidden = F.pmod(F.xxhash64("start", "version", "kind", "end"), F.lit(2)) == 0
     marked = wide.withColumns({"kept_out": F.pmod(F.col("version"), F.lit(4)) == 0,
                                "label": F.col("evident").cast("double")})
     learnt = (
         marked.where("NOT kept_out")
         .orderBy(F.xxhash64("version", "kind", "start", "end"), "version", "kind", "start", "end")
         .limit(SAMPLE))
+    learnt = learnt.withColumns({name: F.when(hidden, 0.0).otherwise(F.col(name))
+                                 for name in names if name.startswith(AROUND)})
     rows = VectorAssembler(inputCols=names, outputCol="features").transform(
         stored(learnt, "personal-sample").repartition(2)).select("features", "label")
-    kept = ("version", "kind", "start", "end", "positive", "evident", "formal", "kept_out")
-    if rows.select("label").distinct().count() < 2:
-        return marked.select(*kept, F.lit(1.0).alias("score"))
+    kept = ("version", "kind", "start", "end", "positive", "valid", "evident", "formal", "kept_out")
+    labels = [r["label"] for r in rows.select("label").distinct().collect()]  # two at most
+    if len(labels) < 2:
+        return marked.select(*kept, F.lit(max(labels, default=1.0)).alias("score"))
     model = GBTClassifier(maxIter=ROUNDS, maxDepth=DEPTH, seed=7, stepSize=0.3).fit(rows)
     judged = model.transform(
         VectorAssembler(inputCols=names, outputCol="features").transform(marked))
@@ -301,31 +321,34 @@ def scored(wide: DataFrame) -> DataFrame:
 
 
 def thresholds(judged: DataFrame) -> dict[int, float]:
-    """Per kind the lowest score from which on enough of the kept-out candidates are right; above
-    1 if there is none.  A kind with no right one takes that of all kinds, or 0 without such."""
+    """Per kind the lowest score, ``EVEN`` at least, from which on enough of the kept-out
+    candidates are right; above 1 if there is none."""
     counts = (
-        judged.where("kept_out")
+        judged.where("kept_out AND NOT formal")
         .groupBy("kind", F.floor(F.col("score") * BINS).cast("int").alias("bin"))
-        .agg(F.count_if(F.col("evident") & ~F.col("formal")).alias("right"),
-             F.count_if(~F.col("evident") & ~F.col("formal")).alias("wrong"))
+        .agg(F.count_if("evident").alias("right"),
+             F.count_if(~F.col("evident") & F.col("valid")).alias("wrong"),
+             F.count_if(~F.col("evident") & ~F.col("valid")).alias("failed"))
         .collect())  # at most kinds times bins rows
-
-    def least(kinds: set[int]) -> float | None:
-        right = wrong = 0
-        out = None
-        for bin_ in sorted({r["bin"] for r in counts if r["kind"] in kinds}, reverse=True):
-            for row in (r for r in counts if r["bin"] == bin_ and r["kind"] in kinds):
-                right += row["right"]
-                wrong += CHANCE[KINDS[row["kind"]]] * row["wrong"]
-            if right and right >= PRECISION * (right + wrong):
+    return thresholds_of([tuple(r) for r in counts])
+
+
+def thresholds_of(counts: list[tuple[int, int, int, int, int]]) -> dict[int, float]:
+    """Thresholds from kind, bin, and the numbers of right, wrong and failed candidates."""
+    def least(rows: list) -> float:
+        right, wrong, out = 1.0, 0.0, 2.0
+        bins = {row[1] for row in rows if row[1] >= EVEN * BINS} | {int(EVEN * BINS)}
+        for bin_ in sorted(bins, reverse=True):
+            for kind, _, more, bad, failed in (row for row in rows if row[1] == bin_):
+                right += more
+                wrong += bad + CHANCE[KINDS[kind]] * failed
+            if right >= PRECISION * (right + wrong):
                 out = bin_ / BINS
-        return out if right == 0 or out is not None else 2.0
+        return out
 
-    pooled = least(set(range(len(KINDS))))
-    own = [least({kind}) for kind in range(len(KINDS))]
-    if pooled is None or pooled > 1:  # what one kind gets wrong says nothing against the others
-        pooled = 0.0
-    return {kind: pooled if mine is None else mine for kind, mine in enumerate(own)}
+    own = {kind: [row for row in counts if row[0] == kind] for kind in range(len(KINDS))}
+    return {kind: least(rows if any(row[2] for row in rows) else counts)
+            for kind, rows in own.items()}
 
 
 def find(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -336,7 +359,7 @@ def find(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> Data
     chosen = F.lit(False)
     for kind, least in thresholds(judged).items():
         chosen = chosen | ((F.col("kind") == kind) & (F.col("score") >= least))
-    added = judged.where("evident AND NOT positive").where(chosen).groupBy("version").agg(
+    added = judged.where("valid AND NOT positive").where(chosen).groupBy("version").agg(
         F.collect_set(F.struct("kind", "start", "end")).alias("more"))
     base = found.spans.dropDuplicates(["version"]).select("version", "base")
     all_spans = stored(base.join(added, "version", "left"), "personal-result")

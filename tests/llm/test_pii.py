@@ -123,3 +123,40 @@ def test_numbers_that_pass_by_chance_are_not_added(spark):
     texts = [(k, "order " + dealt(luhn_number(rng, k % 10 == 0), ".")) for k in range(1000)]
     df = spark.createDataFrame(texts, "doc_id long, text string")
     assert pii.find(df).where("added > 0").count() == 0
+
+
+def test_trees_add_a_form_without_evidence(spark):
+    """Numbers in two groups are named by a word but for one in a hundred: those are added too.
+    Numbers in one group are named in one of ten: the others are valid, but not added."""
+    rng = random.Random(9)
+    texts, wanted = [], {}
+    for k in range(6000):
+        phone = f"0{rng.randint(100, 999)}/{rng.randint(10**6, 10**7 - 1)}"
+        order = str(rng.randint(10**10, 10**11 - 1))
+        item, name = (phone, "by" if k % 200 == 0 else "telefon") if k % 2 == 0 else (
+            order, "call" if k % 20 == 1 else "bill")
+        texts.append((k, f"words {'and more ' * rng.randint(0, 3)}{name} {item} of row"))
+        if k % 2 == 0:
+            start = texts[-1][1].index(phone)
+            wanted[k] = [(3, start, start + len(phone))]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    judged = pii.read_texts(df).wide
+    assert judged.where("valid AND kind = 3").count() == 6000
+    assert judged.where("valid AND NOT evident AND kind = 3").count() == 30 + 2700
+    found = {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in pii.find(df).collect()}
+    assert [k for k in range(0, 6000, 2) if found[k] != wanted[k]] == []
+    unnamed = [k for k in range(1, 6000, 2) if k % 20 != 1 and found[k]]
+    assert unnamed == []
+
+
+def test_thresholds_rise_with_wrong_and_fall_with_right_candidates():
+    def of(*counts):
+        return pii.thresholds_of(list(counts))
+
+    assert of() == {kind: 0.5 for kind in range(4)}
+    assert of((0, 400, 10, 100, 0)) == {kind: 2.0 for kind in range(4)}  # also those without any
+    assert of((0, 400, 10, 1, 0), (1, 400, 100, 0, 0)) == {0: 2.0, 1: 0.5, 2: 0.5, 3: 0.5}
+    assert of((2, 480, 100, 0, 0), (2, 300, 0, 0, 90)) == {k: 0.96 for k in range(4)}
+    for wrong in range(4):
+        by_right = [of((3, 450, right, wrong, 0))[3] for right in range(0, 400, 20)]
+        assert by_right == sorted(by_right, reverse=True)
