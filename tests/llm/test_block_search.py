@@ -75,6 +75,37 @@ def test_blocks_below_the_bound_are_not_scored():
     asked = block_search.Packed.__new__(block_search.Packed)
     asked.ids, asked.width, asked.vectors = np.array([-1]), 1, np.array([[5.0]])
     asked.low = asked.high = asked.vectors
-    found, scores = block_search.best(asked, docs, 5, block)
+    found, scores, scored = block_search.best(asked, docs, 5, block)
+    assert scored < 5
     want = sorted((-5 * v, i) for i, v in enumerate(vectors[:, 0].tolist()))[:5]
     assert [(-s, i) for i, s in zip(found[0].tolist(), scores[0].tolist())] == want
+    floor = np.array([scores[0, 2]])
+    floored, kept, fewer = block_search.best(asked, docs, 5, block, floor)
+    assert fewer <= scored and (kept[0] >= floor[0]).sum() == (scores[0] >= floor[0]).sum()
+    assert floored[0, :3].tolist() == found[0, :3].tolist()
+    assert block_search.best(asked, docs, 5, block, np.array([1e9]))[2] == 0
+
+
+def test_groups_meet_only_ranges_that_they_can_reach(spark, monkeypatch):
+    """Vectors far apart by id: the ranges of one corner are out of reach of the others."""
+    monkeypatch.setattr(block_search, "BLOCK", 4)
+    monkeypatch.setattr(block_search, "RANGE", 4)
+    monkeypatch.setattr(block_search, "GROUP", 3)
+    seen = []
+    real = block_search.meetings
+
+    def watched(asked, ranges, k, slots):
+        kept, floors = real(asked, ranges, k, slots)
+        seen.append((kept.distinct().count(), kept.count(), asked.count() * ranges.count()))
+        return kept, floors
+
+    monkeypatch.setattr(block_search, "meetings", watched)
+    rng = np.random.default_rng(3)
+    data = []
+    for i in range(800):
+        vector = rng.uniform(0, 0.1, 4)
+        vector[i // 200] += 1
+        data.append((i, vector.tolist()))
+    assert run(spark, data) == brute(data)
+    distinct, kept, of_all = seen[0]
+    assert distinct == kept < of_all / 2
