@@ -61,6 +61,23 @@ def pieces(column: pa.Array, limit: int = PIECE) -> Iterator[Piece]:
         first = last
 
 
+def parts(piece: Piece, part_of_word: np.ndarray, limit: int = PIECE) -> Iterator[Piece]:
+    """Cut a piece of one text into parts of about ``limit`` bytes, between words; a longer word
+    stays whole."""
+    low, size = 0, len(piece.data)
+    while low < size:
+        high = min(low + limit, size)
+        gaps = np.flatnonzero(~part_of_word[piece.data[low:high]])
+        if high < size and len(gaps):
+            high = low + int(gaps[-1]) + 1
+        elif high < size:
+            while high < size and not len(gaps):
+                gaps = np.flatnonzero(~part_of_word[piece.data[high:high + limit]])
+                high = high + int(gaps[0]) + 1 if len(gaps) else min(high + limit, size)
+        yield Piece(piece.first, piece.last, piece.data[low:high], np.array([0, high - low]))
+        low = high
+
+
 def spans(piece: Piece, part_of_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end byte of every word, and the text (counted in the piece) it stands in."""
     inside = part_of_word[piece.data]
@@ -112,19 +129,29 @@ def _prefix(values: np.ndarray, up: np.ndarray) -> np.ndarray:
     return total
 
 
-def byte_prefix(data: np.ndarray) -> np.ndarray:
-    """Running polynomial sums over bytes, for :func:`span_hash`."""
-    up, _ = _BYTES.upto(len(data) + 1)
-    return _prefix(data.astype(np.uint64) + np.uint64(1), up)
-
-
-def span_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte span; equal spans hash alike wherever they stand.
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray,
+                heads: tuple[int, ...] = ()) -> np.ndarray:
+    """64-bit hashes of each byte span, a row for whole spans and one for each size of beginnings
+    in ``heads``; equal spans hash alike wherever they stand.  Spans follow one another.
 
     A sum of powers: good for buckets of features.  Long spans can be made to collide, so words that
-    have to be told apart take :func:`word_hashes`."""
-    _, down = _BYTES.upto(len(prefix))
-    return mix((prefix[ends] - prefix[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    have to be told apart take :func:`word_hashes`.  Bytes are worked on ``SLICE`` at a time."""
+    stops = np.stack([ends, *(np.minimum(starts + size, ends) for size in heads)])
+    out = np.zeros(stops.shape, np.uint64)
+    first = 0
+    while first < len(starts):
+        last = max(first + 1, int(np.searchsorted(ends, starts[first] + SLICE, "right")))
+        low, high = int(starts[first]), int(ends[last - 1])
+        for at in range(low, high, SLICE):  # more than one step for a long span of its own only
+            held = data[at:min(at + SLICE, high)]
+            up, down = _BYTES.upto(len(held) + 1)
+            prefix = _prefix(held.astype(np.uint64) + np.uint64(1), up)
+            begin = np.clip(starts[first:last] - at, 0, len(held))
+            end = np.clip(stops[:, first:last] - at, 0, len(held))
+            ahead = np.uint64(pow(BYTE_BASE, at - low, 1 << 64))
+            out[:, first:last] += (prefix[end] - prefix[begin]) * down[begin] * ahead
+        first = last
+    return mix(out + (stops - starts).astype(np.uint64))
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray,

@@ -88,3 +88,32 @@ def test_hashes_do_not_depend_on_slices(monkeypatch):
     for size in (1, 7, 100):
         monkeypatch.setattr(W, "SLICE", size)
         assert all((W.word_hashes(piece.data, starts, ends, k) == whole[k]).all() for k in (0, 1))
+
+
+def test_span_hashes_are_sums_of_powers_whatever_the_slices(monkeypatch):
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abé") for _ in range(rng.randint(1, 40))) for _ in range(60)]
+    piece = next(W.pieces(pa.array([" ".join(words), "x" * 300, "ab ab"]), 1 << 20))
+    starts, ends, _ = W.spans(piece, W.NOT_SPACE)
+    raw = piece.data.tobytes()
+
+    def plain(low, high):
+        total = sum((b + 1) * pow(W.BYTE_BASE, k, 1 << 64) for k, b in enumerate(raw[low:high]))
+        return W.mix(np.array([(total + high - low) % (1 << 64)], np.uint64))[0]
+
+    want = [[plain(s, min(e, s + size)) for s, e in zip(starts.tolist(), ends.tolist())]
+            for size in (1000, 4, 7)]
+    for size in (1, 5, 64, 1 << 18):
+        monkeypatch.setattr(W, "SLICE", size)
+        assert (W.span_hashes(piece.data, starts, ends, (4, 7)) == np.array(want, np.uint64)).all()
+
+
+@pytest.mark.parametrize("limit", [1, 3, 10, 1000])
+def test_parts_cut_between_words(limit):
+    text = " ab  cde\tf " + "g" * 30 + " hi"
+    piece = next(W.pieces(pa.array([text]), 1 << 20))
+    found = list(W.parts(piece, W.NOT_SPACE, limit))
+    assert b"".join(p.data.tobytes() for p in found).decode() == text
+    assert [w for p in found for w in p.data.tobytes().decode().split()] == text.split()
+    assert all(len(p.data) <= max(limit, 32) for p in found)
+    assert not list(W.parts(next(W.pieces(pa.array([""]))), W.NOT_SPACE, limit))
