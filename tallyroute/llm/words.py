@@ -188,15 +188,21 @@ def _byte_values(data: np.ndarray, place: np.ndarray, which: int) -> np.ndarray:
 
 
 def rolling(hashes: np.ndarray, length: int, which: int = 0) -> np.ndarray:
-    """Rabin-Karp hash of every ``length`` consecutive words, by the first or second base."""
+    """Rabin-Karp hash of every ``length`` consecutive words, by the first or second base; ``SLICE``
+    windows at a time."""
     count = len(hashes) - length + 1
     if count <= 0:
         return np.zeros(0, np.uint64)
-    up, down = _WORDS[which].upto(len(hashes) + 1)
     if which:
         hashes = mix(hashes + np.uint64(BASES[1]))
-    total = _prefix(hashes, up)
-    return mix((total[length:] - total[:-length]) * down[:count])
+    out = np.empty(count, np.uint64)
+    for low in range(0, count, SLICE):  # a window's hash does not depend on its place
+        high = min(low + SLICE, count)
+        held = hashes[low:high + length - 1]
+        up, down = _WORDS[which].upto(len(held) + 1)
+        total = _prefix(held, up)
+        out[low:high] = (total[length:] - total[:-length]) * down[:high - low]
+    return mix(out)
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:

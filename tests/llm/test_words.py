@@ -117,3 +117,14 @@ def test_parts_cut_between_words(limit):
     assert [w for p in found for w in p.data.tobytes().decode().split()] == text.split()
     assert all(len(p.data) <= max(limit, 32) for p in found)
     assert not list(W.parts(next(W.pieces(pa.array([""]))), W.NOT_SPACE, limit))
+
+
+@pytest.mark.parametrize("which", [0, 1])
+def test_rolling_hashes_do_not_depend_on_slices(monkeypatch, which):
+    values = W.mix(np.arange(300, dtype=np.uint64))
+    for length in (1, 5, 50, 300):
+        whole = W.rolling(values, length, which)
+        for size in (1, 7, 100, 251):
+            monkeypatch.setattr(W, "SLICE", size)
+            assert (W.rolling(values, length, which) == whole).all()
+        monkeypatch.undo()
