@@ -190,3 +190,14 @@ def test_a_cluster_names_the_file_system_of_its_shared_folder():
     for master, conf in (("yarn", "/tmp/x"), ("local-cluster[2,1,512]", "x"), ("yarn", None)):
         with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
             shared_dir(session(master, conf))
+
+
+def test_a_path_without_file_system_is_taken_as_spark_completed_it():
+    from types import SimpleNamespace
+
+    held = "file:/shared/0b1c"
+    context = SimpleNamespace(master="local-cluster[3,4,1024]", getCheckpointDir=lambda: held)
+    for conf in ("/shared", "shared", None):
+        session = SimpleNamespace(
+            sparkContext=context, conf=SimpleNamespace(get=lambda name, default, conf=conf: conf))
+        assert shared_dir(session) == held
