@@ -171,3 +171,18 @@ def test_memory_does_not_follow_a_long_text():
     grown = int(subprocess.run([sys.executable, "-c", LONG, str(32 << 20)], cwd=root, check=True,
                                capture_output=True, text=True).stdout)
     assert grown < 200  # MB; the text alone has 32
+
+
+def test_all_labelled_rows_are_learnt_from(spark, monkeypatch):
+    """Words of a few rows count, in a text of any length and whatever the number of tasks."""
+    docs, labels = corpus(6000, seed=5)
+    late = [(k, "thena " * (20_000 if k < 10_003 else 5) + "zuzzel", "en") for k in range(10_000, 10_012)]
+    docs = spark.createDataFrame(docs + late, "doc_id long, text string, lang string")
+    marks = spark.createDataFrame(labels + [(k, 1) for k, _, _ in late], "doc_id long, toxic int")
+    monkeypatch.setattr(X, "ROWS", 2000)
+    net = X.learn(docs, marks)
+    asked = spark.createDataFrame([(1, "thena zuzzel"), (2, "thena")], "doc_id long, text string")
+    found = {r["doc_id"]: r["score"] for r in X.score(asked, net).collect()}
+    assert found[1] > 0.5 > found[2]
+    table, totals = X.sample(docs, marks)
+    assert sum(totals.values()) == len(table) == 6012
