@@ -186,3 +186,15 @@ def test_all_labelled_rows_are_learnt_from(spark, monkeypatch):
     assert found[1] > 0.5 > found[2]
     table, totals = X.sample(docs, marks)
     assert sum(totals.values()) == len(table) == 6012
+
+
+def test_a_score_does_not_depend_on_the_place_of_its_text():
+    rng = np.random.default_rng(3)
+    net = X._start([np.zeros((1, 5), np.int32)], np.array([1]), 3)
+    net.embed[:] = rng.normal(0, 1, net.embed.shape)
+    net.out[:] = rng.normal(0, 1, net.out.shape)
+    texts = [f"w{k} vile lona w{k % 7}" for k in range(200)]
+    alone = [float(net.piece_logits(next(W.pieces(pa.array([t]))))[0]) for t in texts]
+    for first in (0, 1, 2, 3, 5):
+        together = net.piece_logits(next(W.pieces(pa.array(["x y z"] * first + texts))))
+        assert together[first:].tolist() == alone
