@@ -70,3 +70,31 @@ def test_only_asked_columns_and_rows_are_stored(spark):
     once = ReadOnce({"a": df, "b": df}, {"a": Need(("id", "v"), F.col("id") > 6)})
     assert once["a"].columns == ["id", "v"] and once["a"].count() == 3
     assert once["b"].count() == 10
+
+
+def _dealt_spine(df):
+    """Keys by which the left side of the joins of a report is dealt, from its end to its source."""
+    node, keys = df._jdf.queryExecution().sparkPlan(), []
+    while True:
+        if "Join" in node.nodeName():
+            keys.append(tuple(node.leftKeys().apply(i).name() for i in range(node.leftKeys().size())))
+        below = node.children()
+        if below.size() == 0:
+            return keys
+        node = below.apply(0)
+
+
+@needs_data
+def test_the_rows_of_the_payment_detail_are_dealt_once_per_key(spark, crm):
+    from datetime import datetime
+
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        keys = _dealt_spine(payments.payments_detail(crm, datetime(2024, 2, 5, 12, 0, 0)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    turns = [key for i, key in enumerate(keys) if i == 0 or keys[i - 1] != key]
+    # demography and plans are joined to contracts and amounts, and the widest side comes last
+    assert turns == [("onboarding_id",), ("lead_id",), ("contact_id",),
+                     ("payment_id", "sub_product_id"), ("payment_id",)]
