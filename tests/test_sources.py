@@ -201,3 +201,17 @@ def test_a_path_without_file_system_is_taken_as_spark_completed_it():
         session = SimpleNamespace(
             sparkContext=context, conf=SimpleNamespace(get=lambda name, default, conf=conf: conf))
         assert shared_dir(session) == held
+
+
+def test_scratch_folders_of_a_cluster_lie_below_the_completed_path():
+    from types import SimpleNamespace
+
+    from tallyroute.session import scratch_path
+
+    context = SimpleNamespace(master="local-cluster[3,4,1024]", applicationId="app-1",
+                              getCheckpointDir=lambda: "file:/shared/0b1c")
+    session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(
+        get=lambda name, default: "/shared"))
+    first, second = scratch_path(session, "audit"), scratch_path(session, "audit")
+    assert first != second
+    assert all(path.startswith("file:/shared/0b1c/app-1/audit-") for path in (first, second))
