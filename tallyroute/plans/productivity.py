@@ -207,7 +207,8 @@ def appointments(crm: Crm, as_of) -> DataFrame:
                 F.col("substatus_id").alias("lead_substatus_id")),
         ["contact_id"], "shown_lead_id",
     )
-    keys = latest.select("lead_id").where(F.col("lead_id").isNotNull()).distinct()
+    # few and narrow: looked up in a hash table, so that a task need not hold two sorts per history
+    keys = latest.select("lead_id").where(F.col("lead_id").isNotNull()).hint("shuffle_hash")
 
     def of_interest(table: str) -> DataFrame:
         return crm[table].join(keys, "lead_id", "left_semi")

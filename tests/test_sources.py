@@ -215,3 +215,16 @@ def test_scratch_folders_of_a_cluster_lie_below_the_completed_path():
     first, second = scratch_path(session, "audit"), scratch_path(session, "audit")
     assert first != second
     assert all(path.startswith("file:/shared/0b1c/app-1/audit-") for path in (first, second))
+
+
+def test_merged_partitions_stay_small(spark):
+    from tallyroute import prepare
+    from tallyroute.session import PARTITION_BYTES
+
+    session, name = spark.newSession(), "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    for held in ("64MB", "67108864b", "1g", str(PARTITION_BYTES + 1)):
+        session.conf.set(name, held)
+        assert prepare(session).conf.get(name) == str(PARTITION_BYTES)
+    for held in ("8m", "4096kb", "1048576b", str(PARTITION_BYTES)):
+        session.conf.set(name, held)
+        assert prepare(session).conf.get(name) == held
