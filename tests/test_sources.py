@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import ROOT, rows
 from tallyroute.operators import audit, lookup, unions
 from tallyroute.operators.validate import Check, all_failures, first_failure, last_failure
 from tallyroute.session import cut_lineage, shared_dir
@@ -228,3 +228,22 @@ def test_merged_partitions_stay_small(spark):
     for held in ("8m", "4096kb", "1048576b", str(PARTITION_BYTES)):
         session.conf.set(name, held)
         assert prepare(session).conf.get(name) == held
+
+
+def test_a_cluster_with_a_plain_path_stores_and_reads(tmp_path):
+    import subprocess
+    import sys
+
+    code = f"""
+from pyspark.sql import SparkSession
+from tallyroute.session import stored
+spark = SparkSession.builder.config(map={{
+    "spark.master": "local-cluster[1,1,1024]", "spark.executor.memory": "512m", "spark.ui.enabled": "false",
+    "spark.driver.host": "127.0.0.1", "spark.checkpoint.dir": {str(tmp_path / 'shared')!r}}}).getOrCreate()
+df = stored(spark.range(10), "ten")
+print("read", df.count(), df.inputFiles()[0])
+spark.stop()
+"""
+    run = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True,
+                         timeout=120)
+    assert "read 10 file:" in run.stdout and str(tmp_path / "shared") in run.stdout, run.stderr
