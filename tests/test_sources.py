@@ -247,3 +247,45 @@ spark.stop()
     run = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True,
                          timeout=120)
     assert "read 10 file:" in run.stdout and str(tmp_path / "shared") in run.stdout, run.stderr
+
+
+def test_queries_that_store_rows_run_on_a_cluster_with_a_plain_path(tmp_path):
+    import subprocess
+    import sys
+
+    import duckdb
+
+    tables = {
+        "part": "SELECT i AS p_partkey, 'part ' || i AS p_name, CAST(i % 50 AS INT) AS p_size",
+        "orders": "SELECT i AS o_orderkey, i % 7 AS o_custkey, '1-URGENT' AS o_orderpriority",
+        "nation": "SELECT CAST(i AS INT) AS n_nationkey, 'nation ' || i AS n_name",
+        "customer": "SELECT i AS c_custkey, CAST(i % 5 AS INT) AS c_nationkey, i / 4 AS c_acctbal",
+        "events": "SELECT i AS event_id, TIMESTAMP '2024-01-01' + to_minutes(i) AS ts,"
+                  " i % 9 AS user_id, 'view' AS event_type, i / 2 AS value, '{}' AS props"}
+    names = ("format_dispatch", "csv_over_lines", "published_report", "keyed_update_versions")
+    for table, sql in tables.items():
+        duckdb.execute(f"COPY ({sql} FROM range(60) r(i)) TO '{tmp_path / table}.parquet'")
+    code = f"""
+import sys
+sys.path.insert(0, "tests")
+import duckdb
+from pyspark.sql import SparkSession
+import __spark_entry__ as entry
+from compare import compare
+spark = SparkSession.builder.config(map={{
+    "spark.master": "local-cluster[1,2,1024]", "spark.executor.memory": "768m", "spark.ui.enabled": "false",
+    "spark.sql.shuffle.partitions": "2", "spark.driver.host": "127.0.0.1",
+    "spark.sql.warehouse.dir": {str(tmp_path / 'warehouse')!r},
+    "spark.checkpoint.dir": {str(tmp_path / 'shared')!r}}}).getOrCreate()
+con = duckdb.connect()
+for table in {list(tables)!r}:
+    con.execute(f"CREATE VIEW {{table}} AS SELECT * FROM '{tmp_path}/{{table}}.parquet'")
+for name in {names!r}:
+    verdict, _, n = compare(spark, con, {str(tmp_path)!r}, name, entry.queries()[name], entry.oracle_sql()[name])
+    print("found", name, n > 0, verdict)
+spark.stop()
+"""
+    run = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True,
+                         timeout=240)
+    found = [line for line in run.stdout.splitlines() if line.startswith("found ")]
+    assert found == [f"found {name} True ok" for name in names], run.stdout + run.stderr
