@@ -104,6 +104,24 @@ def test_the_productivity_report_keeps_only_its_longest_branch_to_the_end(spark,
         "Sales Calling", "Funnel Management", "Login Log", "Target", "LQR", "Reasons"}
 
 
+def test_the_payments_report_keeps_only_its_longest_branch_to_the_end(crm):
+    report = payments.payments_report(crm, AS_OF, "2023-01-01", excluded_owner=1)
+    left = labels(report)
+    assert {"detail", "taken", "calls", "leads"} <= left
+    assert not left & {"once-instalment", "once-onboarding", "once-lead_log"}
+    expected = unions.tagged({
+        "Payment": payments.payments_detail(crm, AS_OF, excluded_owner=1),
+        "Payment (none)": payments.owners_without_payment(crm, AS_OF),
+        "Counsellor Details": payments.owner_directory(crm, AS_OF),
+        "Lead Taken": payments.lead_pickups(crm, "2023-01-01"),
+        "Activity": payments.call_activity(crm),
+        "Combine": payments.lead_activity_payment(crm, AS_OF),
+        "Lead Details": payments.lead_details(crm),
+    }).withColumn("flag", F.regexp_replace("flag", r" \(none\)$", ""))
+    assert report.columns == expected.columns
+    assert told(report) == told(expected)
+
+
 def shuffled(spark) -> set[str]:
     disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
     files = disk.getAllFiles()
